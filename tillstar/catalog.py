@@ -11,10 +11,11 @@ from pyspark.sql.types import DecimalType
 
 from tillstar import schemas
 from tillstar.operators import profile, quality
-from tillstar.operators.dedupe import keep_first, surplus_rows
+from tillstar.operators.dedupe import keep_first, repeated_keys, surplus_rows
 from tillstar.operators.keys import key_page
 from tillstar.plans import dims, load, olap
 from tillstar.plans.star import Star, Workspace, workspace
+from tillstar.session import stored
 from tillstar.sources import binding, readers
 from tillstar.streaming.fact_stream import FactStream, transaction_stream
 
@@ -74,18 +75,21 @@ def fact_sales(w: Workspace) -> DataFrame:
 
 
 def fact_rejects(w: Workspace) -> DataFrame:
-    h = w.held_back
-    return load.all_rejects(h.table("stage_sales"), h.table("fact_sales"))
+    return w.held_back.rejects()
 
 
 def fact_dedup(w: Workspace) -> DataFrame:
-    return keep_first(_sales(w), NATURAL_KEY, "Arrival").drop("Arrival")
+    rows = _sales(w)
+    return keep_first(rows, NATURAL_KEY, "Arrival", _repeated(w)).drop("Arrival")
 
 
 def fact_duplicates(w: Workspace) -> DataFrame:
-    return (
-        surplus_rows(_sales(w), NATURAL_KEY, "Arrival").groupBy(*SALE).agg(F.sum("Copies").alias("Copies"))
-    )
+    surplus = surplus_rows(_sales(w), NATURAL_KEY, "Arrival", _repeated(w))
+    return surplus.groupBy(*SALE).agg(F.sum("Copies").alias("Copies"))
+
+
+def _repeated(w: Workspace) -> DataFrame:
+    return w.once("repeated", lambda: stored(repeated_keys(_sales(w), NATURAL_KEY), "repeated_keys"))
 
 
 def load_audit(w: Workspace) -> DataFrame:

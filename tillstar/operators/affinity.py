@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.operators.skew import HOT_SHARE, join_repeated
-from tillstar.session import new_work_folder
+from tillstar.session import stored
 
 SMALL_BASKET = 100
 PROBE_PAIRS = 1000
@@ -31,17 +31,13 @@ def top_pairs(lines: DataFrame, basket: str, item: str, top: int, small_basket:
     large = sizes.where(F.col("rows") > small_basket)
     large_baskets = large.count()
     if not large_baskets:
-        return _best(_pair_counts(lines.distinct()), top)
-    folder = new_work_folder(lines.sparkSession, "affinity")
+        return _best(_pair_counts(_unique_by_basket(lines)), top)
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return lines.sparkSession.read.parquet(f"{folder}/{name}")
-
-    large = stored("large", large)
-    small_pairs = stored("small_pairs", _pair_counts(_without(lines, large).distinct()))
-    large_lines = stored("large_lines", join_repeated(lines, large, ["basket"], "rows").select("basket", "item").distinct())
-    support = stored("support", large_lines.groupBy("item").agg(F.count(F.lit(1)).alias("support")))
+    large = stored(large, "large_baskets")
+    small_pairs = stored(_pair_counts(_unique_by_basket(_without(lines, large))), "small_pairs")
+    in_large = join_repeated(lines, large, ["basket"], "rows").select("basket", "item").distinct()
+    large_lines = stored(in_large, "large_lines")
+    support = stored(large_lines.groupBy("item").agg(F.count(F.lit(1)).alias("support")), "support")
 
     threshold = _reached(small_pairs, top)
     bounded = _with_bound(small_pairs.where(F.col("Baskets") + large_baskets >= threshold), support)
@@ -54,6 +50,11 @@ def top_pairs(lines: DataFrame, basket: str, item: str, top: int, small_basket:
     return _best(both, top)
 
 
+def _unique_by_basket(lines: DataFrame) -> DataFrame:
+    """Distinct rows, placed by basket so that the self-join needs no further shuffle; for small baskets."""
+    return lines.repartition("basket").distinct()
+
+
 def _best(pairs: DataFrame, top: int) -> DataFrame:
     return pairs.orderBy(F.desc("Baskets"), "First", "Second").limit(top)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.functions import numeric, rules
-from tillstar.operators.dedupe import keep_first
+from tillstar.operators.dedupe import first_by_minimum
 from tillstar.operators.keys import read_with_dense_key, write_sorted
 
 
@@ -65,7 +65,7 @@ def unique_master(cleaned: DataFrame, key: str) -> DataFrame:
     """One row per natural key; rows without a key cannot be looked up and are left out."""
     others = [c for c in cleaned.columns if c != key]
     packed = cleaned.where(F.col(key).isNotNull()).select(key, F.struct(*others).alias("_row"))
-    return keep_first(packed, [key], "_row").select(key, "_row.*")
+    return first_by_minimum(packed, [key], "_row").select(key, "_row.*")
 
 
 def dim_customer(master: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillstar import schemas
 from tillstar.functions import rules
-from tillstar.operators.dedupe import keep_first, surplus_rows
+from tillstar.operators.dedupe import first_by_minimum, keep_first, repeated_keys, surplus_rows
 
 UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTITY, DUPLICATE = (
     "unparsable",
@@ -25,7 +25,6 @@ UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTI
 )
 
 REJECT_COLUMNS = ["Order_ID", "Customer_ID", "Product_ID", "Quantity", "Sale_Date"]
-_RESOLVED = ["Customer_Key", "Product_Key", "Store_Key", "Supplier_Key", "Date_Key"]
 
 
 # --- enrichment with the natural-key masters ----------------------------------
@@ -86,18 +85,25 @@ def _first_reason() -> Column:
 
 
 def loadable(resolved: DataFrame) -> DataFrame:
-    return resolved.where("Reason is null").select(
-        "Order_ID", "Date_Key", *REJECT_COLUMNS[1:], "Arrival", "Price", *_RESOLVED[:-1]
-    )
+    return resolved.where("Reason is null").drop("Reason", "Unparsable")
 
 
 # --- facts --------------------------------------------------------------------
-def unique_sales(rows: DataFrame) -> DataFrame:
+_FACT_INPUTS = [
+    *schemas.FACT_UNIQUE_KEY, "Arrival", "Quantity", "Customer_Key", "Store_Key", "Supplier_Key", "Price", "Sale_Date",
+]
+
+
+def repeated_sales(rows: DataFrame) -> DataFrame:
+    return repeated_keys(rows, schemas.FACT_UNIQUE_KEY)
+
+
+def unique_sales(rows: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One loadable row per (order, product, date): the first by arrival."""
-    packed = rows.select(
-        *schemas.FACT_UNIQUE_KEY, "Arrival", "Quantity", "Customer_Key", "Store_Key", "Supplier_Key", "Price", "Sale_Date"
-    )
-    return keep_first(packed, schemas.FACT_UNIQUE_KEY, "Arrival")
+    packed = rows.select(*_FACT_INPUTS)
+    if repeated is None:
+        return first_by_minimum(packed, schemas.FACT_UNIQUE_KEY, "Arrival")
+    return keep_first(packed, schemas.FACT_UNIQUE_KEY, "Arrival", repeated)
 
 
 def fact_rows(sales: DataFrame) -> DataFrame:
@@ -150,28 +156,19 @@ def rejected_rows(resolved: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_rows(rows: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """Loadable rows that lost against another row with the same fact key.
-
-    ``facts`` (with ``Source_Rows``) narrows the search to the keys that were met more than once.
-    """
-    if facts is not None:
-        repeated = facts.where("Source_Rows > 1").select(*schemas.FACT_UNIQUE_KEY)
-        rows = rows.join(repeated, schemas.FACT_UNIQUE_KEY, "left_semi")
-    packed = rows.select(
-        *schemas.FACT_UNIQUE_KEY, "Arrival", "Quantity", "Customer_Key", "Store_Key", "Supplier_Key", "Price",
-        "Sale_Date", "Customer_ID", "Product_ID",
-    )
+def duplicate_rows(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Loadable rows that lost against another row with the same fact key."""
+    packed = rows.select(*_FACT_INPUTS, "Customer_ID", "Product_ID")
     return (
-        surplus_rows(packed, schemas.FACT_UNIQUE_KEY, "Arrival")
+        surplus_rows(packed, schemas.FACT_UNIQUE_KEY, "Arrival", repeated)
         .groupBy(*REJECT_COLUMNS)
         .agg(F.sum("Copies").alias("Copies"))
         .select(*REJECT_COLUMNS, F.lit(DUPLICATE).alias("Reason"), "Copies")
     )
 
 
-def all_rejects(resolved: DataFrame, facts: DataFrame) -> DataFrame:
-    return rejected_rows(resolved).unionByName(duplicate_rows(loadable(resolved), facts))
+def all_rejects(resolved: DataFrame, repeated: DataFrame) -> DataFrame:
+    return rejected_rows(resolved).unionByName(duplicate_rows(loadable(resolved), repeated))
 
 
 # --- audit --------------------------------------------------------------------

@@ -65,13 +65,18 @@ class Warehouse:
     def load_sales(self, transactions: DataFrame) -> None:
         """Stage the resolved rows, then write the facts from the stage.
 
-        The stage is written because facts and rejects both read it and because it cuts the lineage:
-        a lost executor costs a re-read, not the joins.
+        The stage is written because facts, rejects and audit all read it and because it cuts the
+        lineage: a lost executor costs a re-read, not the joins.
         """
         load.resolve(transactions, *self.lookups()).write.mode("overwrite").parquet(f"{self.root}/stage_sales")
-        sales = load.unique_sales(load.loadable(self.table("stage_sales")))
+        rows = load.loadable(self.table("stage_sales"))
+        load.repeated_sales(rows).write.mode("overwrite").parquet(f"{self.root}/stage_repeated")
+        sales = load.unique_sales(rows, self.table("stage_repeated"))
         load.write_facts(load.fact_rows(sales), f"{self.root}/fact_sales", mode="overwrite")
 
+    def rejects(self) -> DataFrame:
+        return load.all_rejects(self.table("stage_sales"), self.table("stage_repeated"))
+
 
 def land_transactions(raw: DataFrame, path: str, files: int) -> None:
     """Write raw transactions as a folder of similar files in date order, as a stream source.

@@ -50,16 +50,23 @@ class FactStream:
 
     def load_batch(self, batch: DataFrame, batch_id: int) -> None:
         resolved = load.resolve(batch, *self.lookups).persist()
+        rows = load.loadable(resolved)
+        sales = load.unique_sales(rows).persist()
         try:
-            sales = load.unique_sales(load.loadable(resolved))
-            seen = self._earlier(sales, batch_id)
+            seen = self._earlier(rows, batch_id)
             new = sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti")
             load.write_facts(load.fact_rows(new), self._folder("facts", batch_id), mode="overwrite")
-            rejects = load.rejected_rows(resolved).unionByName(
-                load.duplicate_rows(load.loadable(resolved))
-            ).unionByName(self._already_loaded(sales, seen))
+            repeated = sales.where("Source_Rows > 1").select(
+                *schemas.FACT_UNIQUE_KEY, F.col("Source_Rows").alias("_rows")
+            )
+            rejects = (
+                load.rejected_rows(resolved)
+                .unionByName(load.duplicate_rows(rows, repeated))
+                .unionByName(self._already_loaded(sales, seen))
+            )
             rejects.write.mode("overwrite").parquet(self._folder("rejects", batch_id))
         finally:
+            sales.unpersist()
             resolved.unpersist()
 
     def facts(self) -> DataFrame:
@@ -78,9 +85,9 @@ class FactStream:
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return self.spark.read.schema(layout).parquet(f"{self.root}/{kind}") if files.exists(path) else empty
 
-    def _earlier(self, sales: DataFrame, batch_id: int) -> DataFrame:
+    def _earlier(self, rows: DataFrame, batch_id: int) -> DataFrame:
         """Fact keys of earlier batches, read only for the dates of this batch."""
-        days = sales.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).first()
+        days = rows.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).first()
         stored = self._read("facts", _STORED_FACTS).where(F.col(BATCH) < batch_id)
         low, high = days.low or 0, days.high or 0
         return stored.where(
