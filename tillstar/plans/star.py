@@ -16,8 +16,8 @@ from tillstar.session import estimated_bytes, new_work_folder
 from tillstar.sources import binding, readers
 
 LANDING_FILE_BYTES = 256 * 2**20
-LANDING_MIN_FILES = 8
-REPLAY_BATCHES = 4
+LANDING_MIN_FILES = 24
+REPLAY_BATCHES = 3
 
 
 @dataclass(frozen=True)

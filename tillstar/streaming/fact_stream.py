@@ -13,6 +13,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tillstar import schemas
 from tillstar.plans import load
+from tillstar.plans.dims import together
 from tillstar.plans.star import Warehouse
 from tillstar.sources import readers
 
@@ -51,22 +52,24 @@ class FactStream:
     def load_batch(self, batch: DataFrame, batch_id: int) -> None:
         resolved = load.resolve(batch, *self.lookups).persist()
         rows = load.loadable(resolved)
-        sales = load.unique_sales(rows).persist()
+        repeated = load.repeated_sales(rows).persist()
         try:
-            seen = self._earlier(rows, batch_id)
-            new = sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti")
-            load.write_facts(load.fact_rows(new), self._folder("facts", batch_id), mode="overwrite")
-            repeated = sales.where("Source_Rows > 1").select(
-                *schemas.FACT_UNIQUE_KEY, F.col("Source_Rows").alias("_rows")
+            # one row: the dates this batch touches and how many of its keys occur more than once
+            extent = rows.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).withColumn(
+                "repeated", repeated.agg(F.count(F.lit(1))).scalar()
+            ).first()
+            seen = self._earlier(batch_id, extent.low or 0, extent.high or 0)
+            sales = load.unique_sales(rows, repeated)
+            new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
+            rejects = load.rejected_rows(resolved).unionByName(self._already_loaded(sales, seen))
+            if extent.repeated:
+                rejects = rejects.unionByName(load.duplicate_rows(rows, repeated))
+            together(
+                lambda: load.write_facts(new, self._folder("facts", batch_id), mode="overwrite"),
+                lambda: rejects.write.mode("overwrite").parquet(self._folder("rejects", batch_id)),
             )
-            rejects = (
-                load.rejected_rows(resolved)
-                .unionByName(load.duplicate_rows(rows, repeated))
-                .unionByName(self._already_loaded(sales, seen))
-            )
-            rejects.write.mode("overwrite").parquet(self._folder("rejects", batch_id))
         finally:
-            sales.unpersist()
+            repeated.unpersist()
             resolved.unpersist()
 
     def facts(self) -> DataFrame:
@@ -85,11 +88,9 @@ class FactStream:
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return self.spark.read.schema(layout).parquet(f"{self.root}/{kind}") if files.exists(path) else empty
 
-    def _earlier(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Fact keys of earlier batches, read only for the dates of this batch."""
-        days = rows.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).first()
+    def _earlier(self, batch_id: int, low: int, high: int) -> DataFrame:
+        """Fact keys of earlier batches, read only for the dates between ``low`` and ``high``."""
         stored = self._read("facts", _STORED_FACTS).where(F.col(BATCH) < batch_id)
-        low, high = days.low or 0, days.high or 0
         return stored.where(
             F.col("Sale_Year").between(low // 10000, high // 10000) & F.col("Date_Key").between(low, high)
         ).select(*schemas.FACT_UNIQUE_KEY)
