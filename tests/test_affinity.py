@@ -17,9 +17,9 @@ def brute_force(lines, top):
     return [(a, b, n) for (a, b), n in best]
 
 
-def found(spark, lines, top=5, small=100):
+def found(spark, lines, top=5, small=100, prune=None):
     df = spark.createDataFrame(lines, "o long, p long")
-    return [tuple(r) for r in top_pairs(df, "o", "p", top, small).collect()]
+    return [tuple(r) for r in top_pairs(df, "o", "p", top, small, prune).collect()]
 
 
 def test_pairs_over_small_baskets(spark):
@@ -47,3 +47,15 @@ def test_one_giant_basket_decides_by_ties(spark):
 def test_only_large_baskets(spark):
     lines = [(b, p) for b in range(3) for p in range(b, 130)]
     assert found(spark, lines) == brute_force(lines, 5)
+
+
+@pytest.mark.parametrize("small", [3, 100])
+def test_rare_items_leave_first(spark, small):
+    rng = random.Random(9)
+    lines = [(b, p) for b in range(80) for p in {rng.randrange(3), rng.randrange(6), 100 + rng.randrange(300)}]
+    assert found(spark, lines, small=small, prune=True) == brute_force(lines, 5)
+
+
+def test_pruning_with_few_pairs(spark):
+    lines = [(1, 1), (1, 2), (2, 3)]
+    assert found(spark, lines, prune=True) == [(1, 2, 1)]

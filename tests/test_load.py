@@ -80,3 +80,14 @@ def test_surplus_complements_keep_first(spark):
         expected[smallest] -= 1
     assert {(r.k, r.o, r.v): r.Copies for r in surplus.collect()} == {r: n for r, n in expected.items() if n}
     assert first.agg(F.sum("Source_Rows")).first()[0] == len(data)
+
+
+def test_append_is_idempotent(spark, tmp_path):
+    w = empty_warehouse(spark, tmp_path)
+    w.load_sales(transactions(spark, MIXED))
+    more = [(1, 1, "A", 9, "2017-01-07"), (20, 2, "B", 1, "2018-03-01"), (20, 2, "B", 1, "2018-03-01"), (21, 99, "B", 1, "2018-03-01")]
+    assert reasons(w.append_sales(transactions(spark, more))) == {"duplicate": 2, "customer_not_found": 1}
+    assert w.table("fact_sales").count() == 3
+    assert reasons(w.append_sales(transactions(spark, more))) == {"duplicate": 3, "customer_not_found": 1}
+    assert w.table("fact_sales").count() == 3
+    assert w.table("fact_sales").where("Order_ID = 1 and Date_Key = 20170107").first().Quantity == 2

@@ -88,3 +88,8 @@ def rows_per_year(df: DataFrame, column: str) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, top: int = 10) -> DataFrame:
     """The most frequent keys; ties go to the smaller key."""
     return counts_by_frequency(df, key).limit(top)
+
+
+def head(df: DataFrame, keys: list[str], rows: int = 5) -> DataFrame:
+    """The first rows in key order (a table has no order of its own)."""
+    return df.orderBy(*keys).limit(rows)

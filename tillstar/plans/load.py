@@ -171,6 +171,29 @@ def all_rejects(resolved: DataFrame, repeated: DataFrame) -> DataFrame:
     return rejected_rows(resolved).unionByName(duplicate_rows(loadable(resolved), repeated))
 
 
+# --- facts of earlier loads ---------------------------------------------------
+def date_extent(rows: DataFrame) -> tuple[int, int]:
+    """First and last date key, (0, 0) without rows."""
+    extent = rows.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).first()
+    return extent.low or 0, extent.high or 0
+
+
+def stored_keys(facts: DataFrame, low: int, high: int) -> DataFrame:
+    """Unique keys of stored facts between two date keys; other years and dates are not read."""
+    within = F.col("Sale_Year").between(low // 10000, high // 10000) & F.col("Date_Key").between(low, high)
+    return facts.where(within).select(*schemas.FACT_UNIQUE_KEY)
+
+
+def already_loaded(sales: DataFrame, seen: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Unique sales that are stored already, as rejects (their other copies are duplicates anyway)."""
+    return (
+        sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_semi")
+        .join(customers, "Customer_Key")
+        .join(products.select("Product_ID", "Product_Key"), "Product_Key")
+        .select(*REJECT_COLUMNS, F.lit(DUPLICATE).alias("Reason"), F.lit(1).cast("bigint").alias("Copies"))
+    )
+
+
 # --- audit --------------------------------------------------------------------
 def load_audit(resolved: DataFrame, facts: DataFrame) -> DataFrame:
     """One row per stage: rows in, rows matched, match rate; rates are NULL on empty input."""

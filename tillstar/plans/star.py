@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.operators.skew import with_salt
 from tillstar.plans import dims, load
-from tillstar.session import estimated_bytes, new_work_folder
+from tillstar.session import estimated_bytes, new_work_folder, stored
 from tillstar.sources import binding, readers
 
 LANDING_FILE_BYTES = 256 * 2**20
@@ -74,6 +74,22 @@ class Warehouse:
         sales = load.unique_sales(rows, self.table("stage_repeated"))
         load.write_facts(load.fact_rows(sales), f"{self.root}/fact_sales", mode="overwrite")
 
+    def append_sales(self, transactions: DataFrame) -> DataFrame:
+        """Add transactions to existing facts and return the rejects.
+
+        A row whose fact key is already stored is a duplicate, so loading the same input again, or
+        again after a failure half way, adds nothing.
+        """
+        resolved = stored(load.resolve(transactions, *self.lookups()), "stage_sales")
+        rows = load.loadable(resolved)
+        repeated = stored(load.repeated_sales(rows), "stage_repeated")
+        sales = load.unique_sales(rows, repeated)
+        seen = load.stored_keys(self.table("fact_sales"), *load.date_extent(rows))
+        known = stored(load.already_loaded(sales, seen, *self.lookups()[:2]), "known_sales")
+        load.write_facts(load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti")), f"{self.root}/fact_sales")
+        self.__dict__.pop("star", None)  # its file listing is out of date
+        return load.all_rejects(resolved, repeated).unionByName(known)
+
     def rejects(self) -> DataFrame:
         return load.all_rejects(self.table("stage_sales"), self.table("stage_repeated"))
 

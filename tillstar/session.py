@@ -27,6 +27,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     return spark
 
 
+def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Session settings for a large load or report run, to be passed to the session builder.
+
+    Shuffles start with a partition per 128 MB of input and at least two per core; adaptive execution
+    merges what turns out small and splits what turns out skewed.
+    """
+    partitions = max(2 * executor_cores, -(-input_bytes // (128 * 2**20)))
+    return {
+        **_SETTINGS,
+        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

@@ -33,7 +33,10 @@ def transaction_stream(
 
 
 class FactStream:
-    """Loads a transaction stream into ``<root>/facts`` and ``<root>/rejects``."""
+    """Loads a transaction stream into ``<root>/fact_sales`` and ``<root>/fact_rejects``.
+
+    Both are partitioned by batch; do not mix them with a batch load in the same folder.
+    """
 
     def __init__(self, warehouse: Warehouse, root: str):
         self.spark = warehouse.spark
@@ -61,22 +64,22 @@ class FactStream:
             seen = self._earlier(batch_id, extent.low or 0, extent.high or 0)
             sales = load.unique_sales(rows, repeated)
             new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
-            rejects = load.rejected_rows(resolved).unionByName(self._already_loaded(sales, seen))
+            rejects = load.rejected_rows(resolved).unionByName(load.already_loaded(sales, seen, *self.lookups[:2]))
             if extent.repeated:
                 rejects = rejects.unionByName(load.duplicate_rows(rows, repeated))
             together(
-                lambda: load.write_facts(new, self._folder("facts", batch_id), mode="overwrite"),
-                lambda: rejects.write.mode("overwrite").parquet(self._folder("rejects", batch_id)),
+                lambda: load.write_facts(new, self._folder("fact_sales", batch_id), mode="overwrite"),
+                lambda: rejects.write.mode("overwrite").parquet(self._folder("fact_rejects", batch_id)),
             )
         finally:
             repeated.unpersist()
             resolved.unpersist()
 
     def facts(self) -> DataFrame:
-        return self._read("facts", _STORED_FACTS).drop(BATCH)
+        return self._read("fact_sales", _STORED_FACTS).drop(BATCH)
 
     def rejects(self) -> DataFrame:
-        return self._read("rejects", _STORED_REJECTS).drop(BATCH)
+        return self._read("fact_rejects", _STORED_REJECTS).drop(BATCH)
 
     def _folder(self, kind: str, batch_id: int) -> str:
         return f"{self.root}/{kind}/{BATCH}={batch_id}"
@@ -90,18 +93,5 @@ class FactStream:
 
     def _earlier(self, batch_id: int, low: int, high: int) -> DataFrame:
         """Fact keys of earlier batches, read only for the dates between ``low`` and ``high``."""
-        stored = self._read("facts", _STORED_FACTS).where(F.col(BATCH) < batch_id)
-        return stored.where(
-            F.col("Sale_Year").between(low // 10000, high // 10000) & F.col("Date_Key").between(low, high)
-        ).select(*schemas.FACT_UNIQUE_KEY)
-
-    def _already_loaded(self, sales: DataFrame, seen: DataFrame) -> DataFrame:
-        """This batch's winners that an earlier batch holds; its other copies are duplicates anyway."""
-        known = sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_semi")
-        return (
-            known.join(self.lookups[0], "Customer_Key")
-            .join(self.lookups[1].select("Product_ID", "Product_Key"), "Product_Key")
-            .select(
-                *load.REJECT_COLUMNS, F.lit(load.DUPLICATE).alias("Reason"), F.lit(1).cast("bigint").alias("Copies")
-            )
-        )
+        earlier = self._read("fact_sales", _STORED_FACTS).where(F.col(BATCH) < batch_id)
+        return load.stored_keys(earlier, low, high)
