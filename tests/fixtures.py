@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.plans import dims, load
 from tillstar.plans.star import Warehouse
+from tillstar.session import new_work_folder
 from tillstar.sources import readers
 
 TX = "orderID string, Customer_ID string, Product_ID string, quantity string, date string"
@@ -39,11 +40,29 @@ def transactions(spark, rows):
     return readers.clean_transactions(spark.createDataFrame([tuple(map(str, r)) for r in rows], TX))
 
 
+class SharedDimensions(Warehouse):
+    """A warehouse of its own whose dimensions and masters are read from another one."""
+
+    def __init__(self, spark, root, base):
+        super().__init__(spark, root)
+        self.base = base
+
+    def table(self, name):
+        return super().table(name) if name.startswith(("fact_", "stage_")) else self.base.table(name)
+
+
+_bases = {}
+
+
 def empty_warehouse(spark, root, customer_rows=None, product_rows=None, years=(2017, 2018)):
-    warehouse = Warehouse(spark, str(root))
-    warehouse.load_masters(customers(spark, customer_rows), products(spark, product_rows))
-    warehouse.load_dimensions(dims.years_between(spark, *years))
-    return warehouse
+    """Equal dimensions are built once per test session."""
+    key = repr((spark.sparkContext.applicationId, customer_rows, product_rows, years))
+    if key not in _bases:
+        base = Warehouse(spark, new_work_folder(spark, "fixture"))
+        base.load_masters(customers(spark, customer_rows), products(spark, product_rows))
+        base.load_dimensions(dims.years_between(spark, *years))
+        _bases[key] = base
+    return SharedDimensions(spark, str(root), _bases[key])
 
 
 def star(spark, root, rows, **kwargs):
