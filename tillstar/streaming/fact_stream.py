@@ -86,7 +86,7 @@ class FactStream:
 
     def _read(self, kind: str, layout: StructType) -> DataFrame:
         # the folder may not exist before the first batch with rows
-        empty = self.spark.createDataFrame([], layout)
+        empty = self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in layout.fields])
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return self.spark.read.schema(layout).parquet(f"{self.root}/{kind}") if files.exists(path) else empty
