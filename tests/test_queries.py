@@ -4,10 +4,12 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry_points
+from tillstar import catalog
+from tillstar.verification import oracle
 from tillstar.verification.compare import differences, oracle_connection
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +35,11 @@ def test_comparison_notices_a_difference(spark, connection):
     assert differences(query.withColumnRenamed("Year", "y"), connection, ORACLE["eda_tx_by_year"])
 
 
+def test_entry_points_offer_all_queries():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 def test_entry(spark):
     first = entry_points.entry(spark)
     assert first.schema == entry_points.entry(spark).schema
