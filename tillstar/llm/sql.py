@@ -2,6 +2,124 @@
 
 from __future__ import annotations
 
+from tillstar.llm import mixing, quality_rules
+
+_WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_DEDUP = rf"""
+with recursive words as (
+  select doc_id, {_WORDS.format(text=_LOWER)} as w from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [w] else
+    list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) end) as s from words
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id group by all
+), links as (
+  select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * c >= 85 * (p.n + q.n - c)
+), edges as (
+  select a, b from links union select b, a from links
+), reach as (
+  select doc_id as node, doc_id as seen from words
+  union
+  select e.b, r.seen from reach r join edges e on e.a = r.node where r.seen < e.b
+)
+select w.doc_id, coalesce(s.n, 0)::bigint as n_shingles, least(w.doc_id, min(r.seen)) as component_id, least(w.doc_id, min(r.seen)) = w.doc_id as kept
+from words w left join sizes s on s.doc_id = w.doc_id left join reach r on r.node = w.doc_id group by w.doc_id, s.n
+"""
+
+MIXING = rf"""
+with sized as (
+  select doc_id, source, coalesce(len({_WORDS.format(text='text')}), 0)::bigint as size,
+    md5('{mixing.SEED}:' || coalesce(doc_id::varchar, '')) as hash
+  from documents
+), sources as (
+  select source, source_size, [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1]::bigint as weight
+  from (select source, sum(size)::bigint as source_size from sized group by source)
+), ordered as (
+  select *, row_number() over (order by 2.0 * source_size / weight, source nulls last) as place from sources
+), prefixes as (
+  select k.place as clamped,
+    (select sum(source_size) from ordered) * 150 - coalesce((select sum(source_size) from ordered o where o.place <= k.place), 0) * 200 as space,
+    coalesce((select sum(weight) from ordered o where o.place > k.place), 0) as weights,
+    coalesce((select min(2.0 * source_size / weight) from ordered o where o.place > k.place), 'infinity'::double) as next
+  from (select unnest(range(0, (select count(*) + 1 from ordered))) as place) k
+), chosen as (
+  select * from prefixes where weights = 0 or next > space::double / (100.0 * weights) order by clamped limit 1
+), goals as (
+  select source, source_size, case when place <= clamped then (2 * source_size)::double
+    else weight * space::double / (100.0::double * greatest(1, weights)::double) end as target
+  from ordered, chosen
+), parts as (
+  select s.*, source_size, target, case when source_size > 0 then floor(target / source_size) else 0 end as whole,
+    sum(size) over (partition by s.source order by hash) as reached, sum(size) over (partition by s.source, hash) as together
+  from sized s join goals g on s.source is not distinct from g.source
+)
+select doc_id, size, source_size, target,
+  (size * (whole::bigint + case when reached - together / 2.0::double <= target - whole * source_size then 1 else 0 end))::bigint as taken
+from parts
+"""
+
+
+def _quality_rules() -> str:
+    grid = ", ".join(f"('{n}', {p}, {c})" for n, cuts in quality_rules.CUTOFFS.items() for p, c in enumerate(cuts))
+    rates = {
+        "symbols": ("n_symbols", "word_chars"), "shouting": ("n_shouts", "word_chars"), "long_words": ("word_chars", "n_words"),
+        "dup_lines": ("n_dup_lines", "n_words"), "repeats": ("n_repeat_words", "n_words"),
+    }
+    each = " union all ".join(
+        f"select row, doc_id, lang, base_failed, '{n}' as rule, case when {b} > 0 then ({a} * 1000) // {b} else 0 end as rate from figures"
+        for n, (a, b) in rates.items()
+    )
+    share = quality_rules.ALPHA / len(rates)
+    return rf"""
+with docs as (
+  select row_number() over () as row, doc_id, lang, coalesce(text, '') as text, {_WORDS.format(text="coalesce(text, '')")} as w from documents
+), windows as (
+  select row, i, count(*) over (partition by row, s) as times from (
+    select row, w[i:i + 2] as s, i from (select row, w, unnest(range(1, len(w) - 1)) as i from docs)
+  )
+), covered as (
+  select row, count(distinct p) as n from (select row, unnest([i, i + 1, i + 2]) as p from windows where times > 1) group by row
+), lines as (
+  select row, count(*) - count(distinct line) as n from (select row, unnest(string_split(text, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by row
+), counted as (
+  select d.row, doc_id, lang, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols, coalesce(l.n, 0)::bigint as n_dup_lines,
+    coalesce(c.n, 0)::bigint as n_repeat_words, length(regexp_replace(text, '[^A-Z!]+', '', 'g'))::bigint as n_shouts
+  from docs d left join covered c on c.row = d.row left join lines l on l.row = d.row
+), figures as (
+  select *, n_words < {quality_rules.MIN_WORDS} or 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words as base_failed from counted
+), rates as ({each}), truth as (
+  select doc_id, min(quality) as quality from labels where doc_id is not null and quality is not null group by doc_id
+), grid(rule, place, cutoff) as (values {grid}), tested as (
+  select lang, r.rule, place, cutoff, count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and rate > cutoff) as k,
+    count(*) filter (quality = 0 and rate > cutoff) as bad
+  from rates r join truth using (doc_id) join grid g on g.rule = r.rule where not base_failed group by all
+), bounds as (
+  select *, k < n * {share}::double and list_sum(list_transform(range(0, least(k, 2000) + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}::double) + (n - i) * ln(1 - {share}::double))))
+    <= {quality_rules.DELTA} / ((select count(distinct coalesce(lang, chr(1))) from tested) * {len(rates)}) as passed
+  from tested
+), certified as (
+  select *, bad - {quality_rules.COST_OF_GOOD} * k as gain, bool_and(passed) over (partition by lang, rule order by place) as valid from bounds
+), chosen as (
+  select lang, rule, cutoff from certified where valid and gain > 0 qualify row_number() over (partition by lang, rule order by gain desc, place) = 1
+), rejected as (
+  select distinct row from rates r join chosen c on r.lang is not distinct from c.lang and r.rule = c.rule and rate > cutoff
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and row not in (select row from rejected) as kept
+from figures
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op3_minhash_near_dedup": NEAR_DEDUP,
+        "op4_source_mixing": MIXING,
+        "op10_quality_rules": _quality_rules(),
+    }
