@@ -10,10 +10,9 @@ linked when ``100 * |intersection| >= percent * |union|``, and components of lin
 3. A pair's signatures are compared batch by batch. With a uniform prior the similarity after m of n matches is
    Beta(m+1, n-m+1), so P(similarity >= t) = P(Binomial(n+1, t) <= m); a pair whose probability falls below
    ``miss`` leaves. Survivors are confirmed on their full sets.
-4. What is left are buckets that hold several components. The distance 1 - J is a metric and the distance of
-   each node to its centre (the node it was linked with) is known exactly: two nodes can only be linked if their
-   centres are at most (1-t) + both distances apart. So centres are compared first, and only members of centres
-   that are near enough are. No bucket is capped and none is expanded into all its pairs.
+4. What is left are buckets that hold several components, such as texts that share a long passage but are not linked.
+   They are dealt into chunks; every two chunks of a bucket meet in one task, where pairs of different components are
+   tested by step 3 and by their sets and only links come out. No bucket is capped, and no pair becomes a row.
 
 The number of bands is the least for which a pair at the threshold shares none with probability under ``miss``.
 Shingles are compared by 64-bit hash.
@@ -41,6 +40,7 @@ from tillstar.session import stored
 ROWS = 5  # hashes in a band
 BATCH = 20  # hashes compared between two looks at the posterior
 MISS = 1e-7
+CHUNK = 2048  # nodes of a bucket that are compared in one task
 _SLICE = 1024  # shingles hashed at once
 
 
@@ -64,6 +64,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _band_keys(signature: np.ndarray) -> np.ndarray:
+    grid = signature.reshape(-1, ROWS).astype(np.uint64)
+    out = np.arange(1, len(grid) + 1, dtype=np.uint64)
+    for j in range(ROWS):
+        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + grid[:, j])
+    return out.view(np.int64)
+
+
+def _looks(hashes: int, threshold: float, miss: float) -> list[tuple[int, int]]:
+    """After how many hashes a pair is looked at, and the matches that it needs by then."""
+    return [(n, least_matches(n, threshold, miss)) for n in [*range(BATCH, hashes, BATCH), hashes]]
+
+
 class Shingler:
     """Sets, signatures and band keys of texts; one per worker process."""
 
@@ -93,16 +106,9 @@ class Shingler:
             np.minimum(low, (self.factors[:, None] * part).min(axis=1), out=low)
         return (low >> np.uint64(32)).astype(np.uint32)
 
-    def band_keys(self, signature: np.ndarray) -> np.ndarray:
-        grid = signature.reshape(self.bands, ROWS).astype(np.uint64)
-        out = np.arange(1, self.bands + 1, dtype=np.uint64)
-        for j in range(ROWS):
-            out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + grid[:, j])
-        return out.view(np.int64)
-
 
 SKETCH = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>"
-SETS = "node bigint, n bigint, sig binary, members binary"
+SETS = "node bigint, n bigint, sig binary, brief binary, members binary"
 
 
 def sketches(docs: DataFrame, k: int, bands: int) -> DataFrame:
@@ -117,7 +123,7 @@ def sketches(docs: DataFrame, k: int, bands: int) -> DataFrame:
                 found = own.shingles(text.as_py())
                 if len(found):
                     digest = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
-                    rows.append((len(found), int(digest[0]), int(digest[1]), own.band_keys(own.signature(found))))
+                    rows.append((len(found), int(digest[0]), int(digest[1]), _band_keys(own.signature(found))))
                 else:
                     rows.append((0, None, None, None))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
@@ -127,6 +133,11 @@ def sketches(docs: DataFrame, k: int, bands: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(work, SKETCH)
 
 
+def _brief(members: np.ndarray) -> np.ndarray:
+    """Distinct halves of the hashes: sets can only look more alike by them, never less."""
+    return np.unique((members >> np.uint64(32)).astype(np.uint32))
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame, k: int, bands: int) -> DataFrame:
     """Signature and sorted shingle hashes of the documents in ``nodes``."""
 
@@ -138,9 +149,10 @@ def full_sets(docs: DataFrame, nodes: DataFrame, k: int, bands: int) -> DataFram
                 [
                     batch.column(0), pa.array([len(s) for s in found], pa.int64()),
                     pa.array([own.signature(s).tobytes() for s in found], pa.binary()),
+                    pa.array([_brief(s).tobytes() for s in found], pa.binary()),
                     pa.array([s.tobytes() for s in found], pa.binary()),
                 ],
-                names=["node", "n", "sig", "members"],
+                names=["node", "n", "sig", "brief", "members"],
             )
 
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("node"), text_or_empty().alias("text"))
@@ -159,7 +171,7 @@ def plausible(pairs: DataFrame, sets: DataFrame, threshold: float, miss: float)
             x = np.frombuffer(b"".join(left), np.uint32).reshape(len(left), -1)
             y = np.frombuffer(b"".join(right), np.uint32).reshape(len(left), -1)
             if looks is None:
-                looks = [(n, least_matches(n, threshold, miss)) for n in [*range(BATCH, x.shape[1], BATCH), x.shape[1]]]
+                looks = _looks(x.shape[1], threshold, miss)
             alive, matched, seen = np.arange(len(x)), np.zeros(len(x), int), 0
             for n, least in looks:
                 matched = matched + (x[alive, seen:n] == y[alive, seen:n]).sum(axis=1)
@@ -196,45 +208,78 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
-    """The linked ones among distinct pairs, with their distance."""
+    """The linked ones among distinct pairs."""
     survivors = stored(plausible(pairs, sets, percent / 100, miss), "survivors")
-    found = compared(survivors, sets).where(F.col("shared") * 100 >= F.col("joint") * percent)
-    return found.select("a", "b", (1 - F.col("shared") / F.col("joint")).alias("distance"))
-
-
-def _beyond_stars(members: DataFrame, stars: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Links between nodes of one bucket that the comparisons with its smallest node left in different components."""
-    reach = 1 - percent / 100
-    labels = components(stars)
-    centres = stars.groupBy(F.col("b").alias("node")).agg(F.min(F.struct("a", "distance")).alias("to"))
-    places = (
-        members.join(labels, "node", "left").join(centres, "node", "left")
-        .select(
-            "band", "node", F.coalesce("label", "node").alias("label"), F.coalesce("to.a", "node").alias("centre"),
-            F.coalesce("to.distance", F.lit(0.0)).alias("distance"),
-        )
-    )
-    mixed = places.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-    places = stored(places.join(mixed, "band"), "mixed")
-    if places.isEmpty():
-        return stars.limit(0)
-    spots = places.groupBy("band", "centre", "label").agg(F.max("distance").alias("radius"))
-    left = spots.select("band", F.col("centre").alias("a"), F.col("label").alias("la"), F.col("radius").alias("ra"))
-    right = spots.select("band", F.col("centre").alias("b"), F.col("label").alias("lb"), F.col("radius").alias("rb"))
-    near = stored(left.join(right, "band").where("a < b and la <> lb").select("band", "a", "b", "ra", "rb"), "centres")
-    widest = 3 * reach
-    between = compared(stored(plausible(near.select("a", "b").distinct(), sets, max(0.05, 1 - widest), miss), "near"), sets)
-    between = stored(between.withColumn("apart", 1 - F.col("shared") / F.col("joint")), "between")
-    direct = between.where(F.col("shared") * 100 >= F.col("joint") * percent).select("a", "b", F.col("apart").alias("distance"))
-    wide = near.where("ra > 0 or rb > 0").join(between, ["a", "b"]).where(F.col("apart") <= reach + F.col("ra") + F.col("rb") + 1e-9)
-    own = places.select("band", F.col("centre").alias("a"), F.col("node").alias("x"), F.col("distance").alias("dx"))
-    other = places.select("band", F.col("centre").alias("b"), F.col("node").alias("y"), F.col("distance").alias("dy"))
-    inner = (
-        wide.select("band", "a", "b", "apart").join(own, ["band", "a"]).join(other, ["band", "b"])
-        .where((F.col("apart") <= reach + F.col("dx") + F.col("dy") + 1e-9) & (F.col("dx") + F.col("dy") > 0))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return compared(survivors, sets).where(F.col("shared") * 100 >= F.col("joint") * percent).select("a", "b")
+
+
+def _links_in_cell(rows: pa.Table, threshold: float, looks: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Pairs of different components of a cell that are linked as far as 32-bit hashes tell.
+
+    A pair counts in the first band that it shares only, and not once both sides have been joined.
+    """
+    node, label, chunk, low = (rows.column(c).to_numpy() for c in ("node", "label", "chunk", "low"))
+    band = rows.column("band")[0].as_py()
+    sets = [np.frombuffer(v.as_py(), np.uint32) for v in rows.column("brief")]
+    sizes = np.array([len(v) for v in sets])
+    sig = np.frombuffer(b"".join(v.as_py() for v in rows.column("sig")), np.uint32).reshape(len(node), -1)
+    keys = np.vstack([_band_keys(v) for v in sig])
+    label = label.copy()
+    across = chunk.min() != chunk.max()
+    out: tuple[list[int], list[int]] = ([], [])
+    for x in range(len(node)):
+        alive = label != label[x]
+        if across:
+            alive &= (chunk != chunk[x]) & (chunk[x] == low[x])
+        else:
+            alive[: x + 1] = False
+        alive &= np.minimum(sizes, sizes[x]) >= threshold * np.maximum(sizes, sizes[x]) - 1e-6
+        others = np.flatnonzero(alive)
+        matched, seen = np.zeros(len(others), int), 0
+        for n, least in looks:
+            matched = matched + (sig[others, seen:n] == sig[x, seen:n]).sum(axis=1)
+            others, matched, seen = others[matched >= least], matched[matched >= least], n
+            if not len(others):
+                break
+        if len(others):
+            first = (keys[others] == keys[x]).argmax(axis=1)
+            others = others[keys[x][first] == band]
+        for y in others.tolist():
+            if label[y] == label[x]:
+                continue
+            common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if common >= threshold * (sizes[x] + sizes[y] - common) - 1e-6:
+                out[0].append(int(min(node[x], node[y])))
+                out[1].append(int(max(node[x], node[y])))
+                label[label == label[y]] = label[x]
+    return out
+
+
+def _between_components(members: DataFrame, stars: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links between nodes of one bucket that the comparisons with its smallest node left in different components.
+
+    Every mixed bucket is dealt into chunks of about ``CHUNK`` nodes; each pair of chunks is one cell, in which pairs
+    are tested in numpy and only links come out. At least one link comes out for each two components that are linked.
+    """
+    placed = members.join(components(stars), "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
+    chunks = F.ceil(F.col("n") / CHUNK)
+    dealt = (
+        placed.join(mixed.select("band", chunks.alias("chunks")), "band")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        .select("band", "node", "label", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
     )
-    return direct.unionByName(_links(inner, sets, percent, miss))
+    threshold = percent / 100
+    looks = _looks(bands_for(percent, miss) * ROWS, threshold, miss)
+
+    def cell(rows: pa.Table) -> pa.Table:
+        a, b = _links_in_cell(rows, threshold, looks)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    cells = dealt.join(sets.select("node", "sig", "brief"), "node").groupBy("band", "low", "high")
+    found = stored(cells.applyInArrow(cell, "a bigint, b bigint").distinct(), "inner")
+    return compared(found, sets).where(F.col("shared") * 100 >= F.col("joint") * percent).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, miss: float = MISS) -> DataFrame:
@@ -250,7 +295,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, miss: float
     sets = stored(full_sets(docs, members.select("node").distinct(), k, bands), "sets")
     pairs = members.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(_links(pairs, sets, percent, miss), "stars")
-    links = stars.unionByName(_beyond_stars(members.select("band", "node"), stars, sets, percent, miss)).select("a", "b")
+    links = stars.unionByName(_between_components(members.select("band", "node"), stars, sets, percent, miss))
 
     versions = known.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "node")
     several = versions.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
