@@ -16,7 +16,7 @@ def brute_force(text):
         for number, (name, notice) in enumerate(licenses.NOTICES):
             b = pairs(notice)
             dice = 2 * len(a & b) / (len(a) + len(b))
-            if dice >= licenses.THRESHOLD:
+            if 200 * len(a & b) >= licenses.PERCENT * (len(a) + len(b)):
                 best = max(best, (dice, -number, name), key=lambda x: x[:2])
                 names.add(name)
                 hits.add(frozenset(a))

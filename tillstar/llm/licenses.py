@@ -2,7 +2,7 @@
 
 A text is normalised to its lower-case runs of letters and digits. A notice and a unit (a line, or a paragraph between
 blank lines) are compared by the sets A, B of their word pairs (a single word is a pair by itself):
-2 |A and B| / (|A| + |B|). At least ``THRESHOLD`` can only be reached if |A| lies between t/(2-t) and (2-t)/t times |B|,
+2 |A and B| / (|A| + |B|). At least t = ``PERCENT`` / 100 can only be reached if |A| lies between t/(2-t) and (2-t)/t times |B|,
 which prunes notices before any pair is counted; units that no notice can match by size leave before their pairs are
 built into rows. The notices are a list in this module, so they are broadcast whatever the corpus.
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tillstar.session import stored
 
-THRESHOLD = 0.8
+PERCENT = 80  # least Dice coefficient
 
 # Notices as their licences recommend them, and the usual short forms.
 NOTICES = [
@@ -44,11 +44,8 @@ NOTICES = [
 
 
 def _pairs(words: str) -> str:
-    """SQL for the distinct word pairs of an array column."""
-    return (
-        f"if(size({words}) < 2, {words},"
-        f" array_distinct(transform(sequence(0, size({words}) - 2), i -> concat({words}[i], ' ', {words}[i + 1]))))"
-    )
+    """SQL for the distinct word pairs of an array column, without a lambda that looks into the whole array."""
+    return f"if(size({words}) < 2, {words}, array_compact(array_distinct(zip_with({words}, slice({words}, 2, size({words})), (x, y) -> concat(x, ' ', y)))))"
 
 
 def _words(text: str) -> str:
@@ -67,24 +64,23 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, license (the best match), dice, n_notices and licenses (all names) for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     known = stored(notices(spark).select("notice", "license", "pairs", F.size("pairs").cast("bigint").alias("b")), "notices")
-    widest = (2 - THRESHOLD) / THRESHOLD
-    low, high = known.agg(F.ceil(F.min("b") / widest), F.floor(F.max("b") * widest)).first()  # two numbers
+    least, most = known.agg(F.min("b"), F.max("b")).first()  # two numbers
+    low, high = -(-least * PERCENT // (200 - PERCENT)), most * (200 - PERCENT) // PERCENT
     units = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.explode(F.expr(
         r"array_union(split(coalesce(text, ''), '\n'), split(coalesce(text, ''), '\n[\\x20\\x09-\\x0D]*\n'))"
     )).alias("unit"))
+    # sizes outside the bounds leave with their array, not by a filter that would be computed before it
     paired = (
         units.select("doc_id", F.expr(_words("unit")).alias("words"))
-        .where(F.size("words") >= low)  # a set of pairs is no larger than the number of words
-        .select("doc_id", F.expr(_pairs("words")).alias("pairs"))
-        .select("doc_id", "pairs", F.size("pairs").cast("bigint").alias("a"))
-        .where(F.col("a").between(low, high))
-        .select("doc_id", "a", F.xxhash64("pairs").alias("unit"), F.explode("pairs").alias("pair"))
+        .select("doc_id", F.expr(f"if(size(words) < {low}, array(), {_pairs('words')})").alias("pairs"))
+        .select("doc_id", F.size("pairs").cast("bigint").alias("a"), F.xxhash64("pairs").alias("unit"),
+                F.explode(F.when(F.size("pairs").between(low, high), F.col("pairs")).otherwise(F.array())).alias("pair"))
     )
     listed = F.broadcast(known.select("notice", "license", "b", F.explode("pairs").alias("pair")))  # a list in this module
-    sized = (F.col("a") * F.lit(widest) >= F.col("b")) & (F.col("b") * F.lit(widest) >= F.col("a"))
+    sized = (F.greatest("a", "b") * PERCENT <= F.least("a", "b") * (200 - PERCENT))
     shared = paired.join(listed, "pair").where(sized).groupBy("doc_id", "unit", "a", "notice", "license", "b").agg(F.count_distinct("pair").alias("c"))
     dice = F.lit(2.0) * F.col("c") / (F.col("a") + F.col("b"))
-    matches = shared.withColumn("dice", dice).where(F.col("dice") >= THRESHOLD)
+    matches = shared.where(F.col("c") * 200 >= (F.col("a") + F.col("b")) * PERCENT).withColumn("dice", dice)
     best = matches.groupBy("doc_id").agg(
         F.max_by("license", F.struct("dice", -F.col("notice"))).alias("license"), F.max("dice").alias("dice"),
         F.count_distinct("unit").alias("n_notices"), F.array_join(F.sort_array(F.collect_set("license")), ",").alias("licenses"),

@@ -5,11 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, mixing, near_dedup, quality_rules
+from tillstar.llm import bpe, chat, html_text, licenses, mixing, near_dedup, nearest, quality_rules
 from tillstar.llm.common import table
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversations.union(spark.createDataFrame(extra, conversations.schema))
+    return chat.read_back(chat.format_branches(chat.conversation_messages(rows)))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -22,14 +31,30 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_formatting": op1_chat_formatting,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op4_source_mixing": op4_source_mixing,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_html_extraction": op6_html_extraction,
+        "op8_license_scan": op8_license_scan,
+        "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_quality_rules": op10_quality_rules,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillstar.llm import mixing, quality_rules
+from tillstar.llm import licenses, mixing, quality_rules
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,9 +117,36 @@ from figures
 """
 
 
+def _licenses() -> str:
+    listed = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(licenses.NOTICES))
+    words = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    pairs = "list_distinct(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end)"
+    return rf"""
+with notices(notice, license, text) as (values {listed}), known as (
+  select notice, license, {pairs} as p from (select *, {words.format("text")} as w from notices)
+), units as (
+  select doc_id, unnest(list_distinct(list_concat(string_split(coalesce(text, ''), chr(10)), regexp_split_to_array(coalesce(text, ''), '\n[\x20\x09-\x0D]*\n')))) as unit
+  from documents
+), paired as (
+  select distinct doc_id, {pairs} as p from (select doc_id, {words.format("unit")} as w from units) where len(w) between 1 and 200
+), compared as (
+  select doc_id, u.p, notice, license, len(list_intersect(u.p, k.p)) as c, len(u.p) + len(k.p) as total from paired u, known k
+), matches as (
+  select *, 2.0::double * c / total as dice from compared where 200 * c >= {licenses.PERCENT} * total
+), best as (
+  select doc_id, arg_max(license, struct_pack(a := dice, b := -notice)) as license, max(dice) as dice, count(distinct p) as n_notices,
+    string_agg(distinct license, ',' order by license) as licenses
+  from matches group by doc_id
+)
+select d.doc_id, b.license, b.dice, coalesce(b.n_notices, 0)::bigint as n_notices, coalesce(b.licenses, '') as licenses
+from documents d left join best b on b.doc_id is not distinct from d.doc_id
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op3_minhash_near_dedup": NEAR_DEDUP,
         "op4_source_mixing": MIXING,
+        "op8_license_scan": _licenses(),
         "op10_quality_rules": _quality_rules(),
     }
