@@ -12,6 +12,10 @@ from tillstar.llm.common import table
 from tillstar.session import stored
 
 STAGES = [
+    ("quality", stages.quality),
+    ("deduplicate", stages.deduplicate),
+    ("mask_personal_data", stages.mask_personal_data),
+    ("mix_sources", stages.mix_sources),
     ("encode", stages.encode),
 ]
 

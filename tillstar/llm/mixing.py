@@ -29,11 +29,14 @@ EPOCHS = 2
 SEED = "mix-1"
 
 
+def word_count():
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and the seeded hash of each row."""
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     hashed = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", words.alias("size"), hashed.alias("hash"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count().alias("size"), hashed.alias("hash"))
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = PERCENT, epochs: int = EPOCHS) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, html_text, licenses, mixing, near_dedup, nearest, quality_rules
+from tillstar.llm import bpe, chat, html_text, licenses, mixing, near_dedup, nearest, pii, quality_model, quality_rules
 from tillstar.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_branches(chat.conversation_messages(rows)))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -35,6 +39,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -50,10 +58,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
+        "op2_personal_data": op2_personal_data,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op4_source_mixing": op4_source_mixing,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_html_extraction": op6_html_extraction,
+        "op7_quality_classifier": op7_quality_classifier,
         "op8_license_scan": op8_license_scan,
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_quality_rules": op10_quality_rules,
