@@ -60,13 +60,28 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert reasons(loader.rejects()) == rejected
 
 
-def test_same_files_under_a_new_checkpoint_add_no_fact(spark, tmp_path):
+def test_a_new_checkpoint_keeps_old_facts_and_adds_none_twice(spark, tmp_path):
     w = empty_warehouse(spark, tmp_path / "w")
-    loader = FactStream(w, str(tmp_path / "out"))
-    loader.load_batch(transactions(spark, FIRST), 0)
-    loader.load_batch(transactions(spark, FIRST), 1)
+    folder, loader = tmp_path / "in", FactStream(w, str(tmp_path / "out"))
+    add_csv(spark, folder, FIRST)
+    run(loader, spark, folder, str(tmp_path / "one"))
     assert loader.facts().count() == 2
-    assert loader.rejects().where("Reason = 'duplicate'").agg(F.sum("Copies")).first()[0] == 1 + 3
+    add_csv(spark, folder, SECOND)
+    run(loader, spark, folder, str(tmp_path / "two"))
+    assert rows(loader.facts().select("Order_ID")) == [(1,), (2,), (4,)]
+    assert loader.rejects().where("Reason = 'duplicate'").agg(F.sum("Copies")).first()[0] == 1 + 3 + 1
+    found = {r.Stage: (r.Rows_In, r.Rows_Out) for r in loader.audit().collect()}
+    assert found["end_to_end"] == (4 + 7, 3) and found["customer_join"] == (11, 9)
+
+
+def test_batch_and_stream_share_a_folder(spark, tmp_path):
+    w = empty_warehouse(spark, tmp_path / "w")
+    w.append_sales(transactions(spark, FIRST))
+    loader = FactStream(w, w.root)
+    loader.load_batch(transactions(spark, SECOND), 0)
+    w.append_sales(transactions(spark, [*FIRST, (9, 1, "A", 1, "2017-01-08")]))
+    assert rows(w.table("fact_sales").select("Order_ID")) == [(1,), (2,), (4,), (9,)]
+    assert reasons(w.all_rejects()) == {"duplicate": 1 + 1 + 3, "customer_not_found": 2, "quantity_not_positive": 1}
 
 
 def test_no_rows(spark, tmp_path):

@@ -128,4 +128,5 @@ def quarter_label(quarter: Column, year: Column) -> Column:
 
 
 def purchase_amount(quantity: Column, price: Column) -> Column:
-    return (quantity.cast("decimal(10,0)") * price).cast("decimal(12,2)")
+    """NULL when the amount does not fit its column."""
+    return (quantity.cast("decimal(10,0)") * price).try_cast("decimal(12,2)")

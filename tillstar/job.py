@@ -25,6 +25,7 @@ from tillstar import schemas
 from tillstar.operators import profile, quality
 from tillstar.plans import dims, load, olap
 from tillstar.plans.star import Star, Warehouse
+from tillstar.session import cluster_settings, remove
 from tillstar.sources import readers
 from tillstar.streaming.fact_stream import FactStream, transaction_stream
 
@@ -54,9 +55,12 @@ REPORTS: dict[str, Callable[[Star, int, tuple[int, ...]], DataFrame]] = {
 
 def etl(
     spark: SparkSession, customers: str, products: str, transactions: str, root: str,
-    years: tuple[int, int] = (2015, 2020), stream: bool = False,
+    years: tuple[int, int] = (2015, 2020), stream: bool = False, rebuild: bool = False,
 ) -> Warehouse:
-    """Masters, dimensions, then facts and rejects; dimensions that exist are left as they are."""
+    """Masters, dimensions, then facts and rejects; dimensions that hold rows are left as they are.
+
+    Facts are added to those that exist; ``rebuild`` replaces all facts and rejects by this input.
+    """
     warehouse = Warehouse(spark, root)
     warehouse.load_masters(
         readers.clean_customers(readers.read_csv(spark, customers)),
@@ -69,11 +73,18 @@ def etl(
         rows = transaction_stream(spark, transactions, layout, "csv", files_per_batch=64)
         FactStream(warehouse, root).start(rows).awaitTermination()
     else:
-        warehouse.load_sales(readers.clean_transactions(readers.read_csv(spark, transactions)))
-        warehouse.rejects().write.mode("overwrite").parquet(f"{root}/fact_rejects")
+        if rebuild:
+            for name in ("fact_sales", "fact_rejects"):
+                remove(spark, f"{root}/{name}")
+        warehouse.append_sales(readers.clean_transactions(readers.read_csv(spark, transactions)))
     return warehouse
 
 
+def create(spark: SparkSession, root: str) -> None:
+    """Drop and create all tables of a warehouse, empty."""
+    schemas.recreate_tables(spark, root)
+
+
 def analysis(spark: SparkSession, customers: str, products: str, transactions: str) -> dict[str, DataFrame]:
     """Every quality and profile report of the raw files, by name."""
     people = readers.clean_customers(readers.read_csv(spark, customers))
@@ -129,26 +140,37 @@ def main(arguments: list[str] | None = None) -> None:
             sub.add_argument("--warehouse", required=True)
             sub.add_argument("--first-year", type=int, default=2015)
             sub.add_argument("--last-year", type=int, default=2020)
-            sub.add_argument("--stream", action="store_true")
+            how = sub.add_mutually_exclusive_group()
+            how.add_argument("--stream", action="store_true", help="read the transactions folder as a stream")
+            how.add_argument("--rebuild", action="store_true", help="replace all facts and rejects by this input")
         else:
             sub.add_argument("--output")
+    sub = commands.add_parser("create")
+    sub.add_argument("--warehouse", required=True)
     sub = commands.add_parser("report")
     sub.add_argument("--warehouse", required=True)
     sub.add_argument("--year", type=int, default=2017)
     sub.add_argument("--years", type=int, nargs="+", default=[2017, 2018])
     sub.add_argument("--output")
     sub.add_argument("names", nargs="*", default=[], help="report names; none for all")
+    parser.add_argument("--input-bytes", type=int, default=0, help="size of the input, to set shuffle partitions by")
+    parser.add_argument("--cores", type=int, default=0, help="cores of all executors together")
     given = parser.parse_args(arguments)
 
-    spark = SparkSession.builder.appName("tillstar").getOrCreate()
+    settings = cluster_settings(given.input_bytes, given.cores) if given.input_bytes else {}
+    spark = SparkSession.builder.appName("tillstar").config(map=settings).getOrCreate()
     if given.command == "etl":
         warehouse = etl(
             spark, given.customers, given.products, given.transactions, given.warehouse,
-            (given.first_year, given.last_year), given.stream,
+            (given.first_year, given.last_year), given.stream, given.rebuild,
         )
-        rejects = spark.read.schema(schemas.FACT_REJECTS).parquet(f"{given.warehouse}/fact_rejects")
+        rejects = warehouse.all_rejects()
         quality.row_counts({t: warehouse.table(t) for t in schemas.STAR_TABLES}).show()
         rejects.groupBy("Reason").agg(F.sum("Copies").alias("Rows")).show()
+        if given.stream:
+            FactStream(warehouse, given.warehouse).audit().show(truncate=False)
+    elif given.command == "create":
+        create(spark, given.warehouse)
     elif given.command == "report":
         star = Warehouse(spark, given.warehouse).star
         for name in given.names or REPORTS:

@@ -11,7 +11,7 @@ others. Larger baskets (few by nature: at most rows / SMALL_BASKET) are never pa
   is a single class. Within a pair of classes all pairs have the same count, and ties go to the
   smallest items, so the first ``top + 1`` items of a class are enough.
 
-Before that, on tables where it pays, the pairs among the most frequent items give a first threshold:
+Before that, the pairs among the most frequent items give a first threshold:
 items that occur less often than that cannot be in a result pair and leave before any pairing.
 """
 
@@ -21,24 +21,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.operators.skew import HOT_SHARE, join_repeated
-from tillstar.session import estimated_bytes, stored
+from tillstar.session import stored
 
 SMALL_BASKET = 100
 PROBE_PAIRS = 1000
 PROBE_ITEMS = 200
-PRUNE_FROM_BYTES = 2**30
-WORTHWHILE_SHARE = 0.8
 
 
 def top_pairs(
-    lines: DataFrame, basket: str, item: str, top: int, small_basket: int = SMALL_BASKET, prune: bool | None = None
+    lines: DataFrame, basket: str, item: str, top: int, small_basket: int = SMALL_BASKET, prune: bool = True
 ) -> DataFrame:
     """Columns ``First`` < ``Second`` and ``Baskets``; order: most baskets, then smallest items.
 
-    ``prune`` drops rare items first (by default on tables of some size); the result is the same.
+    ``prune`` drops rare items first; without it (for tests) the result is the same.
     """
     lines = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
-    if prune or (prune is None and estimated_bytes(lines) >= PRUNE_FROM_BYTES):
+    if prune:
         lines = _without_rare_items(lines, top)
     sizes = lines.groupBy("basket").agg(F.count(F.lit(1)).alias("rows"))
     large = sizes.where(F.col("rows") > small_basket)
@@ -70,11 +68,6 @@ def _without_rare_items(lines: DataFrame, top: int) -> DataFrame:
     # at most PROBE_ITEMS items, so even the largest basket has a bounded number of pairs here
     probed = lines.join(F.broadcast(frequent), "item", "left_semi").distinct()
     threshold = _reached(_pair_counts(probed), top)
-    kept = counts.agg(
-        F.coalesce(F.sum(F.when(F.col("rows") >= threshold, F.col("rows"))) / F.sum("rows"), F.lit(1.0)).alias("share")
-    ).first()
-    if kept.share > WORTHWHILE_SHARE:
-        return lines
     return lines.join(counts.where(F.col("rows") >= threshold).select("item"), "item", "left_semi")
 
 

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tillstar.session import write_if_empty
 
-def write_sorted(df: DataFrame, key: str, path: str, mode: str = "ignore") -> None:
-    """Range-partition and sort by ``key``: files hold disjoint key ranges, row groups prune by it."""
-    df.repartitionByRange(key).sortWithinPartitions(key).write.mode(mode).parquet(path)
+
+def write_sorted(df: DataFrame, key: str, path: str) -> None:
+    """Range-partition and sort by ``key``: files hold disjoint key ranges, row groups prune by it.
+
+    A table that holds rows stays as it is.
+    """
+    write_if_empty(df.repartitionByRange(key).sortWithinPartitions(key), path)
 
 
 def read_with_dense_key(spark: SparkSession, path: str, key: str, key_name: str) -> DataFrame:

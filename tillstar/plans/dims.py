@@ -12,6 +12,7 @@ from tillstar import schemas
 from tillstar.functions import numeric, rules
 from tillstar.operators.dedupe import first_by_minimum
 from tillstar.operators.keys import read_with_dense_key, write_sorted
+from tillstar.session import write_if_empty
 
 
 # --- calendar ---------------------------------------------------------------
@@ -166,27 +167,27 @@ _KEYED = {
 }
 
 
-def store_masters(customers: DataFrame, products: DataFrame, root: str, mode: str = "ignore") -> None:
-    """Sorted master relations; with ``mode="ignore"`` a second run leaves them as they are."""
+def store_masters(customers: DataFrame, products: DataFrame, root: str) -> None:
+    """Sorted master relations; those that hold rows stay as they are."""
     together(
-        lambda: write_sorted(unique_master(customers, "Customer_ID"), "Customer_ID", f"{root}/master_customer", mode),
-        lambda: write_sorted(unique_master(products, "Product_ID"), "Product_ID", f"{root}/master_product", mode),
+        lambda: write_sorted(unique_master(customers, "Customer_ID"), "Customer_ID", f"{root}/master_customer"),
+        lambda: write_sorted(unique_master(products, "Product_ID"), "Product_ID", f"{root}/master_product"),
     )
 
 
-def store_dimensions(spark: SparkSession, root: str, years: DataFrame, mode: str = "ignore") -> None:
-    """Build the five dimensions from the stored masters; independent tables are written side by side."""
+def store_dimensions(spark: SparkSession, root: str, years: DataFrame) -> None:
+    """Build the five dimensions from the stored masters, unless they hold rows; independent tables side by side."""
     products = spark.read.parquet(f"{root}/master_product")
     together(
-        lambda: dim_date(years).coalesce(1).write.mode(mode).parquet(f"{root}/dim_date"),
-        lambda: write_sorted(stores(products), "Store_ID", f"{root}/grouped_store", mode),
-        lambda: write_sorted(suppliers(products), "Supplier_ID", f"{root}/grouped_supplier", mode),
-        lambda: load_dimension(spark, f"{root}/master_customer", "dim_customer", f"{root}/dim_customer", mode),
-        lambda: load_dimension(spark, f"{root}/master_product", "dim_product", f"{root}/dim_product", mode),
+        lambda: write_if_empty(dim_date(years).coalesce(1), f"{root}/dim_date"),
+        lambda: write_sorted(stores(products), "Store_ID", f"{root}/grouped_store"),
+        lambda: write_sorted(suppliers(products), "Supplier_ID", f"{root}/grouped_supplier"),
+        lambda: load_dimension(spark, f"{root}/master_customer", "dim_customer", f"{root}/dim_customer"),
+        lambda: load_dimension(spark, f"{root}/master_product", "dim_product", f"{root}/dim_product"),
     )
     together(
-        lambda: load_dimension(spark, f"{root}/grouped_store", "dim_store", f"{root}/dim_store", mode),
-        lambda: load_dimension(spark, f"{root}/grouped_supplier", "dim_supplier", f"{root}/dim_supplier", mode),
+        lambda: load_dimension(spark, f"{root}/grouped_store", "dim_store", f"{root}/dim_store"),
+        lambda: load_dimension(spark, f"{root}/grouped_supplier", "dim_supplier", f"{root}/dim_supplier"),
     )
 
 
@@ -197,11 +198,11 @@ def together(*writes: Callable[[], None]) -> None:
             done.result()
 
 
-def load_dimension(spark: SparkSession, source: str, table: str, target: str, mode: str = "ignore") -> None:
+def load_dimension(spark: SparkSession, source: str, table: str, target: str) -> None:
     if table not in _KEYED:
         raise ValueError(f"unknown dimension table: {table}")
     natural, surrogate, build = _KEYED[table]
-    build(read_with_dense_key(spark, source, natural, surrogate)).write.mode(mode).parquet(target)
+    write_if_empty(build(read_with_dense_key(spark, source, natural, surrogate)), target)
 
 
 def key_lookup(dimension: DataFrame, table: str) -> DataFrame:

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar import schemas
 from tillstar.functions import rules
 from tillstar.operators.dedupe import first_by_minimum, keep_first, repeated_keys, surplus_rows
+from tillstar.session import path_exists
 
-UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTITY, DUPLICATE = (
+PART = "Load_Batch"
+
+UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTITY, NO_PRICE, BAD_AMOUNT, DUPLICATE = (
     "unparsable",
     "customer_not_found",
     "product_not_found",
@@ -21,6 +25,8 @@ UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTI
     "supplier_not_found",
     "date_out_of_calendar",
     "quantity_not_positive",
+    "price_missing",
+    "amount_out_of_range",
     "duplicate",
 )
 
@@ -81,6 +87,8 @@ def _first_reason() -> Column:
         .when(F.col("Supplier_Key").isNull(), NO_SUPPLIER)
         .when(F.col("Date_Key").isNull(), BAD_DATE)
         .when(F.col("Quantity") <= 0, BAD_QUANTITY)
+        .when(F.col("Price").isNull(), NO_PRICE)
+        .when(rules.purchase_amount(F.col("Quantity"), F.col("Price")).isNull(), BAD_AMOUNT)
     )
 
 
@@ -142,8 +150,19 @@ def write_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+def part_folder(path: str, part: str) -> str:
+    """The folder of one load below a table; batch and stream loads share this layout."""
+    return f"{path}/{PART}={part}"
+
+
+def read_parts(spark: SparkSession, path: str, layout: StructType) -> DataFrame:
+    """All loads of a table, with the name of each in ``Load_Batch``; empty before the first one."""
+    named = StructType([*layout.fields, StructField(PART, StringType())])
+    return spark.read.schema(named).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], named)
+
+
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.FACT_SALES).parquet(path)
+    return read_parts(spark, path, schemas.FACT_SALES).drop(PART)
 
 
 # --- rejects ------------------------------------------------------------------
@@ -172,16 +191,13 @@ def all_rejects(resolved: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 # --- facts of earlier loads ---------------------------------------------------
-def date_extent(rows: DataFrame) -> tuple[int, int]:
-    """First and last date key, (0, 0) without rows."""
-    extent = rows.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).first()
-    return extent.low or 0, extent.high or 0
+def stored_keys(facts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Unique keys of stored facts on the dates that occur in ``rows``; years without such a date are not read.
 
-
-def stored_keys(facts: DataFrame, low: int, high: int) -> DataFrame:
-    """Unique keys of stored facts between two date keys; other years and dates are not read."""
-    within = F.col("Sale_Year").between(low // 10000, high // 10000) & F.col("Date_Key").between(low, high)
-    return facts.where(within).select(*schemas.FACT_UNIQUE_KEY)
+    The dates are rows of the calendar at most, so they are broadcast, which also prunes the year folders.
+    """
+    dates = rows.select("Date_Key").distinct().withColumn("Sale_Year", F.floor(F.col("Date_Key") / 10000).cast("int"))
+    return facts.join(F.broadcast(dates), ["Sale_Year", "Date_Key"], "left_semi").select(*schemas.FACT_UNIQUE_KEY)
 
 
 def already_loaded(sales: DataFrame, seen: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -195,21 +211,23 @@ def already_loaded(sales: DataFrame, seen: DataFrame, customers: DataFrame, prod
 
 
 # --- audit --------------------------------------------------------------------
-def load_audit(resolved: DataFrame, facts: DataFrame) -> DataFrame:
-    """One row per stage: rows in, rows matched, match rate; rates are NULL on empty input."""
-
-    def rows_where(condition: Column, name: str) -> Column:
-        return F.count_if(condition).alias(name)
-
+def audit_counts(resolved: DataFrame, facts: DataFrame) -> DataFrame:
+    """One row: input rows, those with a customer, with a product too, and facts."""
     customer_found = F.col("Customer_Key").isNotNull()
-    product_found = customer_found & F.col("Product_Key").isNotNull()
     counts = resolved.agg(
         F.count(F.lit(1)).alias("streamed"),
-        rows_where(customer_found, "customer"),
-        rows_where(product_found, "product"),
+        F.count_if(customer_found).alias("customer"),
+        F.count_if(customer_found & F.col("Product_Key").isNotNull()).alias("product"),
     )
-    loaded = facts.agg(F.count(F.lit(1)).alias("loaded"))
-    both = counts.select("*", loaded.scalar().alias("loaded"))
+    return counts.select("*", facts.agg(F.count(F.lit(1)).alias("loaded")).scalar().alias("loaded"))
+
+
+def load_audit(resolved: DataFrame, facts: DataFrame) -> DataFrame:
+    """One row per stage: rows in, rows matched, match rate; rates are NULL on empty input."""
+    return audit_stages(audit_counts(resolved, facts))
+
+
+def audit_stages(counts: DataFrame) -> DataFrame:
     stages = F.array(
         _stage(1, "stream", "streamed", "streamed"),
         _stage(2, "customer_join", "streamed", "customer"),
@@ -218,7 +236,7 @@ def load_audit(resolved: DataFrame, facts: DataFrame) -> DataFrame:
         _stage(5, "end_to_end", "streamed", "loaded"),
     )
     rate = F.col("Rows_Out").cast("decimal(20,0)") * 100 / F.nullif("Rows_In", F.lit(0)).cast("decimal(20,0)")
-    return both.select(F.inline(stages)).select(
+    return counts.select(F.inline(stages)).select(
         "Stage_No",
         "Stage",
         "Rows_In",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tillstar import schemas
 from tillstar.operators.skew import with_salt
 from tillstar.plans import dims, load
-from tillstar.session import estimated_bytes, new_work_folder, stored
+from tillstar.session import estimated_bytes, new_work_folder, remove, remove_stored, stored, write_if_empty
 from tillstar.sources import binding, readers
 
 LANDING_FILE_BYTES = 256 * 2**20
@@ -52,7 +53,7 @@ class Warehouse:
     def load_dimensions(self, years: DataFrame) -> None:
         dims.store_dimensions(self.spark, self.root, years)
         parts = [self.table(t) for t in ("master_product", "dim_product", "dim_store", "dim_supplier")]
-        load.product_keys(*parts).write.mode("ignore").parquet(f"{self.root}/product_keys")
+        write_if_empty(load.product_keys(*parts), f"{self.root}/product_keys")
 
     def lookups(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Customer keys, product keys (with price, store and supplier keys) and the calendar.
@@ -63,7 +64,7 @@ class Warehouse:
         return load.customer_keys(self.table("dim_customer")), self.table("product_keys"), self.table("dim_date")
 
     def load_sales(self, transactions: DataFrame) -> None:
-        """Stage the resolved rows, then write the facts from the stage.
+        """Rebuild the facts: stage the resolved rows, then replace the facts from the stage.
 
         The stage is written because facts, rejects and audit all read it and because it cuts the
         lineage: a lost executor costs a re-read, not the joins.
@@ -72,23 +73,35 @@ class Warehouse:
         rows = load.loadable(self.table("stage_sales"))
         load.repeated_sales(rows).write.mode("overwrite").parquet(f"{self.root}/stage_repeated")
         sales = load.unique_sales(rows, self.table("stage_repeated"))
-        load.write_facts(load.fact_rows(sales), f"{self.root}/fact_sales", mode="overwrite")
+        remove(self.spark, f"{self.root}/fact_sales")
+        load.write_facts(load.fact_rows(sales), load.part_folder(f"{self.root}/fact_sales", "rebuilt"), mode="overwrite")
+        self.__dict__.pop("star", None)  # its file listing is out of date
 
     def append_sales(self, transactions: DataFrame) -> DataFrame:
-        """Add transactions to existing facts and return the rejects.
+        """Add transactions to the facts, if there are any, and to the rejects; returns the rejects of this load.
 
         A row whose fact key is already stored is a duplicate, so loading the same input again, or
-        again after a failure half way, adds nothing.
+        again after a failure half way, adds no fact. Every load writes a folder of its own.
         """
+        part = f"batch-{uuid.uuid4().hex}"
         resolved = stored(load.resolve(transactions, *self.lookups()), "stage_sales")
         rows = load.loadable(resolved)
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
         sales = load.unique_sales(rows, repeated)
-        seen = load.stored_keys(self.table("fact_sales"), *load.date_extent(rows))
+        seen = load.stored_keys(self.table("fact_sales"), rows)
         known = stored(load.already_loaded(sales, seen, *self.lookups()[:2]), "known_sales")
-        load.write_facts(load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti")), f"{self.root}/fact_sales")
+        rejects = load.all_rejects(resolved, repeated).unionByName(known)
+        rejects.write.parquet(load.part_folder(f"{self.root}/fact_rejects", part))
+        new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
+        load.write_facts(new, load.part_folder(f"{self.root}/fact_sales", part))
         self.__dict__.pop("star", None)  # its file listing is out of date
-        return load.all_rejects(resolved, repeated).unionByName(known)
+        for done in (resolved, repeated, known):
+            remove_stored(done)
+        return self.spark.read.schema(schemas.FACT_REJECTS).parquet(load.part_folder(f"{self.root}/fact_rejects", part))
+
+    def all_rejects(self) -> DataFrame:
+        """The rejects of every appended batch and stream load."""
+        return load.read_parts(self.spark, f"{self.root}/fact_rejects", schemas.FACT_REJECTS).drop(load.PART)
 
     def rejects(self) -> DataFrame:
         return load.all_rejects(self.table("stage_sales"), self.table("stage_repeated"))

@@ -17,6 +17,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from tillstar.session import remove
+
 PRICE = DecimalType(10, 2)
 AMOUNT = DecimalType(12, 2)
 
@@ -104,6 +106,8 @@ MASTER_TABLES = {"master_customer": MASTER_CUSTOMER, "master_product": MASTER_PR
 
 def recreate_tables(spark: SparkSession, root: str) -> None:
     """Drop and create every warehouse table, empty, below ``root``."""
+    for name in ("grouped_store", "grouped_supplier", "product_keys", "fact_rejects", "fact_sales"):
+        remove(spark, f"{root}/{name}")
     for name, layout in {**STAR_TABLES, **MASTER_TABLES}.items():
         writer = spark.createDataFrame([], layout).write.mode("overwrite")
         if name == "fact_sales":

@@ -36,7 +36,7 @@ def cluster_settings(input_bytes: int, executor_cores: int) -> dict[str, str]:
     partitions = max(2 * executor_cores, -(-input_bytes // (128 * 2**20)))
     return {
         **_SETTINGS,
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
         "spark.sql.files.maxPartitionBytes": "256m",
@@ -62,6 +62,42 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop_path(spark, path)
+    return files.exists(place)
+
+
+def is_loaded(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has finished and left at least one row."""
+    return path_exists(spark, f"{path}/_SUCCESS") and not _without_files(spark, path) and not spark.read.parquet(path).isEmpty()
+
+
+def _without_files(spark: SparkSession, path: str) -> bool:
+    files, place = _hadoop_path(spark, path)
+    listed = files.listFiles(place, True)
+    while listed.hasNext():
+        if listed.next().getPath().getName().endswith(".parquet"):
+            return False
+    return True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored rows that nothing reads any more."""
+    files, place = _hadoop_path(spark, path)
+    files.delete(place, True)
+
+
+def write_if_empty(df: DataFrame, path: str) -> None:
+    """Load a table unless it holds rows; an empty or half-written one is replaced."""
+    if not is_loaded(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, lineage cut, sizes known."""
     path = new_work_folder(df.sparkSession, label)
@@ -69,6 +105,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_stored(df: DataFrame) -> None:
+    """Delete the folder that ``stored`` wrote for ``df``, once nothing reads it any more."""
+    for path in {name.rpartition("/")[0] for name in df.inputFiles()[:1]}:
+        remove(df.sparkSession, path)
+
+
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
 

@@ -9,17 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tillstar import schemas
 from tillstar.plans import load
 from tillstar.plans.dims import together
 from tillstar.plans.star import Warehouse
+from tillstar.session import remove_stored, stored
 from tillstar.sources import readers
 
-BATCH = "Load_Batch"
-_STORED_FACTS = StructType([*schemas.FACT_SALES.fields, StructField(BATCH, LongType())])
-_STORED_REJECTS = StructType([*schemas.FACT_REJECTS.fields, StructField(BATCH, LongType())])
+#: Identifies a query across restarts, set by Spark for the thread that runs a batch.
+_QUERY_ID = "sql.streaming.queryId"
+_AUDIT = "streamed bigint, customer bigint, product bigint, loaded bigint"
 
 
 def transaction_stream(
@@ -35,7 +36,8 @@ def transaction_stream(
 class FactStream:
     """Loads a transaction stream into ``<root>/fact_sales`` and ``<root>/fact_rejects``.
 
-    Both are partitioned by batch; do not mix them with a batch load in the same folder.
+    Every batch has folders of its own, named by query and batch: a batch that runs again replaces just these, and
+    a new checkpoint, which is a new query, starts folders that no other load touches. Batch loads share the layout.
     """
 
     def __init__(self, warehouse: Warehouse, root: str):
@@ -52,46 +54,39 @@ class FactStream:
             .start()
         )
 
-    def load_batch(self, batch: DataFrame, batch_id: int) -> None:
-        resolved = load.resolve(batch, *self.lookups).persist()
+    def load_batch(self, batch: DataFrame, batch_id: int, query: str | None = None) -> None:
+        part = f"{query or self.spark.sparkContext.getLocalProperty(_QUERY_ID) or 'direct'}-{batch_id}"
+        resolved = stored(load.resolve(batch, *self.lookups), "stage_sales")
         rows = load.loadable(resolved)
-        repeated = load.repeated_sales(rows).persist()
-        try:
-            # one row: the dates this batch touches and how many of its keys occur more than once
-            extent = rows.agg(F.min("Date_Key").alias("low"), F.max("Date_Key").alias("high")).withColumn(
-                "repeated", repeated.agg(F.count(F.lit(1))).scalar()
-            ).first()
-            seen = self._earlier(batch_id, extent.low or 0, extent.high or 0)
-            sales = load.unique_sales(rows, repeated)
-            new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
-            rejects = load.rejected_rows(resolved).unionByName(load.already_loaded(sales, seen, *self.lookups[:2]))
-            if extent.repeated:
-                rejects = rejects.unionByName(load.duplicate_rows(rows, repeated))
-            together(
-                lambda: load.write_facts(new, self._folder("fact_sales", batch_id), mode="overwrite"),
-                lambda: rejects.write.mode("overwrite").parquet(self._folder("fact_rejects", batch_id)),
-            )
-        finally:
-            repeated.unpersist()
-            resolved.unpersist()
+        repeated = stored(load.repeated_sales(rows), "stage_repeated")
+        seen = stored(load.stored_keys(self._others("fact_sales", part), rows), "seen_sales")
+        sales = load.unique_sales(rows, repeated)
+        new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
+        rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(sales, seen, *self.lookups[:2]))
+        together(
+            lambda: load.write_facts(new, self._folder("fact_sales", part), mode="overwrite"),
+            lambda: rejects.write.mode("overwrite").parquet(self._folder("fact_rejects", part)),
+        )
+        loaded = self.spark.read.schema(schemas.FACT_SALES).parquet(self._folder("fact_sales", part))
+        load.audit_counts(resolved, loaded).write.mode("overwrite").parquet(self._folder("load_audit", part))
+        for done in (seen, repeated, resolved):
+            remove_stored(done)
 
     def facts(self) -> DataFrame:
-        return self._read("fact_sales", _STORED_FACTS).drop(BATCH)
+        return load.read_parts(self.spark, f"{self.root}/fact_sales", schemas.FACT_SALES).drop(load.PART)
 
     def rejects(self) -> DataFrame:
-        return self._read("fact_rejects", _STORED_REJECTS).drop(BATCH)
-
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.root}/{kind}/{BATCH}={batch_id}"
-
-    def _read(self, kind: str, layout: StructType) -> DataFrame:
-        # the folder may not exist before the first batch with rows
-        empty = self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in layout.fields])
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return self.spark.read.schema(layout).parquet(f"{self.root}/{kind}") if files.exists(path) else empty
-
-    def _earlier(self, batch_id: int, low: int, high: int) -> DataFrame:
-        """Fact keys of earlier batches, read only for the dates between ``low`` and ``high``."""
-        earlier = self._read("fact_sales", _STORED_FACTS).where(F.col(BATCH) < batch_id)
-        return load.stored_keys(earlier, low, high)
+        return load.read_parts(self.spark, f"{self.root}/fact_rejects", schemas.FACT_REJECTS).drop(load.PART)
+
+    def audit(self) -> DataFrame:
+        """The load audit over all batches: rows in, rows matched, match rate per stage."""
+        layout = StructType.fromDDL(_AUDIT)
+        counts = load.read_parts(self.spark, f"{self.root}/load_audit", layout)
+        return load.audit_stages(counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in layout.names]))
+
+    def _folder(self, kind: str, part: str) -> str:
+        return load.part_folder(f"{self.root}/{kind}", part)
+
+    def _others(self, kind: str, part: str) -> DataFrame:
+        """Facts of every load but this batch, whichever query or batch job wrote them."""
+        return load.read_parts(self.spark, f"{self.root}/{kind}", schemas.FACT_SALES).where(F.col(load.PART) != part)
