@@ -14,7 +14,7 @@ from tillstar.operators import profile, quality
 from tillstar.operators.dedupe import keep_first, repeated_keys, surplus_rows
 from tillstar.operators.keys import key_page
 from tillstar.plans import dims, load, olap
-from tillstar.plans.star import Star, Workspace, workspace
+from tillstar.plans.star import FILES_PER_BATCH, Star, Warehouse, Workspace, workspace
 from tillstar.session import stored
 from tillstar.sources import binding, readers
 from tillstar.streaming.fact_stream import FactStream, transaction_stream
@@ -75,7 +75,21 @@ def fact_sales(w: Workspace) -> DataFrame:
 
 
 def fact_rejects(w: Workspace) -> DataFrame:
-    return w.held_back.rejects()
+    return w.faulty.rejects()
+
+
+def fact_append(w: Workspace) -> DataFrame:
+    """Half of the orders as one batch, then all of them as a second one."""
+
+    def build() -> Warehouse:
+        warehouse = Warehouse(w.spark, f"{w.root}/append")
+        warehouse.load_masters(w.customers, w.products)
+        warehouse.load_dimensions(dims.years_of(w.transactions, "Sale_Date"))
+        warehouse.append_sales(w.transactions.where("Order_ID % 2 = 0"))
+        warehouse.append_sales(w.transactions)
+        return warehouse
+
+    return plain(w.once("append", build).table("fact_sales").drop(*_INTERNAL))
 
 
 def fact_dedup(w: Workspace) -> DataFrame:
@@ -93,21 +107,26 @@ def _repeated(w: Workspace) -> DataFrame:
 
 
 def load_audit(w: Workspace) -> DataFrame:
-    h = w.held_back
+    h = w.faulty
     return load.load_audit(h.table("stage_sales"), h.table("fact_sales"))
 
 
-def stream_fact_load(w: Workspace) -> DataFrame:
-    """The fact load as a stream over the landing folder, run to its end."""
+def _streamed(w: Workspace) -> FactStream:
+    """The fact load as a stream over the landing folder, then, as a second query, over repeated lines."""
 
     def run() -> FactStream:
         loader = FactStream(w.full, f"{w.root}/stream")
         layout = w.spark.read.parquet(w.landing).schema
-        rows = transaction_stream(w.spark, w.landing, layout, files_per_batch=w.files_per_batch)
-        loader.start(rows).awaitTermination()
+        for folder in (w.landing, w.late):
+            rows = transaction_stream(w.spark, folder, layout, files_per_batch=FILES_PER_BATCH)
+            loader.start(rows, f"{folder}_checkpoint").awaitTermination()
         return loader
 
-    return plain(w.once("stream", run).facts().drop(*_INTERNAL))
+    return w.once("stream", run)
+
+
+def stream_fact_load(w: Workspace) -> DataFrame:
+    return plain(_streamed(w).facts().drop(*_INTERNAL))
 
 
 # --- quality ------------------------------------------------------------------
@@ -125,8 +144,8 @@ def dq_key_uniqueness(w: Workspace) -> DataFrame:
 
 
 def dq_reconciliation(w: Workspace) -> DataFrame:
-    h = w.held_back
-    rows = w.transactions.select(*SALE)
+    h = w.faulty
+    rows = w.all_transactions.select(*SALE)
     return quality.reconciliation(
         rows, load.enriched_sales(rows, h.table("master_customer"), h.table("master_product"))
     )
@@ -139,22 +158,21 @@ def dq_non_null_counts(w: Workspace) -> DataFrame:
 
 
 def dq_fk_violations(w: Workspace) -> DataFrame:
-    """The facts against dimensions that lack the held-back members."""
-    star = w.star
-    part = F.substring("Product_ID", 2, 12).cast("bigint")
-    reduced = replace(
-        star,
-        dim_customer=star.dim_customer.where(F.col("Customer_ID") % 50 != 49),
-        dim_product=star.dim_product.where(part % 40 != 39),
-        dim_date=star.dim_date.where(F.col("Year") <= binding.HELD_BACK_CALENDAR_END),
-    )
-    return quality.foreign_key_violations(reduced)
+    """All facts, and some of them once more with a key that no dimension has."""
+    facts = w.star.fact_sales
+    broken = [
+        facts.where(F.col("Order_ID") % 50 == k).withColumn(key, -F.col(key))
+        for k, key in enumerate(("Customer_Key", "Product_Key", "Store_Key", "Supplier_Key", "Date_Key"), 1)
+    ]
+    for rows in broken:
+        facts = facts.unionByName(rows)
+    return quality.foreign_key_violations(replace(w.star, fact_sales=facts))
 
 
 def dq_constraint_violations(w: Workspace) -> DataFrame:
     """The rules of the fact table on all rows before rejection, and of every stored table after it."""
     keys = ("Order_ID", "Customer_Key", "Product_Key", "Store_Key", "Supplier_Key", "Date_Key", "Quantity")
-    h, star = w.held_back, w.star
+    h, star = w.faulty, w.star
     fact_rules = {**quality.positive_rule("Quantity"), **quality.not_null_rules(*keys)}
     return quality.constraint_violations({
         "staged_sales": (h.table("stage_sales"), {**fact_rules, **quality.not_null_rules("Price")}),
@@ -214,6 +232,7 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "enrich_customer": enrich_customer,
     "enrich_product": enrich_product,
     "fact_sales": fact_sales,
+    "fact_append": fact_append,
     "fact_rejects": fact_rejects,
     "fact_dedup": fact_dedup,
     "fact_duplicates": fact_duplicates,
@@ -226,12 +245,13 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "load_audit": load_audit,
     "stream_fact_load": stream_fact_load,
+    "stream_load_audit": lambda w: _streamed(w).audit(),
     # quality
     "dq_key_uniqueness": dq_key_uniqueness,
     "dq_orphan_customers": lambda w: quality.orphans(
-        w.transactions, w.held_back.table("master_customer"), "Customer_ID"
+        w.all_transactions, w.faulty.table("master_customer"), "Customer_ID"
     ),
-    "dq_orphan_products": lambda w: quality.orphans(w.transactions, w.held_back.table("master_product"), "Product_ID"),
+    "dq_orphan_products": lambda w: quality.orphans(w.all_transactions, w.faulty.table("master_product"), "Product_ID"),
     "dq_reconciliation": dq_reconciliation,
     "dq_non_null_counts": dq_non_null_counts,
     "dq_fk_violations": dq_fk_violations,

@@ -8,17 +8,15 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillstar import schemas
-from tillstar.operators.skew import with_salt
 from tillstar.plans import dims, load
 from tillstar.session import estimated_bytes, new_work_folder, remove, remove_stored, stored, write_if_empty
 from tillstar.sources import binding, readers
 
 LANDING_FILE_BYTES = 256 * 2**20
 LANDING_MIN_FILES = 24
-REPLAY_BATCHES = 3
+FILES_PER_BATCH = 8  # of a stream: batches are of one size, whatever the table's
 
 
 @dataclass(frozen=True)
@@ -108,14 +106,8 @@ class Warehouse:
 
 
 def land_transactions(raw: DataFrame, path: str, files: int) -> None:
-    """Write raw transactions as a folder of similar files in date order, as a stream source.
-
-    Rows of one (date, order, product) stay in one file, unless they are so many that they are salted.
-    """
-    keys = ["date", "orderID", "Product_ID"]
-    spread = [F.col(c) for c in raw.columns if c not in keys]
-    salted = with_salt(raw, keys, spread)
-    salted.repartitionByRange(files, *keys, "_salt").select(*raw.columns).write.mode("overwrite").parquet(path)
+    """Write raw transactions as a folder of files, as a stream source, in one pass; a sale's copies share a file."""
+    raw.repartition(files, "date", "orderID", "Product_ID").write.mode("overwrite").parquet(path)
 
 
 class Workspace:
@@ -146,11 +138,30 @@ class Workspace:
             size = estimated_bytes(self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet"))
             files = max(LANDING_MIN_FILES, size // LANDING_FILE_BYTES)
             land_transactions(binding.raw_transactions(self.spark, self.sf_dir), path, files)
-            self.files_per_batch = -(-files // REPLAY_BATCHES)
             return path
 
         return self.once("landing", build)
 
+    @property
+    def late(self) -> str:
+        """A folder of lines that repeat some of the landing folder's."""
+
+        def build():
+            binding.late_transactions(self.spark, self.sf_dir).write.parquet(f"{self.root}/late")
+            return f"{self.root}/late"
+
+        return self.once("late", build)
+
+    @property
+    def all_transactions(self) -> DataFrame:
+        """Cleaned transactions with the faulty ones added to all others."""
+
+        def build():
+            binding.faulty_transactions(self.spark, self.sf_dir).write.parquet(f"{self.root}/faulty_lines")
+            return readers.clean_transactions(self.spark.read.parquet(f"{self.root}/faulty_lines"))
+
+        return self.transactions.unionByName(self.once("faulty_lines", build))
+
     @property
     def customers(self) -> DataFrame:
         return readers.clean_customers(binding.raw_customers(self.spark, self.sf_dir))
@@ -161,26 +172,25 @@ class Workspace:
 
     @property
     def full(self) -> Warehouse:
-        return self.once("full", lambda: self._load("full", held_back=False))
+        return self.once("full", lambda: self._load("full", faulty=False))
 
     @property
-    def held_back(self) -> Warehouse:
-        """Loaded without some masters and with a shorter calendar, so that rows are rejected."""
-        return self.once("held_back", lambda: self._load("held_back", held_back=True))
+    def faulty(self) -> Warehouse:
+        """Loaded from the whole tables and added faulty rows, so that rows are rejected for every reason."""
+        return self.once("faulty", lambda: self._load("faulty", faulty=True))
 
     @property
     def star(self) -> Star:
         return self.full.star
 
-    def _load(self, name: str, held_back: bool) -> Warehouse:
+    def _load(self, name: str, faulty: bool) -> Warehouse:
         warehouse = Warehouse(self.spark, f"{self.root}/{name}")
         warehouse.load_masters(
-            readers.clean_customers(binding.raw_customers(self.spark, self.sf_dir, held_back)),
-            readers.clean_products(binding.raw_products(self.spark, self.sf_dir, held_back)),
+            readers.clean_customers(binding.raw_customers(self.spark, self.sf_dir)),
+            readers.clean_products(binding.raw_products(self.spark, self.sf_dir, faulty)),
         )
-        last = binding.HELD_BACK_CALENDAR_END if held_back else None
-        warehouse.load_dimensions(dims.years_of(self.transactions, "Sale_Date", last))
-        warehouse.load_sales(self.transactions)
+        warehouse.load_dimensions(dims.years_of(self.transactions, "Sale_Date"))
+        warehouse.load_sales(self.all_transactions if faulty else self.transactions)
         return warehouse
 
 

@@ -41,10 +41,30 @@ TRANSACTION_BINDING = {
 # total among the lines of one order and product
 TRANSACTION_ORDER = ["l_linenumber", "l_suppkey", "l_quantity", "l_shipdate", "l_extendedprice"]
 
-# Held-back inputs, to have rejects: these masters are missing and the calendar ends early.
-HELD_BACK_CUSTOMERS = "c_custkey % 50 = 49"
-HELD_BACK_PRODUCTS = "p_partkey % 40 = 39"
-HELD_BACK_CALENDAR_END = 2000
+# Raw rows that are added to the whole tables, so that every reason to reject a row occurs: lines that come
+# once more with something wrong, and products that cannot be sold. All are derived from the given tables.
+FAULTY_LINES = [
+    ("l_linenumber = 1 and l_orderkey % 50 = 1", {"Customer_ID": "-1 - o_custkey"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 2", {"Product_ID": "concat('X', cast(l_partkey as varchar(20)))"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 3", {"Product_ID": "'NO STORE'"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 4", {"Product_ID": "'NO SUPPLIER'"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 5", {"date": "cast('1900-01-01' as date)"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 6", {"quantity": "0"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 7", {"Product_ID": "'NO PRICE'"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 8", {"Product_ID": "'DEAR'", "quantity": "2000000000"}),
+    ("l_linenumber = 1 and l_orderkey % 50 = 9", {"quantity": "cast(null as int)"}),
+]
+FAULTY_PRODUCTS = [
+    {"Product_ID": "'NO STORE'", "storeID": "cast(null as int)"},
+    {"Product_ID": "'NO SUPPLIER'", "supplierID": "cast(null as int)"},
+    {"Product_ID": "'NO PRICE'", "price": "cast(null as decimal(10,2))"},
+    {"Product_ID": "'DEAR'", "price": "cast(9999.99 as decimal(10,2))"},
+]
+FAULTY_PRODUCT_MODEL = "p_partkey = 1"  # they are like this one otherwise
+UNREADABLE = "many"  # the text of a quantity that is no number
+
+# Lines that a later file repeats.
+LATE_LINES = "l_orderkey % 97 = 3"
 
 
 def _select(binding: dict[str, str]) -> list[str]:
@@ -55,19 +75,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_customers(spark: SparkSession, sf_dir: str, held_back: bool = False) -> DataFrame:
-    rows = _table(spark, sf_dir, "customer")
-    if held_back:
-        rows = rows.where(f"not ({HELD_BACK_CUSTOMERS})")
-    return rows.selectExpr(*_select(CUSTOMER_BINDING))
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").selectExpr(*_select(CUSTOMER_BINDING))
 
 
-def raw_products(spark: SparkSession, sf_dir: str, held_back: bool = False) -> DataFrame:
+def raw_products(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
     """As the file would come: with an index column and the price under its raw name."""
     rows = _table(spark, sf_dir, "part")
-    if held_back:
-        rows = rows.where(f"not ({HELD_BACK_PRODUCTS})")
     bound = rows.selectExpr("p_partkey as `_c0`", *_select(PRODUCT_BINDING))
+    if faulty:
+        for wrong in FAULTY_PRODUCTS:
+            bound = bound.union(rows.where(FAULTY_PRODUCT_MODEL).selectExpr("p_partkey as `_c0`", *_select({**PRODUCT_BINDING, **wrong})))
     suppliers = _table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("supplierID"), F.col("s_name").alias("supplierName")
     )
@@ -78,9 +96,26 @@ def raw_products(spark: SparkSession, sf_dir: str, held_back: bool = False) -> D
     )
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
-        *_select(TRANSACTION_BINDING), *TRANSACTION_ORDER
-    )
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).selectExpr(*_select(TRANSACTION_BINDING), *TRANSACTION_ORDER)
+
+
+def late_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).where(LATE_LINES).selectExpr(*_select(TRANSACTION_BINDING), *TRANSACTION_ORDER)
+
+
+def faulty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The added lines only, as text like a file has it."""
+    lines = _lines(spark, sf_dir)
+    parts = [lines.where(f).selectExpr(*_select({**TRANSACTION_BINDING, **wrong}), *TRANSACTION_ORDER) for f, wrong in FAULTY_LINES]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit(UNREADABLE)).alias(c) for c in TRANSACTION_BINDING]
+    return rows.select(*text, *TRANSACTION_ORDER)

@@ -74,12 +74,12 @@ def _product_dims(prefix: str) -> dict[str, str]:
     }
 
 
-def _raw_product(condition: str) -> str:
+def _raw_product(condition: str, wrong: dict[str, str] = {}) -> str:
     return f"""
         select b.Product_ID, b.Product_Category, b.price, {_big('b.price * 100')} as price_cents,
                cast(b.storeID as varchar) as StoreID, concat('Store ', b.storeID) as StoreName,
                cast(b.supplierID as varchar) as SupplierID, s.s_name as SupplierName
-        from (select {_listed(binding.PRODUCT_BINDING)} from part where {condition}) b
+        from (select {_listed({**binding.PRODUCT_BINDING, **wrong})} from part where {condition}) b
         left join supplier s on s.s_suppkey = b.supplierID"""
 
 
@@ -87,13 +87,22 @@ def _raw_customer(condition: str) -> str:
     return f"select {_listed(binding.CUSTOMER_BINDING)} from customer where {condition}"
 
 
+def _faulty_lines(condition: str, wrong: dict[str, str]) -> str:
+    column = {**binding.TRANSACTION_BINDING, **wrong}
+    return f"""
+        select l_orderkey, cast({column['Customer_ID']} as bigint), {column['Product_ID']}, cast({column['quantity']} as integer),
+               {column['date']}, {_TIES}
+        from lineitem, orders where l_orderkey = o_orderkey and {condition}"""
+
+
 _PARTS: dict[str, str] = {
     "raw_customer": _raw_customer("true"),
     "raw_product": _raw_product("true"),
-    "held_raw_customer": _raw_customer(f"not ({binding.HELD_BACK_CUSTOMERS})"),
-    "held_raw_product": _raw_product(f"not ({binding.HELD_BACK_PRODUCTS})"),
+    # the whole masters with the products that cannot be sold
+    "held_raw_product": " union all ".join(
+        [_raw_product("true"), *[_raw_product(binding.FAULTY_PRODUCT_MODEL, wrong) for wrong in binding.FAULTY_PRODUCTS]]
+    ),
     "cust": "select row_number() over (order by Customer_ID) as Customer_Key, * from raw_customer",
-    "held_cust": "select row_number() over (order by Customer_ID) as Customer_Key, * from held_raw_customer",
     **_product_dims(""),
     **_product_dims("held_"),
     "tx": f"""
@@ -128,21 +137,25 @@ _PARTS: dict[str, str] = {
         join supp su on su.Supplier_ID = p.SupplierID
         join cal d on d.Full_Date = t.Sale_Date
         where t.pos = 1""",
-    # every transaction against the held-back masters and the shorter calendar
+    # every transaction, and the faulty ones, against the masters with the faulty products
+    "held_tx": " union all ".join(["select * from tx", *[_faulty_lines(f, wrong) for f, wrong in binding.FAULTY_LINES]]),
     "held": f"""
         select t.*, c.Customer_Key, p.Product_Key, st.Store_Key, su.Supplier_Key, d.Date_Key, p.price,
-               case when c.Customer_Key is null then 'customer_not_found'
+               case when t.Quantity is null then 'unparsable'
+                    when c.Customer_Key is null then 'customer_not_found'
                     when p.Product_Key is null then 'product_not_found'
                     when st.Store_Key is null then 'store_not_found'
                     when su.Supplier_Key is null then 'supplier_not_found'
                     when d.Date_Key is null then 'date_out_of_calendar'
-                    when t.Quantity <= 0 then 'quantity_not_positive' end as reason
-        from tx t
-        left join held_cust c on c.Customer_ID = t.Customer_ID
+                    when t.Quantity <= 0 then 'quantity_not_positive'
+                    when p.price is null then 'price_missing'
+                    when t.Quantity * cast(p.price_cents as hugeint) > 999999999999 then 'amount_out_of_range' end as reason
+        from held_tx t
+        left join cust c on c.Customer_ID = t.Customer_ID
         left join held_prod p on p.Product_ID = t.Product_ID
         left join held_store st on st.Store_ID = p.StoreID
         left join held_supp su on su.Supplier_ID = p.SupplierID
-        left join (select * from cal where Year <= {binding.HELD_BACK_CALENDAR_END}) d on d.Full_Date = t.Sale_Date""",
+        left join cal d on d.Full_Date = t.Sale_Date""",
     "held_picked": f"""
         select *, row_number() over (partition by Order_ID, Product_ID, Sale_Date order by {_TIES}) as pos
         from held where reason is null""",
@@ -321,6 +334,18 @@ _PRODUCT_PART = """p.Product_Category, cast(p.price as double) as "Price", p.Sto
 _SALE = "Order_ID, Customer_ID, Product_ID, Quantity, Sale_Date"
 
 
+_STAGES = """
+            stages as (
+                select 1 as Stage_No, 'stream' as Stage, n as Rows_In, n as Rows_Out from totals
+                union all select 2, 'customer_join', n, c from totals
+                union all select 3, 'product_join', c, p from totals
+                union all select 4, 'fact_load', p, f from totals
+                union all select 5, 'end_to_end', n, f from totals)
+            select Stage_No, Stage, Rows_In, Rows_Out, Rows_In - Rows_Out as Rows_Dropped,
+                   ((20000 * Rows_Out + Rows_In) // (2 * nullif(Rows_In, 0))) / 100.0 as Rate_Pct
+            from stages"""
+
+
 def _tables() -> dict[str, str]:
     return {
         "clean_transactions": f"select {_SALE}, 0 as Unparsable from tx",
@@ -390,7 +415,7 @@ def _tables() -> dict[str, str]:
                    cast(0 as double) as Discount_Amount, cents / 100.0 as Net_Sales_Amount,
                    Is_Weekend as Weekend_Flag, 'In-Store' as Order_Channel
             from sales"""
-            for name in ("fact_sales", "stream_fact_load")
+            for name in ("fact_sales", "fact_append", "stream_fact_load")
         },
         "fact_rejects": f"""
             select {_SALE}, reason as Reason, count(*) as Copies from held where reason is not null group by all
@@ -405,21 +430,16 @@ def _tables() -> dict[str, str]:
         "master_product_page": f"""
             select {_MASTER_PRODUCT} from raw_product where Product_ID >= '{PRODUCT_PAGE_START}'
             order by Product_ID limit {PAGE_SIZE}""",
-        "load_audit": """
+        "load_audit": f"""
             with totals as (
                 select count(*) as n, count(Customer_Key) as c,
                        count(*) filter (Customer_Key is not null and Product_Key is not null) as p,
                        (select count(*) from held_picked where pos = 1) as f
-                from held),
-            stages as (
-                select 1 as Stage_No, 'stream' as Stage, n as Rows_In, n as Rows_Out from totals
-                union all select 2, 'customer_join', n, c from totals
-                union all select 3, 'product_join', c, p from totals
-                union all select 4, 'fact_load', p, f from totals
-                union all select 5, 'end_to_end', n, f from totals)
-            select Stage_No, Stage, Rows_In, Rows_Out, Rows_In - Rows_Out as Rows_Dropped,
-                   ((20000 * Rows_Out + Rows_In) // (2 * nullif(Rows_In, 0))) / 100.0 as Rate_Pct
-            from stages""",
+                from held),{_STAGES}""",
+        "stream_load_audit": f"""
+            with totals as (
+                select count(*) as n, count(*) as c, count(*) as p, (select count(*) from picked where pos = 1) as f
+                from (select 1 from tx union all select 1 from tx where {binding.LATE_LINES.replace('l_orderkey', 'Order_ID')})),{_STAGES}""",
     }
 
 
@@ -457,7 +477,7 @@ def _foreign(key: str, lost: str) -> str:
 
 
 def _orphans(key: str, master: str) -> str:
-    gone = f"(select distinct {key} as k from tx where {key} not in (select {key} from {master}))"
+    gone = f"(select distinct {key} as k from held_tx where {key} not in (select {key} from {master}))"
     return f"""
         select 'orphan_keys' as Measure, cast(count(*) as varchar) as "Value" from {gone}
         union all
@@ -491,12 +511,12 @@ def _reports() -> dict[str, str]:
             _unique("dim_supplier", "supp", "Supplier_ID", "Supplier_ID"),
             _unique("dim_date", "cal", "Full_Date", "Full_Date"),
         ]),
-        "dq_orphan_customers": _orphans("Customer_ID", "held_raw_customer"),
+        "dq_orphan_customers": _orphans("Customer_ID", "raw_customer"),
         "dq_orphan_products": _orphans("Product_ID", "held_raw_product"),
         "dq_reconciliation": """
             select count(*) as Rows_Before, count(*) filter (found) as Rows_After, count(*) filter (not found) as Rows_Lost
-            from (select Customer_ID in (select Customer_ID from held_raw_customer)
-                         and Product_ID in (select Product_ID from held_raw_product) as found from tx)""",
+            from (select Customer_ID in (select Customer_ID from raw_customer)
+                         and Product_ID in (select Product_ID from held_raw_product) as found from held_tx)""",
         "dq_non_null_counts": " union all ".join([
             _null_counts("customer_master", "raw_customer", {
                 "Customer_ID": "bigint", "Gender": "string", "Age": "string", "Occupation": "int",
@@ -509,11 +529,11 @@ def _reports() -> dict[str, str]:
                 "Sale_Date": "date"}),
         ]),
         "dq_fk_violations": " union all ".join([
-            _foreign("Customer_Key", "Customer_ID % 50 = 49"),
-            _foreign("Product_Key", "cast(substr(Product_ID, 2) as bigint) % 40 = 39"),
-            _foreign("Store_Key", "false"),
-            _foreign("Supplier_Key", "false"),
-            _foreign("Date_Key", f"Year > {binding.HELD_BACK_CALENDAR_END}"),
+            _foreign("Customer_Key", "Order_ID % 50 = 1"),
+            _foreign("Product_Key", "Order_ID % 50 = 2"),
+            _foreign("Store_Key", "Order_ID % 50 = 3"),
+            _foreign("Supplier_Key", "Order_ID % 50 = 4"),
+            _foreign("Date_Key", "Order_ID % 50 = 5"),
         ]),
         "dq_constraint_violations": " union all ".join([
             _broken("staged_sales", "held", {**positive, **_missing(keys), "Price not null": "price is null"}),
