@@ -63,6 +63,20 @@ from parts
 """
 
 
+NEAREST = """
+with v as (
+  select vec_id, min(list_transform(embedding, lambda x: x::double)) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0 group by vec_id
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e) as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from scored qualify rank <= 20
+"""
+
+
 def _quality_rules() -> str:
     grid = ", ".join(f"('{n}', {p}, {c})" for n, cuts in quality_rules.CUTOFFS.items() for p, c in enumerate(cuts))
     rates = {
@@ -148,5 +162,6 @@ def statements() -> dict[str, str]:
         "op3_minhash_near_dedup": NEAR_DEDUP,
         "op4_source_mixing": MIXING,
         "op8_license_scan": _licenses(),
+        "op9_nearest_neighbours": NEAREST,
         "op10_quality_rules": _quality_rules(),
     }
