@@ -54,8 +54,8 @@ def _words(text: str) -> str:
 
 def notices(spark: SparkSession) -> DataFrame:
     """notice (number), license and the pairs of each notice."""
-    rows = [(k, name, text) for k, (name, text) in enumerate(NOTICES)]
-    return spark.createDataFrame(rows, "notice int, license string, text string").selectExpr("notice", "license", f"{_words('text')} as words").selectExpr(
+    rows = [F.struct(F.lit(k).alias("notice"), F.lit(name).alias("license"), F.lit(text).alias("text")) for k, (name, text) in enumerate(NOTICES)]
+    return spark.range(1).select(F.inline(F.array(*rows))).selectExpr("notice", "license", f"{_words('text')} as words").selectExpr(
         "notice", "license", f"{_pairs('words')} as pairs"
     )
 

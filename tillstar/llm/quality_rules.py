@@ -122,12 +122,10 @@ def certified_cutoffs(found: DataFrame, labels: DataFrame, alpha: float = ALPHA,
         )
     )
     strata = tested.select("lang").distinct().agg(F.count(F.lit(1)).alias("strata"))
-    level = F.lit(delta) / (F.col("strata") * len(CUTOFFS))
+    level = F.lit(delta) / (strata.scalar() * len(CUTOFFS))
     # k at or above the mean cannot be certified; the sum is only taken below it
     bounded = tested.withColumn("few", F.when(F.col("k") < F.col("n") * share, F.col("k")))
-    passed = bounded.join(F.broadcast(strata)).withColumn(  # one row of one number
-        "passed", F.coalesce(binomial_cdf("few", "n", share) <= level, F.lit(False))
-    )
+    passed = bounded.withColumn("passed", F.coalesce(binomial_cdf("few", "n", share) <= level, F.lit(False)))
     so_far = Window.partitionBy("lang", "rule").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     certified = passed.withColumn("certified", F.min("passed").over(so_far)).where("certified")
     gain = F.col("bad") - COST_OF_GOOD * F.col("k")
