@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
+from tillstar import catalog
 from tillstar.operators.skew import hot_keys, join_repeated, with_salt
 from tillstar.plans import load, olap
 from tillstar.plans.summary import sales_in_year
@@ -17,9 +17,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", catalog.queries())
 def test_no_cartesian_product_and_no_python(spark, name):
-    text = plan(entry_points.queries()[name](spark, SMALL))
+    text = plan(catalog.queries()[name](spark, SMALL))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "ArrowEval"):
         assert node not in text
 

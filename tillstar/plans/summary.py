@@ -40,9 +40,9 @@ def roll_up(
 ) -> DataFrame:
     """Sum ``measures`` per calendar columns ``by`` and dimension ``attributes``.
 
-    A dimension that Spark can broadcast is joined to the facts directly. For a larger one the facts
-    are summed per surrogate key first: the sums combine before the shuffle, so a key with very many
-    rows costs one row per task, and the join that follows sees each key a bounded number of times.
+    A dimension that Spark can broadcast is joined to the facts directly. Before each larger one is joined the
+    rows are summed per surrogate keys still to be joined: the sums combine before the shuffle, so a key with very
+    many rows costs one row per task, and raw facts never meet a large dimension.
     With ``count_customers`` the result has ``Unique_Customers``: sums per customer come first and
     the customers are then counted as rows.
     """
@@ -56,16 +56,16 @@ def roll_up(
         *by, *[SURROGATE[t] for t in lookups], *(["Customer_Key"] if count_customers and "dim_customer" not in lookups else []),
         *[m.alias(name) for name, m in measures.items()],
     )
-    for table in [t for t in lookups if t not in late] + late[:-1]:
+    for table in [t for t in lookups if t not in late]:
         base = base.join(lookups[table], SURROGATE[table]).drop(SURROGATE[table])
     final = [*by, *[c for columns in attributes.values() for c in columns]]
-    if late or count_customers:
-        held = [SURROGATE[t] for t in late[-1:]]
+    for place in range(len(late)) if late else [0] * count_customers:
+        held = [SURROGATE[t] for t in late[place:]]
         if count_customers and "Customer_Key" not in held:
             held.append("Customer_Key")
-        known = [c for t, columns in attributes.items() if t not in late[-1:] for c in columns]
+        known = [c for t, columns in attributes.items() if t not in late[place:] for c in columns]
         base = base.groupBy(*by, *known, *held).agg(*_sums(measures))
-        for table in late[-1:]:
+        for table in late[place : place + 1]:
             base = base.join(lookups[table], SURROGATE[table])
     counts = [F.count(F.lit(1)).alias("Unique_Customers")] if count_customers else []
     return base.groupBy(*final).agg(*_sums(measures), *counts)

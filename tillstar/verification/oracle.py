@@ -415,7 +415,7 @@ def _tables() -> dict[str, str]:
                    cast(0 as double) as Discount_Amount, cents / 100.0 as Net_Sales_Amount,
                    Is_Weekend as Weekend_Flag, 'In-Store' as Order_Channel
             from sales"""
-            for name in ("fact_sales", "fact_append", "stream_fact_load")
+            for name in ("fact_sales", "fact_append", "csv_fact_load", "stream_fact_load")
         },
         "fact_rejects": f"""
             select {_SALE}, reason as Reason, count(*) as Copies from held where reason is not null group by all
