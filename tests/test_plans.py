@@ -67,6 +67,11 @@ def test_broadcast_decision_follows_the_size(spark, small_workspace):
         text = plan(olap.weekend_share_by_age(small_workspace.star, 1997))
         below_join = text[text.index("SortMergeJoin"):]
         assert re.search(r"HashAggregate\(keys=\[Customer_Key#\d+L\], functions=\[partial_sum", below_join)
+        # two large dimensions: raw facts are summed per both keys before the first join
+        text = plan(olap.category_by_occupation(small_workspace.star))
+        facts = text[: text.index("Sale_Year")].splitlines()[::-1]
+        above = next(line for line in facts if "Exchange" in line or "HashAggregate" in line)
+        assert "partial_sum" in above and "Product_Key" in above and "Customer_Key" in above
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+import math
+import operator
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions import numeric
+from tillstar.session import stored
 
 QUARTILES = (0.25, 0.5, 0.75)
+RANGES = 1024  # in which values are counted to find a quantile
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -46,6 +52,33 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _quantiles(per_value: DataFrame, shares: tuple[float, ...]) -> list[float | None]:
+    """Exact, interpolated quantiles of values ``v`` that occur ``n`` times, without bringing all values together.
+
+    Values are counted in equal ranges; only the ranges in which a wanted rank lies are then looked at value by value.
+    """
+    counted = stored(per_value, "value_counts")
+    low, high, total = counted.agg(F.min("v").cast("double"), F.max("v").cast("double"), F.sum("n")).first()
+    if not total:
+        return [None] * len(shares)
+    place = F.floor((F.col("v").cast("double") - low) * (RANGES / (high - low or 1.0))).alias("place")
+    ranges = counted.groupBy(place).agg(F.sum("n").alias("n")).orderBy("place").collect()  # at most RANGES + 1 rows
+    spots = [q * (total - 1) for q in shares]
+    starts, before = {}, 0
+    for r in ranges:
+        if any(before <= rank < before + r.n for s in spots for rank in (math.floor(s), math.ceil(s))):
+            starts[r.place] = before
+        before += r.n
+    order = Window.partitionBy("place").orderBy("v")
+    reached = counted.select("v", "n", place).where(F.col("place").isin(list(starts))).withColumn("upto", F.sum("n").over(order))
+    start = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for pair in starts.items() for x in pair]), F.col("place"))
+    ends = reached.select(F.col("v").cast("double").alias("v"), (start + F.col("upto") - F.col("n")).alias("first"), (start + F.col("upto")).alias("end"))
+    wanted = [F.col("first").__le__(rank) & (F.col("end") > rank) for s in spots for rank in (math.floor(s), math.ceil(s))]
+    rows = ends.where(functools.reduce(operator.or_, wanted)).collect()  # two values per share at most
+    at = lambda rank: next(r.v for r in rows if r.first <= rank < r.end)
+    return [at(math.floor(s)) + (at(math.ceil(s)) - at(math.floor(s))) * (s - math.floor(s)) for s in spots]
+
+
 def summary(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles (interpolated) and maximum.
 
@@ -54,20 +87,20 @@ def summary(df: DataFrame, column: str) -> DataFrame:
     value = F.col(column).cast("decimal(12,2)")
     present = df.where(F.col(column).isNotNull())
     per_value = present.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    quartiles = per_value.agg(F.percentile("v", F.array(*[F.lit(q) for q in QUARTILES]), F.col("n")))
+    quartiles = _quantiles(per_value, QUARTILES)
     totals = present.agg(
         F.count(F.lit(1)).alias("Value_Count"),
         F.sum(value).alias("total"),
         F.stddev_samp(value.cast("double")).alias("deviation"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
-    ).withColumn("q", quartiles.scalar())
+    )
     return totals.select(
         "Value_Count",
         numeric.mean(F.col("total"), F.col("Value_Count")).cast("double").alias("Mean"),
         F.round("deviation", 6).alias("Std_Dev"),
         F.col("low").cast("double").alias("Minimum"),
-        *[F.round(F.col("q")[i], 6).alias(name) for i, name in enumerate(("Quartile_1", "Median", "Quartile_3"))],
+        *[F.round(F.lit(q).cast("double"), 6).alias(name) for q, name in zip(quartiles, ("Quartile_1", "Median", "Quartile_3"))],
         F.col("high").cast("double").alias("Maximum"),
     )
 
