@@ -5,6 +5,7 @@ from itertools import combinations
 import pytest
 from conftest import rows
 
+from tillstar.operators import affinity
 from tillstar.operators.affinity import top_pairs
 
 
@@ -59,3 +60,11 @@ def test_rare_items_leave_first(spark, small):
 def test_pruning_with_few_pairs(spark):
     lines = [(1, 1), (1, 2), (2, 3)]
     assert found(spark, lines, prune=True) == [(1, 2, 1)]
+
+
+@pytest.mark.parametrize("chunk", [7, 1000])
+def test_chunks_of_large_baskets(spark, chunk):
+    rng = random.Random(chunk)
+    lines = [(b, p) for b in range(4) for p in rng.sample(range(80), 50 - b)]
+    counts = affinity._pair_counts_in_chunks(spark.createDataFrame(lines, "basket long, item long"), chunk)
+    assert sorted(map(tuple, counts.collect())) == sorted(brute_force(lines, 10**6))

@@ -1,4 +1,8 @@
 import datetime as dt
+import random
+from decimal import Decimal
+from fractions import Fraction
+from math import floor
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +90,23 @@ def test_ratios_round_half_up_and_survive_zero(spark):
     assert means == [0.01, 0.02]
 
 
+def test_ratios_are_rounded_once(spark):
+    rng = random.Random(4)
+    pairs = [(Decimal(rng.randrange(-10**top, 10**top)) / 100, Decimal(rng.randrange(-10**low, 10**low)) / 100) for top in (3, 9, 20) for low in (2, 9, 20) for _ in range(40)]
+    bottom = Decimal(2 * 10**15)
+    pairs += [(bottom / 200 - Decimal("0.01"), bottom), (bottom / 200, bottom), (-bottom / 200, bottom)]  # just below a half, and halves
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a decimal(22,2), b decimal(20,2)")
+    for digits in (2, 6):
+        found = df.orderBy("i").select(numeric.ratio(F.col("a"), F.col("b"), digits)).collect()
+        for (a, b), (value,) in zip(pairs, found):
+            if not b:
+                assert value is None
+                continue
+            share = abs(Fraction(a) / Fraction(b)) * 10**digits
+            sign = -1 if (a < 0) != (b < 0) else 1
+            assert Fraction(value) == Fraction(sign * floor(share + Fraction(1, 2)), 10**digits)
+
+
 def test_purchase_amount_is_exact(spark):
     df = spark.createDataFrame([(3, "0.10"), (7, "19.99")], "q int, p string")
     amounts = [str(r[0]) for r in df.select(rules.purchase_amount(F.col("q"), F.col("p").cast("decimal(10,2)"))).collect()]

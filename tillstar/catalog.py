@@ -165,6 +165,7 @@ def dq_key_uniqueness(w: Workspace) -> DataFrame:
         "dim_store": (star.dim_store, "Store_ID"),
         "dim_supplier": (star.dim_supplier, "Supplier_ID"),
         "dim_date": (star.dim_date, "Full_Date"),
+        "fact_sales": (star.fact_sales, "Sales_Key"),
     })
 
 

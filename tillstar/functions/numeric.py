@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,22 +12,33 @@ def as_double(value: Column, name: str) -> Column:
     return value.cast("double").alias(name)
 
 
-def _quotient(top: Column, bottom: Column) -> Column:
+def _rounded_quotient(top: Column, bottom: Column, digits: int) -> Column:
+    """``top / bottom`` rounded once: a decimal division would round to its own scale first.
+
+    The whole part divides exactly; what remains is below the divisor, so its digits are a whole-number division.
+    """
     # an ANSI session raises on division by zero, SQL reports want NULL
-    return top.cast("decimal(26,2)") / F.nullif(bottom.cast("decimal(22,2)"), F.lit(0))
+    top, bottom = top.cast("decimal(26,2)"), F.nullif(bottom.cast("decimal(22,2)"), F.lit(0))
+    above, below = F.abs(top), F.abs(bottom)
+    rest = above % below
+    whole = ((above - rest) / below).cast("decimal(26,0)")
+    twice = (rest * F.lit(Decimal(2 * 10**digits)) + below).cast("decimal(32,2)")
+    parts = F.call_function("div", twice, (below * 2).cast("decimal(32,2)"))
+    exact = whole + parts.cast("decimal(9,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return F.when((top < 0) != (bottom < 0), -exact).otherwise(exact)
 
 
 def mean(total: Column, count: Column, digits: int = 6) -> Column:
-    return F.round(_quotient(total, count), digits)
+    return _rounded_quotient(total, count, digits)
 
 
 def ratio(top: Column, bottom: Column, digits: int = 2) -> Column:
-    return F.round(_quotient(top, bottom), digits)
+    return _rounded_quotient(top, bottom, digits)
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """Share of ``whole`` in percent, NULL when ``whole`` is zero."""
-    return F.round(_quotient(part * 100, whole), digits)
+    return _rounded_quotient(part * 100, whole, digits)
 
 
 def growth(current: Column, previous: Column, digits: int = 2) -> Column:

@@ -9,7 +9,8 @@ others. Larger baskets (few by nature: at most rows / SMALL_BASKET) are never pa
 * Other pairs live on large baskets alone, so both items must be in at least that many large baskets.
   Items that occur in the same large baskets form a class. Only classes are paired, so one giant basket
   is a single class. Within a pair of classes all pairs have the same count, and ties go to the
-  smallest items, so the first ``top + 1`` items of a class are enough.
+  smallest items, so the first ``top + 1`` items of a class are enough. A basket with many classes is dealt
+  into chunks of about ``CHUNK`` items; every two chunks meet in a key of their own, so no task pairs a whole basket.
 
 Before that, the pairs among the most frequent items give a first threshold:
 items that occur less often than that cannot be in a result pair and leave before any pairing.
@@ -24,6 +25,7 @@ from tillstar.operators.skew import HOT_SHARE, join_repeated
 from tillstar.session import stored
 
 SMALL_BASKET = 100
+CHUNK = 500
 PROBE_PAIRS = 1000
 PROBE_ITEMS = 200
 
@@ -93,6 +95,21 @@ def _pair_counts(lines: DataFrame) -> DataFrame:
     return pairs.groupBy("First", "Second").agg(F.count(F.lit(1)).alias("Baskets"))
 
 
+def _pair_counts_in_chunks(lines: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``_pair_counts`` for distinct rows of large baskets: a pair meets once, in the cell of its two chunks."""
+    sizes = lines.groupBy("basket").agg(F.count(F.lit(1)).alias("rows"))
+    slots = F.ceil(F.col("rows") / chunk)
+    own = F.pmod(F.xxhash64("item"), F.col("slots"))
+    dealt = join_repeated(lines, sizes, ["basket"], "rows").select("basket", "item", slots.alias("slots"))
+    cells = (
+        dealt.select("basket", "item", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slots") - 1)).alias("other"))
+        .select("basket", "item", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    )
+    first, second = cells.withColumnsRenamed({"item": "First", "own": "a"}), cells.withColumnsRenamed({"item": "Second", "own": "b"})
+    met = first.join(second, ["basket", "low", "high"]).where("First < Second and (a <> b or low = high)")
+    return met.groupBy("First", "Second").agg(F.count(F.lit(1)).alias("Baskets"))
+
+
 def _without(lines: DataFrame, large: DataFrame) -> DataFrame:
     """Rows of small baskets. The largest baskets (fewer than ``HOT_SHARE``) leave by broadcast, so the
     join that removes the others has no hot key."""
@@ -148,7 +165,7 @@ def _class_pairs(large_lines: DataFrame, support: DataFrame, threshold: int, top
     within = leaders.select(
         F.col("leader").alias("First"), F.col("leader").alias("Second"), F.col("support").alias("Baskets")
     )
-    counts = _pair_counts(leader_lines.select("basket", "item")).unionByName(within)
+    counts = _pair_counts_in_chunks(stored(leader_lines.select("basket", "item"), "leader_lines")).unionByName(within)
     reached = counts.where(F.col("Baskets") >= threshold)
     first = named.toDF("First", "a")
     second = named.toDF("Second", "b")

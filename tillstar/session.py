@@ -99,9 +99,14 @@ def write_if_empty(df: DataFrame, path: str) -> None:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, lineage cut, sizes known."""
+    """Write ``df`` to the shared folder and read it back: computed once, lineage cut, sizes known.
+
+    The folder goes when the application ends, if not before.
+    """
     path = new_work_folder(df.sparkSession, label)
     df.write.parquet(path)
+    files, place = _hadoop_path(df.sparkSession, path)
+    files.deleteOnExit(place)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

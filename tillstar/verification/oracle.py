@@ -510,6 +510,7 @@ def _reports() -> dict[str, str]:
             _unique("dim_store", "store", "Store_ID", "Store_ID"),
             _unique("dim_supplier", "supp", "Supplier_ID", "Supplier_ID"),
             _unique("dim_date", "cal", "Full_Date", "Full_Date"),
+            _unique("fact_sales", "(select row(Order_ID, Product_Key, Date_Key) as sale from sales)", "sale", "Sales_Key"),
         ]),
         "dq_orphan_customers": _orphans("Customer_ID", "raw_customer"),
         "dq_orphan_products": _orphans("Product_ID", "held_raw_product"),
