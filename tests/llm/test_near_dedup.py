@@ -71,8 +71,11 @@ def test_special_rows(spark):
     assert found(spark, []) == []
 
 
-def test_buckets_with_several_components_lose_no_link(spark):
+@pytest.mark.parametrize("nodes, shingles", [(2048, 1 << 22), (4, 1 << 22), (2048, 800)])
+def test_buckets_with_several_components_lose_no_link(spark, monkeypatch, nodes, shingles):
     """Two families meet in bands; a far member of each links them although their centres are not linked."""
+    monkeypatch.setattr(near_dedup, "CHUNK", nodes)
+    monkeypatch.setattr(near_dedup, "CHUNK_SHINGLES", shingles)
     base = [f"b{i}" for i in range(200)]
 
     def variant(*changed):

@@ -11,9 +11,13 @@ linked when ``100 * |intersection| >= percent * |union|``, and components of lin
    Beta(m+1, n-m+1), so P(similarity >= t) = P(Binomial(n+1, t) <= m); a pair whose probability falls below
    ``miss`` leaves. Survivors are confirmed on their full sets.
 4. What is left are buckets that hold several components, such as texts that share a long passage but are not linked.
-   They are dealt into chunks; every two chunks of a bucket meet in one task, where pairs of different components are
+   They are dealt into chunks, by number of nodes and by size of their sets, so that a task's memory is bounded whatever
+   the length of texts; every two chunks of a bucket meet in one task, where pairs of different components are
    tested by step 3 and by their sets and only links come out. No bucket is capped, and no pair becomes a row.
 
+Classes and buckets that hold over a thousandth of all rows are joined by broadcast (fewer than a thousand keys), so their rows
+are never shuffled by that key.
+
 The number of bands is the least for which a pair at the threshold shares none with probability under ``miss``.
 Shingles are compared by 64-bit hash.
 
@@ -35,12 +39,14 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import BoundedCache, small_batches, text_or_empty
 from tillstar.llm.components import components
+from tillstar.operators.skew import join_repeated
 from tillstar.session import stored
 
 ROWS = 5  # hashes in a band
 BATCH = 20  # hashes compared between two looks at the posterior
 MISS = 1e-7
-CHUNK = 2048  # nodes of a bucket that are compared in one task
+CHUNK = 2048  # nodes of a bucket that are compared in one task, on average
+CHUNK_SHINGLES = 1 << 22  # shingles of these nodes, on average
 _SLICE = 1024  # shingles hashed at once
 
 
@@ -258,14 +264,16 @@ def _links_in_cell(rows: pa.Table, threshold: float, looks: list[tuple[int, int]
 def _between_components(members: DataFrame, stars: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
     """Links between nodes of one bucket that the comparisons with its smallest node left in different components.
 
-    Every mixed bucket is dealt into chunks of about ``CHUNK`` nodes; each pair of chunks is one cell, in which pairs
+    Every mixed bucket is dealt into chunks of about ``CHUNK`` nodes and ``CHUNK_SHINGLES`` shingles at most; each pair of chunks is one cell, in which pairs
     are tested in numpy and only links come out. At least one link comes out for each two components that are linked.
     """
-    placed = members.join(components(stars), "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
-    chunks = F.ceil(F.col("n") / CHUNK)
+    named = members.join(components(stars), "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
+    placed = stored(named, "placed")
+    bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    chunks = F.greatest(F.ceil(F.col("rows") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES))
+    mixed = stored(bands.where("low < high").select("band", "rows", chunks.alias("chunks")), "mixed")
     dealt = (
-        placed.join(mixed.select("band", chunks.alias("chunks")), "band")
+        join_repeated(placed.select("band", "node", "label"), mixed, ["band"], "rows")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .select("band", "node", "label", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
@@ -287,23 +295,24 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, miss: float
     bands = bands_for(percent, miss)
     sketch = stored(sketches(docs, k, bands), "sketch")
     known = sketch.where("h1 is not null and doc_id is not null")
-    classes = known.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
-    first = known.select("h1", "h2", F.col("doc_id").alias("node"), "bands").join(classes, ["h1", "h2", "node"]).dropDuplicates(["h1", "h2", "node"])
-    keyed = stored(first.select("node", F.explode("bands").alias("band")), "bands")
-    shared = keyed.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
-    members = stored(keyed.join(shared.select("band", "leader"), "band"), "members")
+    classes = stored(known.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows")), "classes")
+    leading = classes.select("h1", "h2", F.col("node").alias("doc_id"))
+    first = known.join(leading, ["h1", "h2", "doc_id"]).dropDuplicates(["h1", "h2", "doc_id"])
+    keyed = stored(first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")), "bands")
+    buckets = keyed.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count(F.lit(1)).alias("rows"))
+    shared = stored(buckets.where("leader < last").select("band", "leader", "rows"), "buckets")
+    members = stored(join_repeated(keyed, shared, ["band"], "rows").drop("rows"), "members")
     sets = stored(full_sets(docs, members.select("node").distinct(), k, bands), "sets")
     pairs = members.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(_links(pairs, sets, percent, miss), "stars")
-    links = stars.unionByName(_between_components(members.select("band", "node"), stars, sets, percent, miss))
+    links = stars.unionByName(_between_components(members.select("band", "node", "n"), stars, sets, percent, miss))
 
-    versions = known.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "node")
+    versions = stored(join_repeated(known.select("doc_id", "n_shingles", "h1", "h2"), classes, ["h1", "h2"], "rows").select("doc_id", "n_shingles", "node"), "versions")
     several = versions.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     same = versions.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
     labels = components(links.union(same.where("a <> b")))
-    named = (
-        sketch.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["h1", "h2"], "left")
-        .join(labels, "node", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "node", "doc_id")).alias("component_id"))
-    )
+    alone = sketch.where("h1 is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    # nodes that no link reaches label themselves
+    nodes = classes.groupBy("node").agg(F.sum("rows").alias("rows")).join(labels, "node", "left").select("node", "rows", F.coalesce("label", "node").alias("component_id"))
+    named = alone.union(join_repeated(versions, stored(nodes, "nodes"), ["node"], "rows").select("doc_id", "n_shingles", "component_id"))
     return named.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
