@@ -15,8 +15,8 @@ linked when ``100 * |intersection| >= percent * |union|``, and components of lin
    the length of texts; every two chunks of a bucket meet in one task, where pairs of different components are
    tested by step 3 and by their sets and only links come out. No bucket is capped, and no pair becomes a row.
 
-Classes and buckets that hold over a thousandth of all rows are joined by broadcast (fewer than a thousand keys), so their rows
-are never shuffled by that key.
+Classes that hold over a thousandth of all rows are joined by broadcast (fewer than a thousand keys), so their rows
+are never shuffled by that key. Buckets are joined by band, and adaptive execution splits a hot one.
 
 The number of bands is the least for which a pair at the threshold shares none with probability under ``miss``.
 Shingles are compared by 64-bit hash.
@@ -267,13 +267,12 @@ def _between_components(members: DataFrame, stars: DataFrame, sets: DataFrame, p
     Every mixed bucket is dealt into chunks of about ``CHUNK`` nodes and ``CHUNK_SHINGLES`` shingles at most; each pair of chunks is one cell, in which pairs
     are tested in numpy and only links come out. At least one link comes out for each two components that are linked.
     """
-    named = members.join(components(stars), "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
-    placed = stored(named, "placed")
-    bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
-    chunks = F.greatest(F.ceil(F.col("rows") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES))
-    mixed = stored(bands.where("low < high").select("band", "rows", chunks.alias("chunks")), "mixed")
+    placed = members.join(components(stars), "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
+    bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("shingles"))
+    chunks = F.greatest(F.ceil(F.col("nodes") / CHUNK), F.ceil(F.col("shingles") / CHUNK_SHINGLES))
+    mixed = bands.where("low < high").select("band", chunks.alias("chunks"))
     dealt = (
-        join_repeated(placed.select("band", "node", "label"), mixed, ["band"], "rows")
+        placed.select("band", "node", "label").join(mixed, "band")
         .withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .select("band", "node", "label", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
@@ -299,9 +298,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, miss: float
     leading = classes.select("h1", "h2", F.col("node").alias("doc_id"))
     first = known.join(leading, ["h1", "h2", "doc_id"]).dropDuplicates(["h1", "h2", "doc_id"])
     keyed = stored(first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band")), "bands")
-    buckets = keyed.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.count(F.lit(1)).alias("rows"))
-    shared = stored(buckets.where("leader < last").select("band", "leader", "rows"), "buckets")
-    members = stored(join_repeated(keyed, shared, ["band"], "rows").drop("rows"), "members")
+    shared = keyed.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last")
+    members = stored(keyed.join(shared.select("band", "leader"), "band"), "members")
     sets = stored(full_sets(docs, members.select("node").distinct(), k, bands), "sets")
     pairs = members.where("leader < node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     stars = stored(_links(pairs, sets, percent, miss), "stars")
