@@ -93,6 +93,38 @@ def test_tagger_finds_held_out_spans(spark):
     assert wanted > 10 and hit >= 0.6 * wanted and hit >= 0.85 * made
 
 
+class Marks(pii.Tagger):
+    """Scores by character alone: # begins a span, digits and = go on with it."""
+
+    def emissions(self, codes, keep=False):
+        tags = np.zeros(pii.N_CLASSES, int)
+        tags[pii.encode("#1=")] = [1, 2, 2]
+        return 10 * np.eye(pii.N_TAGS, dtype=np.float32)[tags[codes]], None, None
+
+
+@pytest.mark.parametrize("length", [20, 31, 32, 33, 40, 48, 56, 63, 64, 65, 80, 100, 1000])
+def test_spans_of_any_length_at_any_offset(length):
+    texts, wanted = [], []
+    for inner in ("1" * (length - 1), "=" * (length - 2) + "1", "1" + "=" * (length - 2)):  # one digit: windows without one go on
+        for offset in range(pii.STRIDE):
+            for after in (0, 40, 300):
+                texts.append("y" * (300 + offset) + "#" + inner + "y" * after)
+                wanted.append([(0, 300 + offset, 300 + offset + length)])
+    assert [[f[1:] for f in found] for found in pii.tagger_spans(Marks(), texts)] == wanted
+    assert all(sure > 0.99 for found in pii.tagger_spans(Marks(), texts[:5]) for sure, *_ in found)
+
+
+def test_sequences_of_different_lengths_side_by_side():
+    model, draw = pii.Tagger(5), np.random.default_rng(4)
+    parts = [draw.standard_normal((n, pii.N_TAGS)).astype(np.float32) for n in (3, 9, 1, 9, 6)]
+    for part, (path, chance) in zip(parts, pii._decoded(model, parts)):
+        alone = model.decode(part[:, None])[:, 0]
+        assert path.tolist() == alone.tolist()
+        if alone.any():
+            single = model.marginals(part[:, None])[0][:, 0]
+            assert np.allclose(chance, single[np.arange(len(part)), alone], atol=1e-5)
+
+
 def test_query_and_masking(spark, corpus):
     own = [(-1, None), (-2, ""), (-3, "mail a.b@c.de now, call +49 30 1234567."), (-3, "mail a.b@c.de now, call +49 30 1234567."), (None, "ip 10.0.0.1"), (-4, "x " * 60000 + "a@b.cc")]
     rows = [(d, t, "en", "s", len(t or ""), "clash", 1) for d, t in own]

@@ -6,12 +6,13 @@ card ``[0-9]([\\x20-]?[0-9])+`` with 16 to 19 digits that pass Luhn; phone ``\\+
 
 The tagger is trained in numpy on labelled windows: windows of documents with the rules' spans as labels, at most
 ``WINDOWS`` of them, the first in hash order among all documents. Characters count by class. A text is covered by windows that
-overlap by half; each is decoded by Viterbi under transitions that allow no I without its B, and every span has the
-smallest marginal of its characters as confidence. Then a document's spans are reconciled as a whole: a span that a
-window cuts off is left to the window that holds it whole, equal spans count once with their best confidence, and of
-overlapping ones the more confident stays. Spans under ``SURE``, or that overlap a span of the rules, are not added.
-A span needs a digit or an @ to be one of the four kinds, so windows without either are not run: they can only
-decode to spans that would be dropped. Offsets are code points, ends exclusive.
+overlap by half, and each character takes its scores from the window that holds it farthest from the ends. The windows that
+follow each other are decoded as one sequence by Viterbi under transitions that allow no I without its B, so a span may have
+any length and begin anywhere, and every span has the smallest marginal of its characters as confidence. Then a document's
+spans are reconciled as a whole: equal spans count once with their best confidence, and of overlapping ones the more
+confident stays. Spans under ``SURE``, or that overlap a span of the rules, are not added.
+A span needs a digit or an @ to be one of the four kinds, so windows without either are run only where a span goes on
+into them: else they can only decode to spans that would be dropped. Offsets are code points, ends exclusive.
 
 Results for special rows: a null text is empty; repeated rows and rows without doc_id are scanned each; without any
 labelled window there is no tagger and the rules' spans are all. Other columns of the input are not looked at.
@@ -29,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import small_batches, text_or_empty
+from tillstar.llm.common import in_steps, small_batches, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 64, 32
 WINDOWS = 1200
 HIDDEN, EMBED, STEPS, BATCH, RATE = 12, 8, 240, 32, 0.03
 SURE = 0.9
+DECODED = 1 << 16  # characters that are decoded side by side; a longer stretch is decoded alone
 
 _TRIGGER = re.compile(r"[0-9@]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -100,14 +102,17 @@ def encode(text: str) -> np.ndarray:
     return _classes()[np.minimum(points, 128)]
 
 
+def all_starts(n: int) -> np.ndarray:
+    """Starts of all windows of a text of ``n`` characters; the last one ends with the text."""
+    return np.unique([*range(0, max(1, n - WIDTH), STRIDE), max(0, n - WIDTH)] if n > WIDTH else [0])
+
+
 def window_starts(text: str) -> list[int]:
     """Starts of the windows that hold a digit or an @; the last ones end with the text."""
-    n = len(text)
-    every = [*range(0, max(1, n - WIDTH), STRIDE), max(0, n - WIDTH)] if n > WIDTH else [0]
     hits = np.array([m.start() for m in _TRIGGER.finditer(text)])
     if not len(hits):
         return []
-    starts = np.unique(every)
+    starts = all_starts(len(text))
     return starts[np.searchsorted(hits, starts) < np.searchsorted(hits, starts + WIDTH)].tolist()
 
 
@@ -183,32 +188,40 @@ class Tagger:
         first, follow = _barriers()
         return self.p["first"] + first, self.p["follow"] + follow
 
-    def marginals(self, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tag marginals (time, batch, tags), expected transitions (tags, tags) and log partition."""
+    def marginals(self, scores: np.ndarray, live: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tag marginals (time, batch, tags), expected transitions (tags, tags) and log partition.
+
+        At step t only the first ``live[t]`` sequences go on (None: all); what follows the end of one means nothing.
+        """
         first, follow = self._chain()
+        live = live or [scores.shape[1]] * len(scores)
         ahead = [first + scores[0]]
-        for s in scores[1:]:
-            ahead.append(_sum_exp(ahead[-1][:, :, None] + follow, 1) + s)
+        for s, n in zip(scores[1:], live[1:]):
+            ahead.append(np.concatenate([_sum_exp(ahead[-1][:n, :, None] + follow, 1) + s[:n], ahead[-1][n:]]))
         total = _sum_exp(ahead[-1], 1)
         behind = [np.zeros_like(ahead[-1])]
-        for s in scores[:0:-1]:
-            behind.append(_sum_exp(follow + (s + behind[-1])[:, None, :], 2))
+        for s, n in zip(scores[:0:-1], live[:0:-1]):
+            behind.append(np.concatenate([_sum_exp(follow + (s[:n] + behind[-1][:n])[:, None, :], 2), behind[-1][n:]]))
         behind.reverse()
         single = np.exp(np.stack(ahead) + np.stack(behind) - total[None, :, None])
         pairs = np.zeros_like(follow)
         for t in range(1, len(scores)):
-            joint = ahead[t - 1][:, :, None] + follow + (scores[t] + behind[t])[:, None, :] - total[:, None, None]
+            n = live[t]
+            joint = ahead[t - 1][:n, :, None] + follow + (scores[t] + behind[t])[:n, None, :] - total[:n, None, None]
             pairs += np.exp(joint).sum(axis=0)
         return single, pairs, total
 
-    def decode(self, scores: np.ndarray) -> np.ndarray:
-        """Best tags (time, batch)."""
+    def decode(self, scores: np.ndarray, live: list[int] | None = None) -> np.ndarray:
+        """Best tags (time, batch); ``live`` as for the marginals, beyond the end of a sequence its last tag is repeated."""
         first, follow = self._chain()
+        live = live or [scores.shape[1]] * len(scores)
         best, back = first + scores[0], []
-        for s in scores[1:]:
-            ways = best[:, :, None] + follow
-            back.append(ways.argmax(axis=1))
-            best = ways.max(axis=1) + s
+        for s, n in zip(scores[1:], live[1:]):
+            ways = best[:n, :, None] + follow
+            choice = np.tile(np.arange(N_TAGS, dtype=np.uint8), (len(best), 1))
+            choice[:n] = ways.argmax(axis=1)
+            back.append(choice)
+            best = np.concatenate([ways.max(axis=1) + s[:n], best[n:]])
         path = [best.argmax(axis=1)]
         for choice in reversed(back):
             path.append(np.take_along_axis(choice, path[-1][:, None], 1)[:, 0])
@@ -285,42 +298,87 @@ def reconcile(found: list[tuple[float, int, int, int]], rules: list[tuple[int, i
     return added
 
 
-def tagger_spans(model: Tagger, texts: list[str]) -> list[list[tuple[float, int, int, int]]]:
-    """(confidence, kind, begin, end) of the spans that the windows of each text hold whole."""
-    found: list[list] = [[] for _ in texts]
-    places, parts = [], []
-    for k, text in enumerate(texts):
-        if starts := window_starts(text):
-            codes = encode(text)
-            places += [(k, s) for s in starts]
-            parts += [_padded(codes, s) for s in starts]
-    for low in range(0, len(parts), 256):
-        codes = np.stack(parts[low : low + 256], axis=1)
-        scores = model.emissions(codes)[0]
-        tags = model.decode(scores)
+def _decoded(model: Tagger, parts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Best tags of each sequence of scores (time, tags), and their marginals if there is a span."""
+    out: list = [None] * len(parts)
+    order = sorted(range(len(parts)), key=lambda k: -len(parts[k]))
+    while order:
+        longest = len(parts[order[0]])
+        group, order = order[: max(1, DECODED // longest)], order[max(1, DECODED // longest) :]
+        lengths = np.array([len(parts[k]) for k in group])
+        scores = np.zeros((longest, len(group), N_TAGS), np.float32)
+        for column, k in enumerate(group):
+            scores[: len(parts[k]), column] = parts[k]
+        live = np.searchsorted(-lengths, -np.arange(longest)).tolist()  # sequences longer than t
+        tags = model.decode(scores, live)
         busy = np.flatnonzero(tags.any(axis=0))
-        if not len(busy):
+        chance = np.zeros(tags.shape, np.float32)
+        if len(busy):
+            some = np.searchsorted(-lengths[busy], -np.arange(longest)).tolist()
+            until = lengths[busy[0]]
+            single = model.marginals(scores[:until, busy], some[:until])[0]
+            chance[:until, busy] = np.take_along_axis(single, tags[:until, busy][:, :, None].astype(int), 2)[:, :, 0]
+        for column, k in enumerate(group):
+            out[k] = tags[: lengths[column], column], chance[: lengths[column], column]
+    return out
+
+
+def _stretches(size: int, starts: np.ndarray, run: dict[int, np.ndarray]) -> list[tuple[int, int, int, np.ndarray]]:
+    """(first window, last window, begin, scores) of the windows in ``run`` that follow each other."""
+    out, at = [], sorted(run)
+    low = 0
+    for k in range(1, len(at) + 1):
+        if k < len(at) and at[k] == at[k - 1] + 1:
             continue
-        chance = np.take_along_axis(model.marginals(scores[:, busy])[0], tags[:, busy][:, :, None], 2)[:, :, 0]
-        for column, b in enumerate(busy.tolist()):
-            k, start = places[low + b]
-            path, size = tags[:, b].tolist(), len(texts[k])
-            at = 0
-            while at < WIDTH:
-                if path[at] == 0:
-                    at += 1
-                    continue
-                kind, begin = (path[at] - 1) // 2, at
-                at += 1
-                while at < WIDTH and path[at] == 2 + 2 * kind:
-                    at += 1
-                whole = path[begin] % 2 == 1 and (begin > 0 or start == 0) and (at < WIDTH or start + WIDTH >= size)
-                stop = min(start + at, size)
-                if whole and _TRIGGER.search(texts[k], start + begin, stop):
-                    found[k].append((float(chance[begin:at, column].min()), kind, start + begin, stop))
+        some = at[low:k]
+        # two windows meet in the middle of what they share
+        cuts = [starts[some[0]], *((starts[i] + WIDTH + starts[j]) // 2 for i, j in zip(some, some[1:])), min(starts[some[-1]] + WIDTH, size)]
+        scores = np.concatenate([run[i][b - starts[i] : e - starts[i]] for i, b, e in zip(some, cuts, cuts[1:])])
+        out.append((some[0], some[-1], int(cuts[0]), scores))
+        low = k
+    return out
+
+
+def _spans_in_step(model: Tagger, texts: list[str]) -> list[list[tuple[float, int, int, int]]]:
+    found: list[list] = [[] for _ in texts]
+    codes, starts, run, wanted = {}, {}, {}, []
+    for k, text in enumerate(texts):
+        if some := window_starts(text):
+            codes[k], starts[k], run[k] = encode(text), all_starts(len(text)), {}
+            wanted += [(k, i) for i in np.searchsorted(starts[k], some).tolist()]
+    more = 1
+    while wanted:
+        for low in range(0, len(wanted), 256):
+            part = wanted[low : low + 256]
+            scores = model.emissions(np.stack([_padded(codes[k], starts[k][i]) for k, i in part], axis=1))[0]
+            for column, (k, i) in enumerate(part):
+                run[k][i] = scores[:, column]
+        changed = sorted({k for k, _ in wanted})
+        places = [(k, *s) for k in changed for s in _stretches(len(texts[k]), starts[k], run[k])]
+        further: set[tuple[int, int]] = set()
+        for k in changed:
+            found[k] = []
+        for (k, first, last, begin, _), (path, chance) in zip(places, _decoded(model, [p[-1] for p in places])):
+            if path[0]:  # a span may have begun before; twice as many windows each time, so that none is decoded often
+                further |= {(k, i) for i in range(max(0, first - more), first)}
+            if path[-1]:
+                further |= {(k, i) for i in range(last + 1, min(last + 1 + more, len(starts[k])))}
+            for b in np.flatnonzero(path % 2).tolist():
+                e = b + 1
+                while e < len(path) and path[e] == path[b] + 1:
+                    e += 1
+                if _TRIGGER.search(texts[k], begin + b, begin + e):
+                    found[k].append((float(chance[b:e].min()), int(path[b] - 1) // 2, begin + b, begin + e))
+        wanted = sorted((k, i) for k, i in further if i not in run[k])
+        more *= 2
     return found
 
 
+def tagger_spans(model: Tagger, texts: list[str]) -> list[list[tuple[float, int, int, int]]]:
+    """(confidence, kind, begin, end) of the spans of each text, whatever their length and place."""
+    return [spans for low, high in in_steps(texts) for spans in _spans_in_step(model, texts[low:high])]
+
+
 # --- Spark
 
 def labelled_windows(docs: DataFrame) -> DataFrame:
