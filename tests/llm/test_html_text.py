@@ -1,6 +1,6 @@
 import pytest
 
-from tillstar.llm.html_text import Page, extract
+from tillstar.llm.html_text import Page, _keyed, extract, subtrees, templates
 
 
 @pytest.mark.parametrize("source, text", [
@@ -38,3 +38,38 @@ def test_templates_are_cut_per_host(spark):
     assert [by_id[k].text for k in (400, 401, None)] == ["", "", "x"] and by_id[402].text.count("long") == 20000
     assert all(r.n_chars == len(r.text) for r in found) and by_id[3].url == "http://A.example/3"
     assert extract(frame.limit(0)).count() == 0
+
+
+def test_every_subtree_is_counted():
+    page = Page("<html><head><title>t</title></head><body><nav><ul><li><a>x</a></ul></nav><div class=ad>y</div><article><h1>h</h1><ul><li>z</ul><p>p</article><footer>f</footer>")
+    assert sorted(page.counted.values()) == [False] * 8 + [True]  # head, title, nav, ul, li, a, ad, footer; the list of the article
+
+
+def plain_templates(rows):
+    """(host, subtree) by counting over the whole small table."""
+    on, pages = {}, {}
+    for _, url, source in rows:
+        host, page = url.split("/")[2], Page(source)
+        keys = {False: source, True: page.main_text()}
+        for inside in {False, *(flag for flag, _ in page.out if flag)}:
+            pages.setdefault((host, inside), set()).add(keys[inside])
+        for subtree, inside in page.counted.items():
+            on.setdefault((host, inside, subtree), set()).add(keys[inside])
+    return {(h, s) for (h, inside, s), k in on.items() if len(k) >= 10 and len(k) >= 0.2 * len(pages[h, inside])}
+
+
+def test_counts_by_article_texts(spark):
+    rows = [(i, f"http://e.example/{i}", f"<nav>menu</nav><article><ul><li>Read more</ul><p>own {i}</p></article><footer>f {i}</footer>") for i in range(30)]
+    rows += [(100 + i, f"http://f.example/{i}", f"<p>page {i}</p><article><div><p>copied</p></div></article>") for i in range(30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    by_id = {r.page_id: r.text for r in extract(frame).collect()}
+    assert all(by_id[i] == f"own {i}" and by_id[100 + i] == "copied" for i in range(30))
+    got = {(r.host, r.subtree) for r in templates(subtrees(_keyed(frame))).collect()}
+    assert got == plain_templates(rows) and len(got) == 2  # the menu and the list
+
+
+def test_counts_act_on_the_registered_pages(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [(r.page_id, r.url, r.html) for r in frame.collect() if r.url and r.html]
+    got = {(r.host, r.subtree) for r in templates(subtrees(_keyed(spark.createDataFrame(rows, "page_id long, url string, html string")))).collect()}
+    assert got == plain_templates(rows) and got

@@ -1,11 +1,14 @@
 """Main text of web pages: site template removal by counting element subtrees per host.
 
 A page is read once from start to end; what an element held is cut from the output when it closes, so no tree is kept.
-An element goes if its tag, or a word of its class, id or role, names boilerplate, or if its subtree (tag, class, id and
-content, by hash) is a template: one that recurs on at least ``MIN_PAGES`` different pages and ``MIN_SHARE`` of the
-pages of its host. Subtrees are counted per host in Spark; only those are counted for which the count decides: not
-what is boilerplate by name, and no heading, paragraph, list, quote, table or the article itself inside an article, as
-articles are copied and share passages, and their text is what is wanted.
+An element goes if its subtree (tag, class, id and content, by hash) is a template: one that recurs on at least
+``MIN_PAGES`` different pages and ``MIN_SHARE`` of the pages of its host. Where the counts do not tell (a host of few pages,
+a box that differs from page to page), it goes if its tag, or a word of its class, id or role, names boilerplate.
+Subtrees are counted per host in Spark, those with such names and those inside them too. Inside an article different
+article texts (as the names leave them) are counted instead of pages, and their share is that of the article texts of the
+host: an article that is copied to many pages is one text, so its blocks are no templates. Not counted are html, body,
+articles themselves and, inside an article, its headings, paragraphs, items, cells and inline elements: articles share
+passages, which are wanted.
 
 The text of article or main elements is the main text; a page without any has that of its body. Blocks are the
 stretches between starts and ends of block elements; references are decoded, white space inside a block becomes one
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm.common import small_batches
+from tillstar.operators.skew import join_repeated
 from tillstar.session import stored
 
 MIN_PAGES, MIN_SHARE = 10, 0.2
@@ -43,7 +47,8 @@ BLOCKS = set(
 )
 MAIN = {"article", "main"}
 KEPT_WHOLE = MAIN | {"html", "body"}
-TEXT_BLOCKS = MAIN | set("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tr td th figure figcaption b i em strong a span code sub sup br".split())
+TEXT_BLOCKS = MAIN | set("p h1 h2 h3 h4 h5 h6 li dt dd thead tbody tr td th figcaption b i em strong a span code sub sup br".split())
+INSIDE = 0x9E3779B97F4A7C15  # mixed into the hash of a subtree inside an article, which is counted apart
 BOILERPLATE = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar"
     " footer masthead cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup share sharing social comment comments"
@@ -63,11 +68,15 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 class Page:
-    """One pass over a page. ``templates`` are subtree hashes to cut; ``counted`` gets those for which a count decides."""
+    """One pass over a page. ``templates`` are subtree hashes to cut; ``counted`` gets all that are counted, and if each is inside an article."""
 
     def __init__(self, source: str, templates=frozenset()):
-        self.templates, self.counted = templates, set()
+        self.templates, self.counted = templates, {}
         self.out: list[tuple[bool, str | None]] = []  # (inside an article, text or None for a block end)
         # open elements: tag, length of the output at the start, cut when it closes, hash, may be counted, in an article
         self.open: list[tuple] = [("", 0, False, xxhash.xxh3_64(), False, False)]
@@ -97,7 +106,7 @@ class Page:
             self.out.append((inside, "" if tag == "wbr" else " "))
         if tag in VOID:
             return
-        counted = not own and tag not in KEPT_WHOLE and not (inside and tag in TEXT_BLOCKS)
+        counted = tag not in KEPT_WHOLE and not (inside and tag in TEXT_BLOCKS)
         self.open.append((tag, len(self.out), own, xxhash.xxh3_64(f"<{tag} {sorted(names.items())}"), counted, inside))
 
     def imply(self, tag: str) -> None:
@@ -129,8 +138,8 @@ class Page:
         value = digest.intdigest()
         self.open[-1][3].update(value.to_bytes(8, "little"))
         if counted:
-            signed = value - (1 << 64) if value >> 63 else value
-            self.counted.add(signed)
+            signed = _signed(value ^ INSIDE if inside else value)
+            self.counted[signed] = inside
             cut = cut or signed in self.templates
         if cut:
             del self.out[at:]
@@ -175,18 +184,38 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page, subtree) for every subtree that a count may cut; subtree is null once for each page."""
+    """(host, page, article, subtree) for every subtree that is counted.
+
+    article is a hash of the main text for subtrees inside an article, else null; subtree is null once for each page, and
+    once for the articles of each page that has any.
+    """
 
     def work(batches):
         for batch in batches:
-            out = ([], [], [])
+            out = ([], [], [], [])
             for source, host, page in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                for value in (None, *Page(source).counted):
-                    for column, cell in zip(out, (host, page, value)):
+                read = Page(source)
+                article = _signed(xxhash.xxh3_64_intdigest(read.main_text())) if any(flag for flag, _ in read.out) else None
+                rows = [(None, None), *(((None, article),) if article is not None else ())]
+                rows += [(value, article if inside else None) for value, inside in read.counted.items()]
+                for value, text in rows:
+                    for column, cell in zip(out, (host, page, text, value)):
                         column.append(cell)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], names=["host", "page", "subtree"])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "page", "article", "subtree"])
+
+    return pages.select("html", "host", "page").mapInArrow(work, "host string, page string, article bigint, subtree bigint")
+
 
-    return pages.select("html", "host", "page").mapInArrow(work, "host string, page string, subtree bigint")
+def templates(found: DataFrame) -> DataFrame:
+    """host, subtree and the number of rows of the subtrees of ``found`` that recur on enough pages or article texts of their host."""
+    inside = F.col("article").isNotNull().alias("inside")
+    counts = found.groupBy("host", inside, "subtree").agg(
+        F.count_distinct(F.coalesce(F.col("article").cast("string"), "page")).alias("n"), F.count(F.lit(1)).alias("rows")
+    )
+    totals = counts.where("subtree is null").select("host", "inside", F.col("n").alias("pages"))
+    often = counts.where("subtree is not null").where(F.col("n") >= MIN_PAGES).join(totals, ["host", "inside"])
+    return often.where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "subtree", "rows")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -194,10 +223,8 @@ def extract(pages: DataFrame) -> DataFrame:
     small_batches(pages.sparkSession, 64)
     keyed = _keyed(pages)
     found = stored(subtrees(keyed), "subtrees")
-    counts = found.groupBy("host", "subtree").agg(F.count_distinct("page").alias("n"))
-    totals = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
-    templates = counts.where("subtree is not null").where(F.col("n") >= MIN_PAGES).join(totals, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
-    marked = found.where("subtree is not null").join(templates.select("host", "subtree"), ["host", "subtree"])
+    recurring = stored(templates(found), "templates")
+    marked = join_repeated(found.where("subtree is not null"), recurring, ["host", "subtree"], "rows")
     per_page = stored(marked.groupBy("host", "page").agg(F.collect_set("subtree").alias("cuts")), "cuts")  # at most the elements of a page
 
     def work(batches):
