@@ -42,7 +42,7 @@ def test_templates_are_cut_per_host(spark):
 
 def test_every_subtree_is_counted():
     page = Page("<html><head><title>t</title></head><body><nav><ul><li><a>x</a></ul></nav><div class=ad>y</div><article><h1>h</h1><ul><li>z</ul><p>p</article><footer>f</footer>")
-    assert sorted(page.counted.values()) == [False] * 8 + [True]  # head, title, nav, ul, li, a, ad, footer; the list of the article
+    assert sorted(inside for inside, _ in page.counted.values()) == [False] * 8 + [True]  # head, title, nav, ul, li, a, ad, footer; the list of the article
 
 
 def plain_templates(rows):
@@ -53,9 +53,9 @@ def plain_templates(rows):
         keys = {False: source, True: page.main_text()}
         for inside in {False, *(flag for flag, _ in page.out if flag)}:
             pages.setdefault((host, inside), set()).add(keys[inside])
-        for subtree, inside in page.counted.items():
-            on.setdefault((host, inside, subtree), set()).add(keys[inside])
-    return {(h, s) for (h, inside, s), k in on.items() if len(k) >= 10 and len(k) >= 0.2 * len(pages[h, inside])}
+        for subtree, (inside, part) in page.counted.items():
+            on.setdefault((host, inside, subtree, part), set()).add(keys[inside])
+    return {(h, s) for (h, inside, s, part), k in on.items() if len(k) >= 10 and (len(k) >= 0.2 * len(pages[h, inside]) or len(k) >= 100 and not part)}
 
 
 def test_counts_by_article_texts(spark):
@@ -73,3 +73,11 @@ def test_counts_act_on_the_registered_pages(spark):
     rows = [(r.page_id, r.url, r.html) for r in frame.collect() if r.url and r.html]
     got = {(r.host, r.subtree) for r in templates(subtrees(_keyed(spark.createDataFrame(rows, "page_id long, url string, html string")))).collect()}
     assert got == plain_templates(rows) and got
+
+
+def test_many_pages_make_a_template_on_a_host_of_any_size(spark):
+    rows = [(i, f"http://g.example/{i}", f"<p>own {i}</p>" + "<div>section menu</div><table><tr><td>0<td>{i}</table>".replace("{i}", str(i)) * (i < 100)) for i in range(1000)]
+    rows += [(2000 + i, f"http://h.example/{i}", f"<p>own {i}</p>" + "<div>section menu</div>" * (i < 99)) for i in range(1000)]
+    by_id = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(by_id[i] == f"own {i}\n0 {i}" for i in range(100)) and by_id[500] == "own 500"
+    assert by_id[2005] == "own 5\nsection menu"

@@ -1,8 +1,9 @@
 """Main text of web pages: site template removal by counting element subtrees per host.
 
 A page is read once from start to end; what an element held is cut from the output when it closes, so no tree is kept.
-An element goes if its subtree (tag, class, id and content, by hash) is a template: one that recurs on at least
-``MIN_PAGES`` different pages and ``MIN_SHARE`` of the pages of its host. Where the counts do not tell (a host of few pages,
+An element goes if its subtree (tag, class, id and content, by hash) is a template: one that recurs on ``MANY_PAGES`` different pages of its host, or, on hosts too small
+for that, on at least ``MIN_PAGES`` and ``MIN_SHARE`` of its pages. Items, cells and inline elements need the share on
+large hosts too, as the same word or number stands in many texts. Where the counts do not tell (a host of few pages,
 a box that differs from page to page), it goes if its tag, or a word of its class, id or role, names boilerplate.
 Subtrees are counted per host in Spark, those with such names and those inside them too. Inside an article different
 article texts (as the names leave them) are counted instead of pages, and their share is that of the article texts of the
@@ -33,7 +34,7 @@ from tillstar.llm.common import small_batches
 from tillstar.operators.skew import join_repeated
 from tillstar.session import stored
 
-MIN_PAGES, MIN_SHARE = 10, 0.2
+MIN_PAGES, MIN_SHARE, MANY_PAGES = 10, 0.2, 100
 
 # Elements of HTML by their role here, and words that name boilerplate in class, id or role.
 RAW = {"script", "style"}
@@ -48,6 +49,7 @@ BLOCKS = set(
 MAIN = {"article", "main"}
 KEPT_WHOLE = MAIN | {"html", "body"}
 TEXT_BLOCKS = MAIN | set("p h1 h2 h3 h4 h5 h6 li dt dd thead tbody tr td th figcaption b i em strong a span code sub sup br".split())
+PARTS = set("li dt dd tr td th thead tbody tfoot caption figcaption legend summary".split())  # of a block; what is no block is a part, too
 INSIDE = 0x9E3779B97F4A7C15  # mixed into the hash of a subtree inside an article, which is counted apart
 BOILERPLATE = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar"
@@ -73,7 +75,7 @@ def _signed(value: int) -> int:
 
 
 class Page:
-    """One pass over a page. ``templates`` are subtree hashes to cut; ``counted`` gets all that are counted, and if each is inside an article."""
+    """One pass over a page. ``templates`` are subtree hashes to cut; ``counted`` gets all that are counted, and if each is inside an article and a part."""
 
     def __init__(self, source: str, templates=frozenset()):
         self.templates, self.counted = templates, {}
@@ -139,7 +141,7 @@ class Page:
         self.open[-1][3].update(value.to_bytes(8, "little"))
         if counted:
             signed = _signed(value ^ INSIDE if inside else value)
-            self.counted[signed] = inside
+            self.counted[signed] = inside, tag not in BLOCKS or tag in PARTS
             cut = cut or signed in self.templates
         if cut:
             del self.out[at:]
@@ -184,7 +186,7 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page, article, subtree) for every subtree that is counted.
+    """(host, page, article, subtree, part) for every subtree that is counted.
 
     article is a hash of the main text for subtrees inside an article, else null; subtree is null once for each page, and
     once for the articles of each page that has any.
@@ -192,30 +194,30 @@ def subtrees(pages: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            out = ([], [], [], [])
+            out = ([], [], [], [], [])
             for source, host, page in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 read = Page(source)
                 article = _signed(xxhash.xxh3_64_intdigest(read.main_text())) if any(flag for flag, _ in read.out) else None
-                rows = [(None, None), *(((None, article),) if article is not None else ())]
-                rows += [(value, article if inside else None) for value, inside in read.counted.items()]
-                for value, text in rows:
-                    for column, cell in zip(out, (host, page, text, value)):
+                rows = [(None, None, None), *(((None, article, None),) if article is not None else ())]
+                rows += [(value, article if inside else None, part) for value, (inside, part) in read.counted.items()]
+                for value, text, part in rows:
+                    for column, cell in zip(out, (host, page, text, value, part)):
                         column.append(cell)
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "page", "article", "subtree"])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "page", "article", "subtree", "part"])
 
-    return pages.select("html", "host", "page").mapInArrow(work, "host string, page string, article bigint, subtree bigint")
+    return pages.select("html", "host", "page").mapInArrow(work, "host string, page string, article bigint, subtree bigint, part boolean")
 
 
 def templates(found: DataFrame) -> DataFrame:
     """host, subtree and the number of rows of the subtrees of ``found`` that recur on enough pages or article texts of their host."""
     inside = F.col("article").isNotNull().alias("inside")
-    counts = found.groupBy("host", inside, "subtree").agg(
+    counts = found.groupBy("host", inside, "subtree", "part").agg(
         F.count_distinct(F.coalesce(F.col("article").cast("string"), "page")).alias("n"), F.count(F.lit(1)).alias("rows")
     )
     totals = counts.where("subtree is null").select("host", "inside", F.col("n").alias("pages"))
     often = counts.where("subtree is not null").where(F.col("n") >= MIN_PAGES).join(totals, ["host", "inside"])
-    return often.where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "subtree", "rows")
+    return often.where((F.col("n") >= MIN_SHARE * F.col("pages")) | (~F.col("part") & (F.col("n") >= MANY_PAGES))).select("host", "subtree", "rows")
 
 
 def extract(pages: DataFrame) -> DataFrame:
