@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, chat, html_text, licenses, mixing, near_dedup, nearest, pii, quality_model, quality_rules
+from tillstar.llm import bpe, chat, forest, html_text, licenses, mixing, near_dedup, nearest, pii, prefix_trie, quality_model, quality_rules, ranked_search
 from tillstar.llm.common import table
 
 
@@ -55,6 +55,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": op1_chat_formatting,
@@ -67,4 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_quality_rules": op10_quality_rules,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_embedding_near_dedup": op12_embedding_near_dedup,
+        "op13_ranked_search": op13_ranked_search,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillstar.llm import licenses, mixing, quality_rules
+from tillstar.llm import licenses, mixing, prefix_trie, quality_rules
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -157,6 +157,97 @@ from documents d left join best b on b.doc_id is not distinct from d.doc_id
 """
 
 
+#: crc32 bit by bit: its polynomial is a fixed value.
+PREFIX_TRIE = rf"""
+with recursive own as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+), ids as (
+  select conv_id, conv_id - conv_id % {prefix_trie.GROUP} as base, conv_id::varchar as name, max(pos) as own from own group by conv_id
+), bits as (
+  select conv_id, name, 0 as step, 4294967295::bigint as crc from ids
+  union all
+  select conv_id, name, step + 1, case when fed % 2 = 1 then xor(fed >> 1, 3988292384) else fed >> 1 end from (
+    select *, case when step % 8 = 0 then xor(crc, ascii(substring(name, step // 8 + 1, 1))::bigint) else crc end as fed from bits
+  ) where step < 8 * length(name)
+), plan as (
+  select i.conv_id, i.base, i.own, xor(b.crc, 4294967295) % {prefix_trie.HEADS} as h
+  from ids i join bits b on b.conv_id = i.conv_id and b.step = 8 * length(i.name)
+), placed as (
+  select p.conv_id, o.pos as place, o.role, o.text from plan p join own o on o.conv_id = p.base and o.pos <= p.h
+  union all
+  select p.conv_id, {prefix_trie.HEADS} + o.pos, o.role, o.text from plan p join own o on o.conv_id = p.conv_id and o.pos > p.h
+), rebuilt as (
+  select p.conv_id, coalesce(list(struct_pack(role := role, text := text) order by place) filter (place is not null), []) as turns
+  from plan p left join placed using (conv_id) group by p.conv_id
+), members as (
+  select conv_id, turns, d, turns[1:d] as prefix from (select conv_id, turns, unnest(range(0, len(turns) + 1)) as d from rebuilt)
+), nodes as (
+  select prefix, d, min(conv_id) as conv_id, count(*) as n_convs, case when d = 0 then 0 else octet_length(encode(prefix[d].text)) end as size,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (d = len(turns)) as ends
+  from members group by prefix, d
+), parents as (
+  select c.*, p.conv_id as parent_conv_id from nodes c left join nodes p on p.d = c.d - 1 and p.prefix = c.prefix[1:c.d - 1]
+), children as (
+  select parent_conv_id as conv_id, d - 1 as d, count(*) as n from parents where d > 0 group by all
+), counted as (
+  select p.*, coalesce(c.n, 0) as n_children from parents p left join children c on c.conv_id = p.conv_id and c.d = p.d
+), below as (
+  select prefix[1:up] as prefix, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum((n_convs - 1) * size) as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as up from counted) group by 1
+)
+select c.conv_id, c.d as depth, c.parent_conv_id, c.n_convs, c.n_children, b.n_leaves::bigint as n_leaves, b.saved_tokens::bigint as saved_tokens,
+  sha256(coalesce(c.ends, '')) as ends_sha256
+from counted c join below b on b.prefix = c.prefix
+"""
+
+EMBEDDING_NEAR_DEDUP = """
+with recursive v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: x::double) as e,
+    coalesce(vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as fit
+  from embeddings
+), links as (
+  select x.r, y.r as other, x.vec_id as a, y.vec_id as b from v x join v y on x.r <> y.r and x.fit and y.fit and len(x.e) = len(y.e)
+  where list_cosine_similarity(x.e, y.e) >= 0.95
+), edges as (
+  select distinct a, b from links
+), reach as (
+  select distinct vec_id as node, vec_id as seen from v
+  union
+  select e.b, r.seen from reach r join edges e on e.a = r.node where r.seen < e.b
+), labels as (
+  select node, min(seen) as component_id from reach where node is not null group by node
+)
+select v.vec_id, (select count(*) from links l where l.r = v.r)::bigint as n_links, component_id, coalesce(v.vec_id = component_id, true) as kept
+from v left join labels on labels.node = v.vec_id
+"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = f"""
+with docs as (
+  select r, doc_id, unnest(w) as term, len(w)::bigint as n from (select row_number() over () as r, doc_id, {_TERMS} as w from documents)
+), postings as (
+  select r, doc_id, n, term, count(*)::bigint as tf from docs group by all
+), sizes as (
+  select count(*)::bigint as nn, sum(n)::bigint as l from (select distinct r, n from docs)
+), items as (
+  select item_id, term, count(*)::bigint as times from (
+    select item_id, unnest({_TERMS}) as term from (select item_id, min(text) as text from benchmark group by item_id)
+  ) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * nn + 2)::double / (2 * count(*) + 1)))::bigint as w from postings, sizes group by term, nn
+), scored as (
+  select item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // l))))::bigint as score
+  from items join weights using (term) join postings using (term), sizes group by item_id, r, doc_id
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::integer as rank, doc_id, score
+from scored where score > 0 qualify rank <= 20
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op3_minhash_near_dedup": NEAR_DEDUP,
@@ -164,4 +255,7 @@ def statements() -> dict[str, str]:
         "op8_license_scan": _licenses(),
         "op9_nearest_neighbours": NEAREST,
         "op10_quality_rules": _quality_rules(),
+        "op11_prefix_trie": PREFIX_TRIE,
+        "op12_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
+        "op13_ranked_search": RANKED_SEARCH,
     }
