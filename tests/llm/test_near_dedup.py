@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillstar.llm import near_dedup
@@ -90,3 +92,18 @@ def test_least_matches_keeps_pairs_at_the_threshold():
     for n in (20, 60, 140):
         m = near_dedup.least_matches(n, 0.85, 1e-7)
         assert 0 <= m < 0.85 * n
+
+
+def test_links_in_a_cell_are_found_by_full_hashes():
+    """17 of 20 members are shared, and two of the shared ones agree in their upper halves."""
+    shared = [(1 << 40) | 1, (1 << 40) | 2, *(k << 33 for k in range(3, 18))]
+    sets = [np.array(sorted([*shared, 5]), np.uint64), np.array(sorted([*shared, 1 << 60, 1 << 61]), np.uint64)]
+    own = near_dedup.Shingler(3, near_dedup.bands_for(85))
+    same = own.signature(sets[0]).tobytes()
+    rows = pa.table({
+        "node": [1, 2], "label": [1, 2], "chunk": [0, 0], "low": [0, 0], "high": [0, 0], "sig": [same, same], "members": [s.tobytes() for s in sets],
+        "band": [int(near_dedup._band_keys(own.signature(sets[0]))[0])] * 2,
+    })
+    looks = near_dedup._looks(near_dedup.bands_for(85) * near_dedup.ROWS, 0.85, near_dedup.MISS)
+    assert near_dedup._links_in_cell(rows, 85, looks) == ([1], [2])
+    assert near_dedup._links_in_cell(rows, 86, looks) == ([], [])

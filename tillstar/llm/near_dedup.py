@@ -13,7 +13,7 @@ linked when ``100 * |intersection| >= percent * |union|``, and components of lin
 4. What is left are buckets that hold several components, such as texts that share a long passage but are not linked.
    They are dealt into chunks, by number of nodes and by size of their sets, so that a task's memory is bounded whatever
    the length of texts; every two chunks of a bucket meet in one task, where pairs of different components are
-   tested by step 3 and by their sets and only links come out. No bucket is capped, and no pair becomes a row.
+   tested by step 3 and by their full sets and only links come out. No bucket is capped, and no pair becomes a row.
 
 Classes that hold over a thousandth of all rows are joined by broadcast (fewer than a thousand keys), so their rows
 are never shuffled by that key. Buckets are joined by band, and adaptive execution splits a hot one.
@@ -114,7 +114,7 @@ class Shingler:
 
 
 SKETCH = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>"
-SETS = "node bigint, n bigint, sig binary, brief binary, members binary"
+SETS = "node bigint, n bigint, sig binary, members binary"
 
 
 def sketches(docs: DataFrame, k: int, bands: int) -> DataFrame:
@@ -139,11 +139,6 @@ def sketches(docs: DataFrame, k: int, bands: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(work, SKETCH)
 
 
-def _brief(members: np.ndarray) -> np.ndarray:
-    """Distinct halves of the hashes: sets can only look more alike by them, never less."""
-    return np.unique((members >> np.uint64(32)).astype(np.uint32))
-
-
 def full_sets(docs: DataFrame, nodes: DataFrame, k: int, bands: int) -> DataFrame:
     """Signature and sorted shingle hashes of the documents in ``nodes``."""
 
@@ -155,10 +150,9 @@ def full_sets(docs: DataFrame, nodes: DataFrame, k: int, bands: int) -> DataFram
                 [
                     batch.column(0), pa.array([len(s) for s in found], pa.int64()),
                     pa.array([own.signature(s).tobytes() for s in found], pa.binary()),
-                    pa.array([_brief(s).tobytes() for s in found], pa.binary()),
                     pa.array([s.tobytes() for s in found], pa.binary()),
                 ],
-                names=["node", "n", "sig", "brief", "members"],
+                names=["node", "n", "sig", "members"],
             )
 
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("node"), text_or_empty().alias("text"))
@@ -219,14 +213,14 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, miss: float) -> Data
     return compared(survivors, sets).where(F.col("shared") * 100 >= F.col("joint") * percent).select("a", "b")
 
 
-def _links_in_cell(rows: pa.Table, threshold: float, looks: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
-    """Pairs of different components of a cell that are linked as far as 32-bit hashes tell.
+def _links_in_cell(rows: pa.Table, percent: int, looks: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Links between different components of a cell, by full sets.
 
-    A pair counts in the first band that it shares only, and not once both sides have been joined.
+    A pair counts in the first band that it shares only, and not once links have joined both sides.
     """
     node, label, chunk, low = (rows.column(c).to_numpy() for c in ("node", "label", "chunk", "low"))
     band = rows.column("band")[0].as_py()
-    sets = [np.frombuffer(v.as_py(), np.uint32) for v in rows.column("brief")]
+    sets = [np.frombuffer(v.as_py(), np.uint64) for v in rows.column("members")]
     sizes = np.array([len(v) for v in sets])
     sig = np.frombuffer(b"".join(v.as_py() for v in rows.column("sig")), np.uint32).reshape(len(node), -1)
     keys = np.vstack([_band_keys(v) for v in sig])
@@ -239,7 +233,7 @@ def _links_in_cell(rows: pa.Table, threshold: float, looks: list[tuple[int, int]
             alive &= (chunk != chunk[x]) & (chunk[x] == low[x])
         else:
             alive[: x + 1] = False
-        alive &= np.minimum(sizes, sizes[x]) >= threshold * np.maximum(sizes, sizes[x]) - 1e-6
+        alive &= np.minimum(sizes, sizes[x]) * 100 >= percent * np.maximum(sizes, sizes[x])
         others = np.flatnonzero(alive)
         matched, seen = np.zeros(len(others), int), 0
         for n, least in looks:
@@ -254,7 +248,7 @@ def _links_in_cell(rows: pa.Table, threshold: float, looks: list[tuple[int, int]
             if label[y] == label[x]:
                 continue
             common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if common >= threshold * (sizes[x] + sizes[y] - common) - 1e-6:
+            if common * 100 >= percent * (sizes[x] + sizes[y] - common):
                 out[0].append(int(min(node[x], node[y])))
                 out[1].append(int(max(node[x], node[y])))
                 label[label == label[y]] = label[x]
@@ -265,7 +259,7 @@ def _between_components(members: DataFrame, stars: DataFrame, sets: DataFrame, p
     """Links between nodes of one bucket that the comparisons with its smallest node left in different components.
 
     Every mixed bucket is dealt into chunks of about ``CHUNK`` nodes and ``CHUNK_SHINGLES`` shingles at most; each pair of chunks is one cell, in which pairs
-    are tested in numpy and only links come out. At least one link comes out for each two components that are linked.
+    are tested in numpy by their full sets and only links come out. At least one link comes out for each two components that are linked.
     """
     placed = members.join(components(stars), "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
     bands = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("shingles"))
@@ -277,16 +271,14 @@ def _between_components(members: DataFrame, stars: DataFrame, sets: DataFrame, p
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .select("band", "node", "label", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
     )
-    threshold = percent / 100
-    looks = _looks(bands_for(percent, miss) * ROWS, threshold, miss)
+    looks = _looks(bands_for(percent, miss) * ROWS, percent / 100, miss)
 
     def cell(rows: pa.Table) -> pa.Table:
-        a, b = _links_in_cell(rows, threshold, looks)
+        a, b = _links_in_cell(rows, percent, looks)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    cells = dealt.join(sets.select("node", "sig", "brief"), "node").groupBy("band", "low", "high")
-    found = stored(cells.applyInArrow(cell, "a bigint, b bigint").distinct(), "inner")
-    return compared(found, sets).where(F.col("shared") * 100 >= F.col("joint") * percent).select("a", "b")
+    cells = dealt.join(sets.select("node", "sig", "members"), "node").groupBy("band", "low", "high")
+    return stored(cells.applyInArrow(cell, "a bigint, b bigint").distinct(), "inner")
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, miss: float = MISS) -> DataFrame:
