@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 
@@ -19,9 +20,22 @@ def test_template_is_read_back_exactly():
     assert [chat.unescape(formatted[a:b]) for a, b in masks] == [t for r, t in turns if r == "assistant"]
 
 
+def test_no_control_string_is_left_inside():
+    draw = random.Random(5)
+    for _ in range(3000):
+        text = "".join(draw.choice(["#", "##", "### ", " ", "<", "</turn>", "turn>", "/", "\\", ": ", "x", "\n"]) for _ in range(draw.randrange(12)))
+        escaped = chat.escape(text)
+        assert "### " not in escaped and "</turn>" not in escaped
+        assert chat.unescape(escaped) == text
+        turns = [(text, text), ("assistant", text)]
+        formatted, masks = chat.write(turns)
+        assert formatted.count("</turn>\n") == 2 and chat.read(formatted) == turns
+        assert [chat.unescape(formatted[a:b]) for a, b in masks] == [t for r, t in turns if r == "assistant"]
+
+
 def expected(key, turns):
     loss = "".join(t for r, t in turns if r == "assistant")
-    return key, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(chat.write(turns)[0])
+    return key, 1, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(chat.write(turns)[0])
 
 
 def test_conversations(spark):
@@ -46,3 +60,6 @@ def test_trees(spark, branches):
     every = {(1, 4): ["m1", "m2", "m4"], (1, 5): ["m1", "m3", "m5"], (1, 6): ["m1", "m3", "m6"], (1, 9): ["m9"], (2, 1): ["m1"]}
     best = {None: set(every), 1: {(1, 4), (2, 1)}, 2: {(1, 4), (1, 5), (2, 1)}}[branches]
     assert found == {k: v for k, v in every.items() if k in best}
+    places = {(r.tree, r.leaf): r.place for r in chat.format_branches(frame, branches).collect()}
+    ranked = {(1, 4): 1, (1, 5): 2, (1, 6): 3, (1, 9): 4, (2, 1): 1}  # means 10/3, 2, 2 (the smaller leaf first), 0
+    assert places == {k: v for k, v in ranked.items() if k in best}

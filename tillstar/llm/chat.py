@@ -7,9 +7,10 @@ meets every ancestor once (its distance in binary). A branch scores the mean of
 are ranked by score, ties by leaf.
 
 Template: every message is written as ``### role: text</turn>`` and a line feed. In texts and roles ``\\`` becomes
-``\\\\``, ``</turn>`` becomes ``<\\/turn>`` and ``###`` becomes ``#\\##``; a role also has its ``: `` written ``:\\ ``. So
-no control string occurs inside, every backslash escapes the character behind it, and reading back is exact. The loss
-mask is a list of code point ranges of the output, one for the text of each assistant message.
+``\\\\``, ``</turn>`` becomes ``<\\/turn>`` and the space that ends ``### `` becomes ``\\ ``; a role
+also has its ``: `` written ``:\\ ``. So neither ``### `` nor ``</turn>`` occurs in an escaped text, every backslash escapes the
+character behind it, and reading back is exact. The loss mask is a list of code point ranges of the output, one for the
+text of each assistant message.
 
 Results for special rows: null texts, roles and scores count as empty or 0; an empty text is a message. Messages that
 only reach a cycle of parents belong to no path. Conversations: rows are ordered by turn, then role and text, nulls first;
@@ -31,12 +32,12 @@ from tillstar.session import stored
 OPEN, BETWEEN, CLOSE = "### ", ": ", "</turn>\n"
 TRAINED = "assistant"
 
-FORMATTED = "tree bigint, leaf bigint, formatted string, loss array<struct<begin: bigint, end: bigint>>"
-DIGESTS = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+FORMATTED = "tree bigint, leaf bigint, place int, formatted string, loss array<struct<begin: bigint, end: bigint>>"
+DIGESTS = "conv_id bigint, place int, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
 def escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("</turn>", "<\\/turn>").replace("###", "#\\##")
+    return text.replace("\\", "\\\\").replace("</turn>", "<\\/turn>").replace("### ", "###\\ ")
 
 
 def unescape(text: str) -> str:
@@ -90,26 +91,36 @@ def paths(messages: DataFrame) -> DataFrame:
     return found
 
 
+def ranked_paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
+    """``paths`` with the ``place`` of their branch in its tree, of the ``branches`` best ones; only keys and scores are shuffled."""
+    steps = paths(messages)
+    on = F.col("c.tree").eqNullSafe(F.col("p.tree")) & (F.col("c.node") == F.col("p.node"))
+    scored = steps.alias("c").join(messages.alias("p"), on).select("c.tree", "c.leaf", F.coalesce(F.col("p.score").cast("double"), F.lit(0.0)).alias("score"))
+    means = scored.groupBy("tree", "leaf").agg(F.avg("score").alias("mean"))
+    order = Window.partitionBy("tree").orderBy(F.col("mean").desc(), "leaf")
+    best = means.withColumn("place", F.row_number().over(order)).select("tree", "leaf", "place")
+    if branches is not None:
+        best = best.where(F.col("place") <= branches)
+    same = F.col("c.tree").eqNullSafe(F.col("b.tree")) & (F.col("c.leaf") == F.col("b.leaf"))
+    return steps.alias("c").join(best.alias("b"), same).select("c.*", "b.place")
+
+
 def format_branches(messages: DataFrame, branches: int | None = None) -> DataFrame:
-    """tree, leaf, formatted and loss of the ``branches`` best paths of each tree (all, if None)."""
+    """tree, leaf, place (rank of the branch), formatted and loss of the ``branches`` best paths of each tree (all, if None)."""
     small_batches(messages.sparkSession)
-    steps = paths(messages)
-    placed = steps.alias("c").join(
+    chosen = stored(ranked_paths(messages, branches), "chosen")
+    # texts are joined to chosen paths only
+    placed = chosen.alias("c").join(
         messages.alias("p"), F.col("c.tree").eqNullSafe(F.col("p.tree")) & (F.col("c.node") == F.col("p.node"))
-    ).select("c.tree", "c.leaf", "c.up", F.coalesce("p.role", F.lit("")).alias("role"), F.coalesce("p.text", F.lit("")).alias("text"), "p.score")
-    if branches is not None:
-        scores = placed.groupBy("tree", "leaf").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("mean"))
-        order = Window.partitionBy("tree").orderBy(F.col("mean").desc(), "leaf")
-        best = scores.withColumn("place", F.row_number().over(order)).where(F.col("place") <= branches).select("tree", "leaf")
-        placed = placed.alias("c").join(best.alias("b"), F.col("c.tree").eqNullSafe(F.col("b.tree")) & (F.col("c.leaf") == F.col("b.leaf")), "left_semi")
+    ).select("c.tree", "c.leaf", "c.place", "c.up", F.coalesce("p.role", F.lit("")).alias("role"), F.coalesce("p.text", F.lit("")).alias("text"))
     # a path is one output row, so its messages have to meet
-    whole = placed.groupBy("tree", "leaf").agg(F.sort_array(F.collect_list(F.struct("up", "role", "text")), asc=False).alias("turns"))
+    whole = placed.groupBy("tree", "leaf", "place").agg(F.sort_array(F.collect_list(F.struct("up", "role", "text")), asc=False).alias("turns"))
 
     def work(batches):
         for batch in batches:
-            done = [write([(t["role"], t["text"]) for t in turns.as_py()]) for turns in batch.column(2)]
+            done = [write([(t["role"], t["text"]) for t in turns.as_py()]) for turns in batch.column(3)]
             masks = pa.array([[{"begin": a, "end": b} for a, b in m] for _, m in done], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t for t, _ in done], pa.string()), masks], names=["tree", "leaf", "formatted", "loss"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([t for t, _ in done], pa.string()), masks], names=["tree", "leaf", "place", "formatted", "loss"])
 
     return whole.mapInArrow(work, FORMATTED)
 
@@ -128,13 +139,13 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def work(batches):
         for batch in batches:
             rows = []
-            for text, masks in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text, masks in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 turns = read(text)
                 said = "".join(f"{role}\n{body}\n" for role, body in turns)
                 loss = "".join(unescape(text[m["begin"] : m["end"]]) for m in masks)
                 rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             cells = [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cells], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *cells], names=["conv_id", "place", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.select(F.col("tree").alias("conv_id"), "leaf", "formatted", "loss").mapInArrow(work, DIGESTS)
+    return formatted.select(F.col("tree").alias("conv_id"), "leaf", "place", "formatted", "loss").mapInArrow(work, DIGESTS)
