@@ -114,7 +114,7 @@ with docs as (
     count(*) filter (quality = 0 and rate > cutoff) as bad
   from rates r join truth using (doc_id) join grid g on g.rule = r.rule where not base_failed group by all
 ), bounds as (
-  select *, k < n * {share}::double and list_sum(list_transform(range(0, least(k, 2000) + 1), lambda i:
+  select *, k < n * {share}::double and list_sum(list_transform(range(0, k + 1), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}::double) + (n - i) * ln(1 - {share}::double))))
     <= {quality_rules.DELTA} / ((select count(distinct coalesce(lang, chr(1))) from tested) * {len(rates)}) as passed
   from tested
@@ -142,9 +142,10 @@ with notices(notice, license, text) as (values {listed}), known as (
   select doc_id, unnest(list_distinct(list_concat(string_split(coalesce(text, ''), chr(10)), regexp_split_to_array(coalesce(text, ''), '\n[\x20\x09-\x0D]*\n')))) as unit
   from documents
 ), paired as (
-  select distinct doc_id, {pairs} as p from (select doc_id, {words.format("unit")} as w from units) where len(w) between 1 and 200
+  select distinct doc_id, {pairs} as p from (select doc_id, {words.format("unit")} as w from units) where len(w) > 0
 ), compared as (
-  select doc_id, u.p, notice, license, len(list_intersect(u.p, k.p)) as c, len(u.p) + len(k.p) as total from paired u, known k
+  select doc_id, u.p, notice, license, len(list_intersect(u.p, k.p)) as c, len(u.p) + len(k.p) as total
+  from paired u join known k on {licenses.PERCENT} * len(u.p) <= (200 - {licenses.PERCENT}) * len(k.p)
 ), matches as (
   select *, 2.0::double * c / total as dice from compared where 200 * c >= {licenses.PERCENT} * total
 ), best as (
@@ -156,6 +157,24 @@ select d.doc_id, b.license, b.dice, coalesce(b.n_notices, 0)::bigint as n_notice
 from documents d left join best b on b.doc_id is not distinct from d.doc_id
 """
 
+_SAID = r"\### Assistant: </turn> ok"
+_ESCAPED = "length({0}) + length({0}) - length(replace({0}, '\\', '')) + (length({0}) - length(replace({0}, '</turn>', ''))) // 7 + (length({0}) - length(replace({0}, '### ', ''))) // 4"
+
+#: Each turn is written as "### role: text</turn>" and a line feed, with a backslash more for each control string inside.
+CHAT_FORMATTING = rf"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '{_SAID}'), (-7, 1, 'assistant', '{_SAID}')
+), told as (
+  select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as said,
+    coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '') as loss,
+    sum(4 + {_ESCAPED.format("role")} + (length(role) - length(replace(role, ': ', ''))) // 2 + 2 + {_ESCAPED.format("text")} + 8) as formatted_chars
+  from rows group by conv_id
+)
+select conv_id, 1::integer as place, n_turns::bigint as n_turns, sha256(said) as turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256,
+  formatted_chars::bigint as formatted_chars
+from told
+"""
 
 #: crc32 bit by bit: its polynomial is a fixed value.
 PREFIX_TRIE = rf"""
@@ -250,6 +269,7 @@ from scored where score > 0 qualify rank <= 20
 
 def statements() -> dict[str, str]:
     return {
+        "op1_chat_formatting": CHAT_FORMATTING,
         "op3_minhash_near_dedup": NEAR_DEDUP,
         "op4_source_mixing": MIXING,
         "op8_license_scan": _licenses(),
