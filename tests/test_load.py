@@ -46,7 +46,7 @@ def test_product_without_store_is_rejected(spark, tmp_path):
 def test_audit(spark, tmp_path):
     w = empty_warehouse(spark, tmp_path)
     w.load_sales(transactions(spark, MIXED))
-    audit = {r.Stage: (r.Rows_In, r.Rows_Out, r.Rate_Pct) for r in load.load_audit(w.table("stage_sales"), w.table("fact_sales")).collect()}
+    audit = {r.Stage: (r.Rows_In, r.Rows_Out, r.Rate_Pct) for r in w.audit().collect()}
     assert audit["customer_join"] == (13, 10, 76.92)
     assert audit["end_to_end"] == (13, 2, 15.38)
 
@@ -54,7 +54,7 @@ def test_audit(spark, tmp_path):
 def test_no_transactions(spark, tmp_path):
     w = empty_warehouse(spark, tmp_path)
     w.load_sales(transactions(spark, MIXED).limit(0))
-    audit = load.load_audit(w.table("stage_sales"), w.table("fact_sales")).collect()
+    audit = w.audit().collect()
     assert {(r.Rows_In, r.Rows_Out, r.Rate_Pct) for r in audit} == {(0, 0, None)}
 
 

@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from fixtures import empty_warehouse, reasons, transactions
 from pyspark.sql import functions as F
@@ -89,3 +90,27 @@ def test_no_rows(spark, tmp_path):
     assert loader.facts().count() == 0
     loader.load_batch(transactions(spark, FIRST).limit(0), 0)
     assert loader.facts().count() == 0
+
+
+def test_a_recreated_warehouse_is_loaded_again(spark, tmp_path):
+    root, folder = str(tmp_path / "w"), tmp_path / "in"
+    add_csv(spark, folder, FIRST)
+    for _ in range(2):
+        schemas.recreate_tables(spark, root)
+        loader = FactStream(empty_warehouse(spark, root), root)
+        assert loader.facts().count() == 0
+        run(loader, spark, folder)
+        assert rows(loader.facts().select("Order_ID", "Quantity")) == [(1, 2), (2, 1)]
+        found = {r.Stage: (r.Rows_In, r.Rows_Out) for r in loader.audit().collect()}
+        assert found["end_to_end"] == (4, 2)
+
+
+def test_a_checkpoint_of_other_facts_is_refused(spark, tmp_path):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
+    add_csv(spark, folder, FIRST)
+    root = str(tmp_path / "w")
+    run(FactStream(empty_warehouse(spark, root), root), spark, folder, checkpoint)
+    run(FactStream(empty_warehouse(spark, root), root), spark, folder, checkpoint)  # its own one may go on
+    schemas.recreate_tables(spark, root)
+    with pytest.raises(ValueError, match="belongs to other facts"):
+        run(FactStream(empty_warehouse(spark, root), root), spark, folder, checkpoint)

@@ -13,7 +13,7 @@ from tillstar import schemas
 from tillstar.operators import profile, quality
 from tillstar.operators.dedupe import keep_first, repeated_keys, surplus_rows
 from tillstar.operators.keys import key_page
-from tillstar.plans import dims, load, olap
+from tillstar.plans import dims, load, olap, quarters
 from tillstar.plans.star import FILES_PER_BATCH, Star, Warehouse, Workspace, workspace
 from tillstar.session import stored
 from tillstar.sources import binding, readers
@@ -103,7 +103,7 @@ def fact_rejects(w: Workspace) -> DataFrame:
     return w.faulty.rejects()
 
 
-def fact_append(w: Workspace) -> DataFrame:
+def _appended(w: Workspace) -> Warehouse:
     """Half of the orders as one batch, then all of them as a second one."""
 
     def build() -> Warehouse:
@@ -114,7 +114,11 @@ def fact_append(w: Workspace) -> DataFrame:
         warehouse.append_sales(w.transactions)
         return warehouse
 
-    return plain(w.once("append", build).table("fact_sales").drop(*_INTERNAL))
+    return w.once("append", build)
+
+
+def fact_append(w: Workspace) -> DataFrame:
+    return plain(_appended(w).table("fact_sales").drop(*_INTERNAL))
 
 
 def fact_dedup(w: Workspace) -> DataFrame:
@@ -132,8 +136,47 @@ def _repeated(w: Workspace) -> DataFrame:
 
 
 def load_audit(w: Workspace) -> DataFrame:
-    h = w.faulty
-    return load.load_audit(h.table("stage_sales"), h.table("fact_sales"))
+    return w.faulty.audit()
+
+
+def _compacted(w: Workspace) -> Warehouse:
+    """The warehouse of ``fact_append``, compacted, with saved quarters that were refreshed before and after that."""
+
+    def run() -> Warehouse:
+        warehouse = _appended(w)
+        quarters.refresh(w.spark, warehouse.root)
+        warehouse.compact()
+        quarters.refresh(w.spark, warehouse.root)
+        return warehouse
+
+    return w.once("compacted", run)
+
+
+def fact_compacted(w: Workspace) -> DataFrame:
+    return plain(_compacted(w).table("fact_sales").drop(*_INTERNAL))
+
+
+def q20_saved_quarters(w: Workspace) -> DataFrame:
+    warehouse = _compacted(w)
+    return quarters.report(w.spark, warehouse.root, warehouse.table("dim_store"))
+
+
+def star_recreated_counts(w: Workspace) -> DataFrame:
+    """Created, loaded as a stream, created anew and loaded as a stream again: everything is there once."""
+
+    def run() -> Warehouse:
+        warehouse = Warehouse(w.spark, f"{w.root}/recreated")
+        layout = w.spark.read.parquet(w.landing).schema
+        for folder in (w.late, w.landing):
+            schemas.recreate_tables(w.spark, warehouse.root)
+            warehouse.load_masters(w.customers, w.products)
+            warehouse.load_dimensions(dims.years_of(w.transactions, "Sale_Date"))
+            rows = transaction_stream(w.spark, folder, layout, files_per_batch=3 * FILES_PER_BATCH)
+            FactStream(warehouse, warehouse.root).start(rows).awaitTermination()
+        return warehouse
+
+    warehouse = w.once("recreated", run)
+    return quality.row_counts({t: warehouse.table(t) for t in (*schemas.STAR_TABLES, *schemas.MASTER_TABLES)})
 
 
 def _streamed(w: Workspace) -> FactStream:
@@ -185,14 +228,11 @@ def dq_non_null_counts(w: Workspace) -> DataFrame:
 
 def dq_fk_violations(w: Workspace) -> DataFrame:
     """All facts, and some of them once more with a key that no dimension has."""
-    facts = w.star.fact_sales
-    broken = [
-        facts.where(F.col("Order_ID") % 50 == k).withColumn(key, -F.col(key))
-        for k, key in enumerate(("Customer_Key", "Product_Key", "Store_Key", "Supplier_Key", "Date_Key"), 1)
-    ]
-    for rows in broken:
-        facts = facts.unionByName(rows)
-    return quality.foreign_key_violations(replace(w.star, fact_sales=facts))
+    names = ("Customer_Key", "Product_Key", "Store_Key", "Supplier_Key", "Date_Key")
+    wrong = lambda key: F.struct(*[(-F.col(n) if n == key else F.col(n)).alias(n) for n in names])
+    broken = [F.when(F.col("Order_ID") % 50 == k, wrong(key)) for k, key in enumerate(names, 1)]
+    keys = w.star.fact_sales.select(F.inline(F.array_compact(F.array(F.struct(*names), *broken))))
+    return quality.foreign_key_violations(replace(w.star, fact_sales=keys))
 
 
 def dq_constraint_violations(w: Workspace) -> DataFrame:
@@ -213,6 +253,12 @@ def dq_constraint_violations(w: Workspace) -> DataFrame:
     })
 
 
+def eda_distinct_sketch(w: Workspace) -> DataFrame:
+    keys = ["Customer_ID", "Product_ID", "Order_ID"]
+    daily = w.once("sketches", lambda: stored(profile.distinct_sketches(w.transactions, "Sale_Date", keys), "sketches"))
+    return profile.sketch_check(w.transactions, daily, keys)
+
+
 def _lookups(star: Star) -> dict[str, DataFrame]:
     return {t: dims.key_lookup(getattr(star, t), t) for t in schemas.STAR_TABLES if t != "fact_sales"}
 
@@ -239,6 +285,7 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "q18_half_year_split": lambda w: olap.half_year_split(w.star, YEAR),
     "q19_daily_spikes": lambda w: olap.daily_spikes(w.star),
     "q20_store_quarterly_sales": lambda w: olap.store_quarterly_sales(w.star),
+    "q20_saved_quarters": q20_saved_quarters,
     # cleaning and masters
     "clean_transactions": clean_transactions,
     "clean_products": lambda w: plain(w.products),
@@ -254,11 +301,13 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "star_row_counts": lambda w: quality.row_counts(
         {t: w.full.table(t) for t in (*schemas.STAR_TABLES, *schemas.MASTER_TABLES)}
     ),
+    "star_recreated_counts": star_recreated_counts,
     # load
     "enrich_customer": enrich_customer,
     "enrich_product": enrich_product,
     "fact_sales": fact_sales,
     "fact_append": fact_append,
+    "fact_compacted": fact_compacted,
     "csv_fact_load": csv_fact_load,
     "fact_rejects": fact_rejects,
     "fact_dedup": fact_dedup,
@@ -291,6 +340,7 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     ),
     "eda_category_counts": lambda w: profile.counts_by_frequency(w.products, "Product_Category"),
     "eda_distinct_entities": lambda w: profile.distinct_counts(w.products, ["StoreName", "SupplierName"]),
+    "eda_distinct_sketch": eda_distinct_sketch,
     "eda_price_summary": lambda w: profile.summary(w.products, "Price"),
     "eda_quantity_summary": lambda w: profile.summary(w.transactions, "Quantity"),
     "eda_quantity_counts": lambda w: profile.counts_by_value(w.transactions, "Quantity"),

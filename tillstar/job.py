@@ -23,9 +23,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar import schemas
 from tillstar.operators import profile, quality
-from tillstar.plans import dims, load, olap
+from tillstar.plans import dims, load, olap, quarters
 from tillstar.plans.star import Star, Warehouse
-from tillstar.session import cluster_settings, remove
+from tillstar.session import cluster_settings
 from tillstar.sources import readers
 from tillstar.streaming.fact_stream import FactStream, transaction_stream
 
@@ -67,15 +67,14 @@ def etl(
         readers.clean_products(readers.read_csv(spark, products)),
     )
     warehouse.load_dimensions(dims.years_between(spark, *years))
+    if rebuild:
+        schemas.drop_loads(spark, root)
     if stream:
         names = readers.read_csv(spark, transactions).columns
         layout = StructType([StructField(n, StringType()) for n in names])
         rows = transaction_stream(spark, transactions, layout, "csv", files_per_batch=64)
         FactStream(warehouse, root).start(rows).awaitTermination()
     else:
-        if rebuild:
-            for name in ("fact_sales", "fact_rejects"):
-                remove(spark, f"{root}/{name}")
         warehouse.append_sales(readers.clean_transactions(readers.read_csv(spark, transactions)))
     return warehouse
 
@@ -85,6 +84,13 @@ def create(spark: SparkSession, root: str) -> None:
     schemas.recreate_tables(spark, root)
 
 
+def maintain(spark: SparkSession, root: str) -> None:
+    """Compact the folders of many loads and bring the saved quarters up to date."""
+    Warehouse(spark, root).compact()
+    quarters.refresh(spark, root)
+    quarters.clean(spark, root)
+
+
 def analysis(spark: SparkSession, customers: str, products: str, transactions: str) -> dict[str, DataFrame]:
     """Every quality and profile report of the raw files, by name."""
     people = readers.clean_customers(readers.read_csv(spark, customers))
@@ -132,6 +138,8 @@ def _deliver(name: str, df: DataFrame, output: str | None) -> None:
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tillstar")
     commands = parser.add_subparsers(dest="command", required=True)
+    sub = commands.add_parser("maintain", help="compact the folders of many loads, refresh the saved quarters")
+    sub.add_argument("--warehouse", required=True)
     for command in ("etl", "analyse"):
         sub = commands.add_parser(command)
         for name in ("customers", "products", "transactions"):
@@ -140,9 +148,8 @@ def main(arguments: list[str] | None = None) -> None:
             sub.add_argument("--warehouse", required=True)
             sub.add_argument("--first-year", type=int, default=2015)
             sub.add_argument("--last-year", type=int, default=2020)
-            how = sub.add_mutually_exclusive_group()
-            how.add_argument("--stream", action="store_true", help="read the transactions folder as a stream")
-            how.add_argument("--rebuild", action="store_true", help="replace all facts and rejects by this input")
+            sub.add_argument("--stream", action="store_true", help="read the transactions folder as a stream")
+            sub.add_argument("--rebuild", action="store_true", help="replace all facts and rejects by this input")
         else:
             sub.add_argument("--output")
     sub = commands.add_parser("create")
@@ -167,8 +174,9 @@ def main(arguments: list[str] | None = None) -> None:
         rejects = warehouse.all_rejects()
         quality.row_counts({t: warehouse.table(t) for t in schemas.STAR_TABLES}).show()
         rejects.groupBy("Reason").agg(F.sum("Copies").alias("Rows")).show()
-        if given.stream:
-            FactStream(warehouse, given.warehouse).audit().show(truncate=False)
+        warehouse.audit().show(truncate=False)
+    elif given.command == "maintain":
+        maintain(spark, given.warehouse)
     elif given.command == "create":
         create(spark, given.warehouse)
     elif given.command == "report":

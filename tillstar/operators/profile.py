@@ -13,6 +13,7 @@ from tillstar.functions import numeric
 from tillstar.session import stored
 
 QUARTILES = (0.25, 0.5, 0.75)
+SKETCH_BITS = 14  # 2^14 registers: a standard error of about 0.8 %
 RANGES = 1024  # in which values are counted to find a quantile
 
 
@@ -52,6 +53,27 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def distinct_sketches(df: DataFrame, day: str, columns: list[str]) -> DataFrame:
+    """A sketch of the distinct values of every column for each day: days are added by a union of sketches, not counted again."""
+    return df.groupBy(day).agg(*[F.hll_sketch_agg(F.xxhash64(c), F.lit(SKETCH_BITS)).alias(c) for c in columns])
+
+
+def sketched_counts(daily: DataFrame, columns: list[str]) -> DataFrame:
+    """Estimated distinct values per column over all days of ``distinct_sketches``."""
+    estimates = F.array(*[
+        F.struct(F.lit(c).alias("Column_Name"), F.hll_sketch_estimate(F.col(c)).alias("Estimate")) for c in columns
+    ])
+    return daily.agg(*[F.hll_union_agg(c).alias(c) for c in columns]).select(F.inline(estimates))
+
+
+def sketch_check(df: DataFrame, daily: DataFrame, columns: list[str], percent: int = 2) -> DataFrame:
+    """Exact distinct values per column, and whether the sketches' estimate is off by less than ``percent``."""
+    off = F.abs(F.col("Estimate") - F.col("Distinct_Values")) * 100 < F.col("Distinct_Values") * percent
+    return distinct_counts(df, columns).join(sketched_counts(daily, columns), "Column_Name").select(
+        "Column_Name", "Distinct_Values", off.cast("int").alias("Sketch_Is_Near")
+    )
+
+
 def _quantiles(per_value: DataFrame, shares: tuple[float, ...]) -> list[float | None]:
     """Exact, interpolated quantiles of values ``v`` that occur ``n`` times, without bringing all values together.
 

@@ -81,21 +81,29 @@ def non_null_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([one(name, df) for name, df in tables.items()])
 
 
-def foreign_key_violations(star: Star) -> DataFrame:
-    """Fact rows, and distinct keys, whose key has no row in the dimension."""
-
-    def one(dimension: str, key: str) -> DataFrame:
-        per_key = star.fact_sales.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        return (
-            per_key.join(getattr(star, dimension).select(key), key, "left_anti")
-            .agg(F.count(F.lit(1)).alias("Missing_Keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("Fact_Rows"))
-            .select(F.lit(key).alias("Foreign_Key"), "Missing_Keys", "Fact_Rows")
-        )
+FOREIGN_KEYS = {
+    "Customer_Key": "dim_customer", "Product_Key": "dim_product", "Store_Key": "dim_store",
+    "Supplier_Key": "dim_supplier", "Date_Key": "dim_date",
+}
+
 
-    return _union([
-        one("dim_customer", "Customer_Key"), one("dim_product", "Product_Key"), one("dim_store", "Store_Key"),
-        one("dim_supplier", "Supplier_Key"), one("dim_date", "Date_Key"),
-    ])
+def foreign_key_violations(star: Star) -> DataFrame:
+    """Fact rows, and distinct keys, whose key has no row in the dimension; NULL is such a key.
+
+    One pass over the facts: all keys of a row are counted as (name, key), which combines before the shuffle.
+    """
+    pair = lambda name: F.struct(F.lit(name).alias("Foreign_Key"), F.col(name).cast("bigint").alias("key"))
+    keys = star.fact_sales.select(F.inline(F.array(*[pair(name) for name in FOREIGN_KEYS])))
+    counts = keys.groupBy("Foreign_Key", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = _union([getattr(star, table).select(pair(name).alias("k")).select("k.*") for name, table in FOREIGN_KEYS.items()])
+    missing = counts.join(known, ["Foreign_Key", "key"], "left_anti").groupBy("Foreign_Key").agg(
+        F.count(F.lit(1)).alias("Missing_Keys"), F.sum("n").alias("Fact_Rows")
+    )
+    names = star.fact_sales.sparkSession.createDataFrame([(name,) for name in FOREIGN_KEYS], "Foreign_Key string")
+    zero = F.lit(0).cast("bigint")
+    return names.join(missing, "Foreign_Key", "left").select(
+        "Foreign_Key", F.coalesce("Missing_Keys", zero).alias("Missing_Keys"), F.coalesce("Fact_Rows", zero).alias("Fact_Rows")
+    )
 
 
 def constraint_violations(tables: dict[str, tuple[DataFrame, dict[str, Column]]]) -> DataFrame:

@@ -191,11 +191,10 @@ def store_dimensions(spark: SparkSession, root: str, years: DataFrame) -> None:
     )
 
 
-def together(*writes: Callable[[], None]) -> None:
-    """Submit independent Spark jobs at the same time and wait for all of them."""
+def together(*writes: Callable[[], object]) -> list[object]:
+    """Submit independent Spark jobs at the same time, wait for all of them and return what they give."""
     with ThreadPoolExecutor(len(writes)) as pool:
-        for done in [pool.submit(write) for write in writes]:
-            done.result()
+        return [done.result() for done in [pool.submit(write) for write in writes]]
 
 
 def load_dimension(spark: SparkSession, source: str, table: str, target: str) -> None:

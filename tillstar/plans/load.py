@@ -6,16 +6,13 @@ rejects' ``Copies`` is the number of input rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar import schemas
-from tillstar.functions import rules
+from tillstar.functions import numeric, rules
 from tillstar.operators.dedupe import first_by_minimum, keep_first, repeated_keys, surplus_rows
-from tillstar.session import path_exists
-
-PART = "Load_Batch"
+from tillstar.plans.parts import PART, part_folder, read_parts
 
 UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTITY, NO_PRICE, BAD_AMOUNT, DUPLICATE = (
     "unparsable",
@@ -136,29 +133,22 @@ def fact_rows(sales: DataFrame) -> DataFrame:
     )
 
 
-def write_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
-    """Partitioned by year; rows of a date lie together, so row groups prune by ``Date_Key``.
+def write_facts(facts: DataFrame, path: str, mode: str = "append") -> int:
+    """Partitioned by year; rows of a date lie together, so row groups prune by ``Date_Key``. Returns the number of rows.
 
-    The rebalance hint sizes the output files from the shuffle statistics and splits a hot date.
+    The rebalance hint sizes the output files from the shuffle statistics and splits a hot date. Rows are counted as they
+    are written, in the last stage, which counts each of them once whatever tasks run again.
     """
+    seen = Observation()
     (
         facts.hint("rebalance", "Date_Key")
         .sortWithinPartitions("Sale_Year", "Date_Key")
+        .observe(seen, F.count(F.lit(1)).alias("loaded"))
         .write.mode(mode)
         .partitionBy("Sale_Year")
         .parquet(path)
     )
-
-
-def part_folder(path: str, part: str) -> str:
-    """The folder of one load below a table; batch and stream loads share this layout."""
-    return f"{path}/{PART}={part}"
-
-
-def read_parts(spark: SparkSession, path: str, layout: StructType) -> DataFrame:
-    """All loads of a table, with the name of each in ``Load_Batch``; empty before the first one."""
-    named = StructType([*layout.fields, StructField(PART, StringType())])
-    return spark.read.schema(named).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], named)
+    return seen.get["loaded"]
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -211,20 +201,28 @@ def already_loaded(sales: DataFrame, seen: DataFrame, customers: DataFrame, prod
 
 
 # --- audit --------------------------------------------------------------------
-def audit_counts(resolved: DataFrame, facts: DataFrame) -> DataFrame:
-    """One row: input rows, those with a customer, with a product too, and facts."""
+def observed_stage(resolved: DataFrame) -> tuple[DataFrame, Observation]:
+    """The resolved rows, to be written, and what their write counts: rows, those with a customer, with a product too."""
+    seen = Observation()
     customer_found = F.col("Customer_Key").isNotNull()
-    counts = resolved.agg(
-        F.count(F.lit(1)).alias("streamed"),
-        F.count_if(customer_found).alias("customer"),
+    watched = resolved.observe(
+        seen, F.count(F.lit(1)).alias("streamed"), F.count_if(customer_found).alias("customer"),
         F.count_if(customer_found & F.col("Product_Key").isNotNull()).alias("product"),
     )
-    return counts.select("*", facts.agg(F.count(F.lit(1)).alias("loaded")).scalar().alias("loaded"))
+    return watched, seen
+
+
+def write_audit(spark: SparkSession, path: str, part: str, staged: Observation, loaded: int) -> None:
+    """The counts of one load, gathered by its writes; no table is read for them."""
+    counts = {**staged.get, "loaded": loaded}
+    row = spark.createDataFrame([tuple(counts[n] for n in schemas.LOAD_AUDIT.names)], schemas.LOAD_AUDIT)
+    row.coalesce(1).write.mode("overwrite").parquet(part_folder(path, part))
 
 
-def load_audit(resolved: DataFrame, facts: DataFrame) -> DataFrame:
-    """One row per stage: rows in, rows matched, match rate; rates are NULL on empty input."""
-    return audit_stages(audit_counts(resolved, facts))
+def load_audit(spark: SparkSession, path: str) -> DataFrame:
+    """One row per stage over all loads: rows in, rows matched, match rate; rates are NULL on empty input."""
+    counts = read_parts(spark, path, schemas.LOAD_AUDIT)
+    return audit_stages(counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in schemas.LOAD_AUDIT.names]))
 
 
 def audit_stages(counts: DataFrame) -> DataFrame:
@@ -235,14 +233,13 @@ def audit_stages(counts: DataFrame) -> DataFrame:
         _stage(4, "fact_load", "product", "loaded"),
         _stage(5, "end_to_end", "streamed", "loaded"),
     )
-    rate = F.col("Rows_Out").cast("decimal(20,0)") * 100 / F.nullif("Rows_In", F.lit(0)).cast("decimal(20,0)")
     return counts.select(F.inline(stages)).select(
         "Stage_No",
         "Stage",
         "Rows_In",
         "Rows_Out",
         (F.col("Rows_In") - F.col("Rows_Out")).alias("Rows_Dropped"),
-        F.round(rate, 2).cast("double").alias("Rate_Pct"),
+        numeric.as_double(numeric.percent(F.col("Rows_Out"), F.col("Rows_In")), "Rate_Pct"),
     )
 
 

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstar import schemas
-from tillstar.plans import dims, load
+from tillstar.plans import dims, load, parts
 from tillstar.session import estimated_bytes, new_work_folder, remove, remove_stored, stored, write_if_empty
 from tillstar.sources import binding, readers
 
@@ -67,12 +67,15 @@ class Warehouse:
         The stage is written because facts, rejects and audit all read it and because it cuts the
         lineage: a lost executor costs a re-read, not the joins.
         """
-        load.resolve(transactions, *self.lookups()).write.mode("overwrite").parquet(f"{self.root}/stage_sales")
+        resolved, staged = load.observed_stage(load.resolve(transactions, *self.lookups()))
+        resolved.write.mode("overwrite").parquet(f"{self.root}/stage_sales")
         rows = load.loadable(self.table("stage_sales"))
         load.repeated_sales(rows).write.mode("overwrite").parquet(f"{self.root}/stage_repeated")
         sales = load.unique_sales(rows, self.table("stage_repeated"))
-        remove(self.spark, f"{self.root}/fact_sales")
-        load.write_facts(load.fact_rows(sales), load.part_folder(f"{self.root}/fact_sales", "rebuilt"), mode="overwrite")
+        for name in ("fact_sales", *schemas.DERIVED):
+            remove(self.spark, f"{self.root}/{name}")
+        loaded = load.write_facts(load.fact_rows(sales), load.part_folder(f"{self.root}/fact_sales", "rebuilt"), mode="overwrite")
+        load.write_audit(self.spark, f"{self.root}/load_audit", "rebuilt", staged, loaded)
         self.__dict__.pop("star", None)  # its file listing is out of date
 
     def append_sales(self, transactions: DataFrame) -> DataFrame:
@@ -82,18 +85,20 @@ class Warehouse:
         again after a failure half way, adds no fact. Every load writes a folder of its own.
         """
         part = f"batch-{uuid.uuid4().hex}"
-        resolved = stored(load.resolve(transactions, *self.lookups()), "stage_sales")
+        watched, staged = load.observed_stage(load.resolve(transactions, *self.lookups()))
+        resolved = stored(watched, "stage_sales")
         rows = load.loadable(resolved)
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
         sales = load.unique_sales(rows, repeated)
-        seen = load.stored_keys(self.table("fact_sales"), rows)
+        seen = stored(load.stored_keys(self.table("fact_sales"), rows), "seen_sales")
         known = stored(load.already_loaded(sales, seen, *self.lookups()[:2]), "known_sales")
         rejects = load.all_rejects(resolved, repeated).unionByName(known)
         rejects.write.parquet(load.part_folder(f"{self.root}/fact_rejects", part))
         new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
-        load.write_facts(new, load.part_folder(f"{self.root}/fact_sales", part))
+        loaded = load.write_facts(new, load.part_folder(f"{self.root}/fact_sales", part))
+        load.write_audit(self.spark, f"{self.root}/load_audit", part, staged, loaded)
         self.__dict__.pop("star", None)  # its file listing is out of date
-        for done in (resolved, repeated, known):
+        for done in (resolved, repeated, seen, known):
             remove_stored(done)
         return self.spark.read.schema(schemas.FACT_REJECTS).parquet(load.part_folder(f"{self.root}/fact_rejects", part))
 
@@ -101,6 +106,16 @@ class Warehouse:
         """The rejects of every appended batch and stream load."""
         return load.read_parts(self.spark, f"{self.root}/fact_rejects", schemas.FACT_REJECTS).drop(load.PART)
 
+    def audit(self) -> DataFrame:
+        """Rows in, rows matched and match rate per stage over all loads, as their writes counted them."""
+        return load.load_audit(self.spark, f"{self.root}/load_audit")
+
+    def compact(self) -> None:
+        """Rewrite the folders of many loads as one, for facts and rejects; readers and loads may go on."""
+        parts.compact(self.spark, f"{self.root}/fact_sales", schemas.FACT_SALES, load.write_facts)
+        parts.compact(self.spark, f"{self.root}/fact_rejects", schemas.FACT_REJECTS, lambda rows, path: rows.write.parquet(path))
+        self.__dict__.pop("star", None)  # its file listing is out of date
+
     def rejects(self) -> DataFrame:
         return load.all_rejects(self.table("stage_sales"), self.table("stage_repeated"))
 

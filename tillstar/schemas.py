@@ -5,6 +5,8 @@ Surrogate keys are BIGINT: a dense INT key runs out at 2.1 billion members.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql.types import (
     DateType,
@@ -17,7 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tillstar.session import remove
+from tillstar.session import remove, write_if_empty
 
 PRICE = DecimalType(10, 2)
 AMOUNT = DecimalType(12, 2)
@@ -93,6 +95,14 @@ FACT_REJECTS = _columns(
     Order_ID=_l, Customer_ID=_l, Product_ID=_s, Quantity=_i, Sale_Date=_d, Reason=_s, Copies=_l,
 )
 
+# What a load counted, and the sums that the quarterly report is saved as.
+_SUM = DecimalType(38, 2)
+LOAD_AUDIT = _columns("", streamed=_l, customer=_l, product=_l, loaded=_l)
+QUARTER_PARTS = _columns("", Store_Key=_l, Customer_Key=_l, Sales=_SUM, Quantity=_l, Transactions=_l, Sale_Year=_i, Quarter=_i)
+SAVED_QUARTERS = _columns(
+    "", Store_Key=_l, Sales=_SUM, Quantity=_l, Transactions=_l, Customers=_l, Sale_Year=_i, Quarter=_i, Version=_i,
+)
+
 STAR_TABLES = {
     "dim_date": DIM_DATE,
     "dim_customer": DIM_CUSTOMER,
@@ -104,9 +114,28 @@ STAR_TABLES = {
 MASTER_TABLES = {"master_customer": MASTER_CUSTOMER, "master_product": MASTER_PRODUCT}
 
 
+#: What is kept beside the facts of a warehouse and made from them; ``recreate_tables`` and a rebuild drop it.
+DERIVED = ("load_audit", "quarter_parts", "saved_quarters")
+IDENTITY = "warehouse_id"
+
+
+def warehouse_id(spark: SparkSession, root: str) -> str:
+    """Names the facts below ``root`` from their first load, or creation, until they are dropped."""
+    path = f"{root}/{IDENTITY}"
+    write_if_empty(spark.createDataFrame([(uuid.uuid4().hex,)], "id string").coalesce(1), path)
+    return spark.read.parquet(path).first()[0]
+
+
+def drop_loads(spark: SparkSession, root: str) -> None:
+    """Drop facts and rejects, all that is made from them, and the stream's checkpoint, which says what is loaded."""
+    for name in ("fact_sales", "fact_rejects", "stage_sales", "stage_repeated", *DERIVED, "checkpoint", IDENTITY):
+        remove(spark, f"{root}/{name}")
+
+
 def recreate_tables(spark: SparkSession, root: str) -> None:
-    """Drop and create every warehouse table, empty, below ``root``."""
-    for name in ("grouped_store", "grouped_supplier", "product_keys", "fact_rejects", "fact_sales"):
+    """Drop and create every warehouse table, empty, below ``root``; a stream starts from its first file again."""
+    drop_loads(spark, root)
+    for name in ("grouped_store", "grouped_supplier", "product_keys"):
         remove(spark, f"{root}/{name}")
     for name, layout in {**STAR_TABLES, **MASTER_TABLES}.items():
         writer = spark.createDataFrame([], layout).write.mode("overwrite")

@@ -62,13 +62,14 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, place = _hadoop_path(spark, path)
+    files, place = hadoop_path(spark, path)
     return files.exists(place)
 
 
@@ -78,7 +79,7 @@ def is_loaded(spark: SparkSession, path: str) -> bool:
 
 
 def _without_files(spark: SparkSession, path: str) -> bool:
-    files, place = _hadoop_path(spark, path)
+    files, place = hadoop_path(spark, path)
     listed = files.listFiles(place, True)
     while listed.hasNext():
         if listed.next().getPath().getName().endswith(".parquet"):
@@ -88,7 +89,7 @@ def _without_files(spark: SparkSession, path: str) -> bool:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of stored rows that nothing reads any more."""
-    files, place = _hadoop_path(spark, path)
+    files, place = hadoop_path(spark, path)
     files.delete(place, True)
 
 
@@ -105,7 +106,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_work_folder(df.sparkSession, label)
     df.write.parquet(path)
-    files, place = _hadoop_path(df.sparkSession, path)
+    files, place = hadoop_path(df.sparkSession, path)
     files.deleteOnExit(place)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

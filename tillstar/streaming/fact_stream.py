@@ -15,12 +15,11 @@ from tillstar import schemas
 from tillstar.plans import load
 from tillstar.plans.dims import together
 from tillstar.plans.star import Warehouse
-from tillstar.session import remove_stored, stored
+from tillstar.session import is_loaded, path_exists, remove_stored, stored
 from tillstar.sources import readers
 
 #: Identifies a query across restarts, set by Spark for the thread that runs a batch.
 _QUERY_ID = "sql.streaming.queryId"
-_AUDIT = "streamed bigint, customer bigint, product bigint, loaded bigint"
 
 
 def transaction_stream(
@@ -46,29 +45,45 @@ class FactStream:
         self.root = root
 
     def start(self, transactions: DataFrame, checkpoint: str | None = None) -> StreamingQuery:
-        """Process everything that is there, then stop; a restart goes on behind the last batch."""
+        """Process everything that is there, then stop; a restart goes on behind the last batch.
+
+        A checkpoint belongs to the facts that it was started for: one that another warehouse has used, or this one before it
+        was created anew, would skip files whose facts are not here, and is refused.
+        """
+        place = checkpoint or f"{self.root}/checkpoint"
+        self._claim(place)
         return (
             transactions.writeStream.foreachBatch(self.load_batch)
-            .option("checkpointLocation", checkpoint or f"{self.root}/checkpoint")
+            .option("checkpointLocation", place)
             .trigger(availableNow=True)
             .start()
         )
 
+    def _claim(self, checkpoint: str) -> None:
+        own, mark = schemas.warehouse_id(self.spark, self.root), f"{checkpoint}/{schemas.IDENTITY}"
+        if is_loaded(self.spark, mark):
+            if self.spark.read.parquet(mark).first()[0] != own:
+                raise ValueError(f"checkpoint {checkpoint} belongs to other facts than those in {self.root}")
+        elif path_exists(self.spark, f"{checkpoint}/offsets"):
+            raise ValueError(f"checkpoint {checkpoint} does not say which facts it belongs to")
+        else:
+            self.spark.createDataFrame([(own,)], "id string").coalesce(1).write.mode("overwrite").parquet(mark)
+
     def load_batch(self, batch: DataFrame, batch_id: int, query: str | None = None) -> None:
         part = f"{query or self.spark.sparkContext.getLocalProperty(_QUERY_ID) or 'direct'}-{batch_id}"
-        resolved = stored(load.resolve(batch, *self.lookups), "stage_sales")
+        watched, staged = load.observed_stage(load.resolve(batch, *self.lookups))
+        resolved = stored(watched, "stage_sales")
         rows = load.loadable(resolved)
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
         seen = stored(load.stored_keys(self._others("fact_sales", part), rows), "seen_sales")
         sales = load.unique_sales(rows, repeated)
         new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
         rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(sales, seen, *self.lookups[:2]))
-        together(
+        loaded, _ = together(
             lambda: load.write_facts(new, self._folder("fact_sales", part), mode="overwrite"),
             lambda: rejects.write.mode("overwrite").parquet(self._folder("fact_rejects", part)),
         )
-        loaded = self.spark.read.schema(schemas.FACT_SALES).parquet(self._folder("fact_sales", part))
-        load.audit_counts(resolved, loaded).write.mode("overwrite").parquet(self._folder("load_audit", part))
+        load.write_audit(self.spark, f"{self.root}/load_audit", part, staged, loaded)
         for done in (seen, repeated, resolved):
             remove_stored(done)
 
@@ -80,9 +95,7 @@ class FactStream:
 
     def audit(self) -> DataFrame:
         """The load audit over all batches: rows in, rows matched, match rate per stage."""
-        layout = StructType.fromDDL(_AUDIT)
-        counts = load.read_parts(self.spark, f"{self.root}/load_audit", layout)
-        return load.audit_stages(counts.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in layout.names]))
+        return load.load_audit(self.spark, f"{self.root}/load_audit")
 
     def _folder(self, kind: str, part: str) -> str:
         return load.part_folder(f"{self.root}/{kind}", part)

@@ -558,6 +558,10 @@ def _reports() -> dict[str, str]:
         "eda_distinct_entities": """
             select 'StoreName' as Column_Name, count(distinct StoreName) as Distinct_Values from raw_product
             union all select 'SupplierName', count(distinct SupplierName) from raw_product""",
+        "eda_distinct_sketch": " union all ".join(
+            f"select '{c}' as Column_Name, count(distinct {c}) as Distinct_Values, 1 as Sketch_Is_Near from tx"
+            for c in ("Customer_ID", "Product_ID", "Order_ID")
+        ),
         "eda_price_summary": _summary("raw_product", "price", 100),
         "eda_quantity_summary": _summary("tx", "Quantity", 100),
         "eda_quantity_counts": "select Quantity, count(*) as Row_Count from tx group by Quantity",
@@ -572,7 +576,17 @@ def _reports() -> dict[str, str]:
     }
 
 
+def _alike(selects: dict[str, str]) -> dict[str, str]:
+    """Queries that have to give what another one gives, by other means."""
+    return {
+        "q20_saved_quarters": selects["q20_store_quarterly_sales"],
+        "fact_compacted": selects["fact_sales"],
+        "star_recreated_counts": selects["star_row_counts"],
+    }
+
+
 def statements() -> dict[str, str]:
     selects = {**_olap(), **_tables(), **_reports()}
+    selects |= _alike(selects)
     # an inner WITH follows the shared parts as further parts
     return {name: _sql(text).replace("\nwith totals as", ",\ntotals as") for name, text in selects.items()}
