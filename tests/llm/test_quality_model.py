@@ -1,4 +1,8 @@
+import math
+import random
+
 import numpy as np
+import xxhash
 
 from tillstar.llm import quality_model
 
@@ -34,3 +38,72 @@ def test_special_rows(spark):
     assert len(kept) == 204 and sum(kept) >= 100
     assert quality_model.keep_good(docs, both).count() == sum(kept)
     assert quality_model.keep_good(docs, both).columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def plain_text_view(text):
+    """The text view, character by character and word by word."""
+    data = text.encode()
+    kinds = [0.0] * quality_model.N_KINDS
+    marks = [c for c in range(33, 127) if not chr(c).isalnum()]
+    for c in data:
+        kinds[0 if c > 127 else 2 if 97 <= c <= 122 else 3 if 65 <= c <= 90 else 4 if 48 <= c <= 57 else 5 if c == 32 else 6 if c == 10 else 7 + marks.index(c) if c in marks else 1] += 1
+    words, lines = data.split(), data.split(b"\n")
+    hashes, size = [xxhash.xxh3_64_intdigest(w) for w in words], max(1, len(words))
+    buckets = [0.0] * quality_model.WORD_BUCKETS
+    for h in hashes:
+        buckets[h % len(buckets)] += 1
+    for a, b in zip(hashes, hashes[1:]):
+        pair = (a * 0x9E3779B97F4A7C15 + b) % 2**64
+        buckets[(pair ^ (pair >> 29)) % len(buckets)] += 1
+    extra = [
+        len(set(words)) / math.sqrt(size), sum(a == b for a, b in zip(words, words[1:])) / size, len(data) / size / 10, len(set(lines)) / len(lines),
+        math.log1p(len(data) / len(lines)) / 5, sum(b" | " in x for x in lines) / len(lines),
+    ]
+    return [math.sqrt(k / max(1, len(data))) for k in kinds] + [math.sqrt(b / (2 * size)) for b in buckets] + extra
+
+
+def plain_logit(model, row):
+    total = model.w[-1] + sum(w * (x - m) / s for w, x, m, s in zip(model.w, row, model.mean, model.spread))
+    return min(30.0, max(-30.0, total))
+
+
+def test_every_row_of_a_table_is_scored_as_by_hand(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_model.fit(docs, labels)
+    found = {r.doc_id: r for r in quality_model.classify(docs, labels).collect()}
+    rows = docs.collect()
+    assert len(found) == len(rows)
+    for r in rows:
+        views = plain_text_view(r.text or ""), quality_model.meta_view(r.lang, r.source, r.n_chars)
+        calibrated = [plain_logit(c, [plain_logit(m, v)]) for m, c, v in zip(model.models, model.calibrations, views)]
+        score = 1 / (1 + math.exp(-plain_logit(model.combination, calibrated)))
+        assert abs(found[r.doc_id].score - score) < 1e-9
+        assert found[r.doc_id].kept == (score >= model.cut) or abs(score - model.cut) < 1e-9
+
+
+def test_the_text_view_sees_words():
+    draw = random.Random(1)
+    text = "the cat sat on a mat near the door"
+    scrambled = list(text.replace(" ", ""))
+    draw.shuffle(scrambled)
+    letters, other = iter(scrambled), ""
+    for c in text:
+        other += " " if c == " " else next(letters)
+    assert np.abs(np.subtract(quality_model.text_view(text), quality_model.text_view(other))).max() > 0.1
+    swapped = "the mat sat on a cat near the door"  # the same words in another order
+    assert quality_model.text_view(text) != quality_model.text_view(swapped)
+
+
+def test_rows_that_share_an_id_are_fitted_once(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "LABELLED", 50)
+    monkeypatch.setattr(quality_model, "POOL", 10)
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(7, f"text {i}", "en", "s", 5) for i in range(3000)] + [(i, "plain" if i % 2 else "$$$ ###", "en", "s", 5) for i in range(100, 220)]
+    docs = spark.createDataFrame(rows, kind)
+    labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(100, 220)], "doc_id long, quality int")
+    seen = []
+    with monkeypatch.context() as patch:
+        patch.setattr(quality_model, "CoTrained", lambda views, quality, pool, held: seen.append(len(quality) + len(pool[0])))
+        quality_model.fit(docs, labels)
+    assert 20 < seen[0] <= 60
+    assert quality_model.classify(docs, labels).count() == len(rows)

@@ -1,15 +1,15 @@
 """Quality classifier by co-training: a text view and a metadata view label documents for each other.
 
-The text view sees shares of character kinds and how words and lines repeat; the metadata view sees language, source
-and length. Each view has a logistic regression (Newton steps, ridge penalty). From a bounded sample of labelled rows
+The text view sees the words and pairs of neighbouring words of the whole text, hashed into buckets, shares of character
+kinds, and how words and lines repeat; the metadata view sees language, source and length. Each view has a logistic regression (Newton steps, ridge penalty). From a bounded sample of labelled rows
 and a bounded pool of unlabelled ones, both are trained; in every round each view labels the pool documents that it is
 most sure of, and these join the training rows of the other view. A quarter of the labelled sample is held out: on it
 each view is calibrated (a logistic curve over its score), and the calibrated views are combined by a third
 regression. The cut is the one that costs least on the held-out rows, where a good document that goes costs as much
 as ``COST_OF_GOOD`` bad ones that stay.
 
-Fitting reads ``LABELLED`` labelled and ``POOL`` other documents at most (in hash order, so reruns agree); every
-document is scored.
+Fitting reads ``LABELLED`` labelled and ``POOL`` other documents at most (in hash order, so reruns agree; of rows that share
+a doc_id the smallest by text); every document is scored.
 
 Results for special rows: a null text is empty; unknown languages and sources share buckets by hash, null ones
 have one of their own; a null n_chars counts as 0. A document is good if all its labels say so; labels without
@@ -28,12 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import small_batches, text_or_empty
+from tillstar.llm.common import BoundedCache, small_batches, text_or_empty
 
 LABELLED, POOL = 12_000, 4_000
 ROUNDS, SURE, PER_ROUND = 4, 0.97, 400
 COST_OF_GOOD = 10
 BUCKETS = 32
+WORD_BUCKETS = 96  # of words and pairs of words
 
 SCORES = "doc_id bigint, text_score double, meta_score double, score double, kept boolean"
 
@@ -47,6 +48,18 @@ _KINDS[_marks] = np.arange(7, 7 + len(_marks))
 N_KINDS = 7 + len(_marks)
 
 
+#: Hashes of words, kept per process.
+_hashed = BoundedCache(xxhash.xxh3_64_intdigest, cacheable=lambda word: len(word) <= 64)
+
+
+def word_buckets(words: list[bytes]) -> np.ndarray:
+    """How often words and pairs of neighbouring words fall into each bucket."""
+    hashes = np.fromiter(map(_hashed.__getitem__, words), np.uint64, len(words))
+    pairs = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+    both = np.concatenate([hashes, pairs ^ (pairs >> np.uint64(29))]) % np.uint64(WORD_BUCKETS)
+    return np.bincount(both.astype(np.int64), minlength=WORD_BUCKETS)
+
+
 def text_view(text: str) -> list[float]:
     data = text.encode()
     counts = np.bincount(_KINDS[np.frombuffer(data, np.uint8)], minlength=N_KINDS)
@@ -57,7 +70,8 @@ def text_view(text: str) -> list[float]:
         len(set(words)) / math.sqrt(n), again / n, len(data) / n / 10, len(set(lines)) / m, math.log1p(len(data) / m) / 5,
         sum(b" | " in line for line in lines) / m,
     ]
-    return [*np.sqrt(counts / max(1, len(data))).tolist(), *extra]
+    shares = np.sqrt(word_buckets(words) / (2 * n))
+    return [*np.sqrt(counts / max(1, len(data))).tolist(), *shares.tolist(), *extra]
 
 
 def meta_view(lang: str | None, source: str | None, n_chars: int | None) -> list[float]:
@@ -166,7 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "quality", "x", "y"])
 
     small_batches(docs.sparkSession)
-    rows = _rows(docs).join(sample, "doc_id").select("doc_id", "quality", "text", "lang", "source", "n_chars")
+    columns = ("text", "lang", "source", "n_chars")
+    # one row for each id, however many rows share it: that bounds what comes to the driver
+    rows = _rows(docs).join(sample, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct(*columns)).alias("row")).select("doc_id", "quality", "row.*")
     found = rows.mapInArrow(work, "doc_id bigint, quality int, x array<double>, y array<double>").toArrow()
     if not len(found):
         return None
