@@ -197,6 +197,25 @@ def stream_fact_load(w: Workspace) -> DataFrame:
     return plain(_streamed(w).facts().drop(*_INTERNAL))
 
 
+def star_reloaded_counts(w: Workspace) -> DataFrame:
+    """Tables that hold rows are left as they are: loading masters and dimensions again, from fewer rows, changes nothing."""
+
+    def run() -> Warehouse:
+        warehouse = _appended(w)
+        warehouse.load_masters(w.customers.where("Customer_ID % 2 = 0"), w.products.where("Price > 1000"))
+        warehouse.load_dimensions(dims.years_between(w.spark, 2030, 2031))
+        return warehouse
+
+    warehouse = w.once("reloaded", run)
+    return quality.row_counts({t: warehouse.table(t) for t in (*schemas.STAR_TABLES, *schemas.MASTER_TABLES)})
+
+
+def eda_joined_head(w: Workspace) -> DataFrame:
+    joined = load.enriched_sales(w.transactions.select(*SALE), w.full.table("master_customer"), w.full.table("master_product"))
+    columns = [*SALE, "Gender", "Product_Category", "Total_Purchase"]
+    return plain(profile.head(joined.select(*columns), columns))
+
+
 # --- quality ------------------------------------------------------------------
 def dq_key_uniqueness(w: Workspace) -> DataFrame:
     star = w.star
@@ -302,6 +321,7 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
         {t: w.full.table(t) for t in (*schemas.STAR_TABLES, *schemas.MASTER_TABLES)}
     ),
     "star_recreated_counts": star_recreated_counts,
+    "star_reloaded_counts": star_reloaded_counts,
     # load
     "enrich_customer": enrich_customer,
     "enrich_product": enrich_product,
@@ -343,6 +363,7 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "eda_distinct_sketch": eda_distinct_sketch,
     "eda_price_summary": lambda w: profile.summary(w.products, "Price"),
     "eda_quantity_summary": lambda w: profile.summary(w.transactions, "Quantity"),
+    "eda_joined_head": eda_joined_head,
     "eda_quantity_counts": lambda w: profile.counts_by_value(w.transactions, "Quantity"),
     "eda_date_range": lambda w: profile.date_range(w.transactions, "Sale_Date"),
     "eda_tx_by_year": lambda w: profile.rows_per_year(w.transactions, "Sale_Date"),

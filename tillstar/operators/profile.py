@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import numeric
@@ -15,6 +13,7 @@ from tillstar.session import stored
 QUARTILES = (0.25, 0.5, 0.75)
 SKETCH_BITS = 14  # 2^14 registers: a standard error of about 0.8 %
 RANGES = 1024  # in which values are counted to find a quantile
+FEW = 4096  # distinct values that are looked at one by one
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,28 +76,44 @@ def sketch_check(df: DataFrame, daily: DataFrame, columns: list[str], percent: i
 def _quantiles(per_value: DataFrame, shares: tuple[float, ...]) -> list[float | None]:
     """Exact, interpolated quantiles of values ``v`` that occur ``n`` times, without bringing all values together.
 
-    Values are counted in equal ranges; only the ranges in which a wanted rank lies are then looked at value by value.
+    A wanted rank is looked for in an interval of values: they are counted in equal ranges, and the range that holds the rank
+    becomes the next interval, from its smallest to its largest value, until at most ``FEW`` distinct values are
+    left. So outliers cost a round of counting (a range is a thousandth of the interval), never a large task.
     """
     counted = stored(per_value, "value_counts")
-    low, high, total = counted.agg(F.min("v").cast("double"), F.max("v").cast("double"), F.sum("n")).first()
+    low, high, total, distinct = counted.agg(F.min("v"), F.max("v"), F.sum("n"), F.count(F.lit(1))).first()
     if not total:
         return [None] * len(shares)
-    place = F.floor((F.col("v").cast("double") - low) * (RANGES / (high - low or 1.0))).alias("place")
-    ranges = counted.groupBy(place).agg(F.sum("n").alias("n")).orderBy("place").collect()  # at most RANGES + 1 rows
     spots = [q * (total - 1) for q in shares]
-    starts, before = {}, 0
-    for r in ranges:
-        if any(before <= rank < before + r.n for s in spots for rank in (math.floor(s), math.ceil(s))):
-            starts[r.place] = before
-        before += r.n
-    order = Window.partitionBy("place").orderBy("v")
-    reached = counted.select("v", "n", place).where(F.col("place").isin(list(starts))).withColumn("upto", F.sum("n").over(order))
-    start = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for pair in starts.items() for x in pair]), F.col("place"))
-    ends = reached.select(F.col("v").cast("double").alias("v"), (start + F.col("upto") - F.col("n")).alias("first"), (start + F.col("upto")).alias("end"))
-    wanted = [F.col("first").__le__(rank) & (F.col("end") > rank) for s in spots for rank in (math.floor(s), math.ceil(s))]
-    rows = ends.where(functools.reduce(operator.or_, wanted)).collect()  # two values per share at most
-    at = lambda rank: next(r.v for r in rows if r.first <= rank < r.end)
-    return [at(math.floor(s)) + (at(math.ceil(s)) - at(math.floor(s))) * (s - math.floor(s)) for s in spots]
+    whole = (low, high, 0, distinct)
+    found = {rank: whole for s in spots for rank in (math.floor(s), math.ceil(s))}
+    while wide := {interval for interval in found.values() if interval[3] > FEW}:
+        for interval in wide:
+            ranges = _counted_ranges(counted, *interval[:2])
+            for rank in [r for r, held in found.items() if held == interval]:
+                before = interval[2]
+                for part in ranges:
+                    if before <= rank < before + part.n:
+                        found[rank] = (part.low, part.high, before, part.distinct)
+                        break
+                    before += part.n
+    value = {}
+    for low, high, before, _ in set(found.values()):
+        reached = before
+        for v, n in counted.where(F.col("v").between(low, high)).select("v", "n").orderBy("v").collect():  # at most FEW rows
+            value |= {rank: float(v) for rank, held in found.items() if held[:3] == (low, high, before) and reached <= rank < reached + n}
+            reached += n
+    return [value[math.floor(s)] + (value[math.ceil(s)] - value[math.floor(s)]) * (s - math.floor(s)) for s in spots]
+
+
+def _counted_ranges(counted: DataFrame, low, high) -> list:
+    """Rows, distinct values, smallest and largest value of equal ranges between ``low`` and ``high``: ``RANGES`` + 1 at most."""
+    width = float(high) - float(low) or 1.0
+    place = F.floor((F.col("v").cast("double") - float(low)) * (RANGES / width))
+    parts = counted.where(F.col("v").between(low, high)).groupBy(place.alias("place")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    return parts.orderBy("place").collect()
 
 
 def summary(df: DataFrame, column: str) -> DataFrame:

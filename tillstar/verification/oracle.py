@@ -558,6 +558,11 @@ def _reports() -> dict[str, str]:
         "eda_distinct_entities": """
             select 'StoreName' as Column_Name, count(distinct StoreName) as Distinct_Values from raw_product
             union all select 'SupplierName', count(distinct SupplierName) from raw_product""",
+        "eda_joined_head": f"""
+            select t.Order_ID, t.Customer_ID, t.Product_ID, t.Quantity, t.Sale_Date, c.Gender, p.Product_Category,
+                   t.Quantity * p.price_cents / 100.0 as Total_Purchase
+            from tx t join raw_customer c on c.Customer_ID = t.Customer_ID join raw_product p on p.Product_ID = t.Product_ID
+            order by 1, 2, 3, 4, 5 limit 5""",
         "eda_distinct_sketch": " union all ".join(
             f"select '{c}' as Column_Name, count(distinct {c}) as Distinct_Values, 1 as Sketch_Is_Near from tx"
             for c in ("Customer_ID", "Product_ID", "Order_ID")
@@ -582,6 +587,7 @@ def _alike(selects: dict[str, str]) -> dict[str, str]:
         "q20_saved_quarters": selects["q20_store_quarterly_sales"],
         "fact_compacted": selects["fact_sales"],
         "star_recreated_counts": selects["star_row_counts"],
+        "star_reloaded_counts": selects["star_row_counts"],
     }
 
 
