@@ -1,7 +1,13 @@
+import base64
 import re
 from collections import Counter
+from hashlib import sha256
+
+import public_tokenizers
+import tiktoken
 
 import corpus_pipeline
+from tests.llm.test_near_dedup import brute_force
 from tillstar.llm import bpe, mixing, near_dedup, pii, quality_model, stages
 
 SMALL = "/root/testdata/sf0.001"
@@ -60,3 +66,29 @@ def test_special_rows(spark):
     assert stages.mix_sources(spark, docs, SMALL).count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SMALL).count() == 0
+
+
+def test_stages_equal_plain_versions(spark):
+    """Near duplicates by comparing all pairs, encodings by the tokenizer library."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = docs.collect()
+    kept = {key for key, _, _, stays in brute_force([(r.doc_id, r.text) for r in rows], 5, 80) if stays}
+    assert {r.doc_id for r in stages.deduplicate(spark, docs, SMALL).collect()} == kept and len(kept) < len(rows)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in stages.encode(spark, docs, SMALL).collect()}
+    for r in rows:
+        ids = library.encode_ordinary(r.text or "")
+        want = len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest(), sha256((r.text or "").encode()).hexdigest()
+        assert found[r.doc_id] == want
+
+
+def test_a_very_long_text_passes_every_stage(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    long = " ".join(f"word{i}" for i in range(60_000)) + " mail me@example.org"
+    docs = spark.createDataFrame([(1, long, "en", "a", len(long)), (2, "short text", "en", "a", 10)], kind)
+    assert {r.doc_id for r in stages.deduplicate(spark, docs, SMALL).collect()} == {1, 2}
+    masked = {r.doc_id: r.text for r in stages.mask_personal_data(spark, docs, SMALL).collect()}
+    assert masked[1].endswith("<EMAIL>") and masked[1].startswith("word0 word1 ")
+    assert {r.doc_id for r in stages.encode(spark, docs, SMALL).collect()} == {1, 2}
