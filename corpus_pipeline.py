@@ -19,7 +19,7 @@ STAGES = [
     ("encode", stages.encode),
 ]
 
-#: Models and encodings cannot be written in SQL; tests compare the stages with brute force.
+#: Models and encodings cannot be written in SQL; tests compare stages with plain versions or with their operators.
 ORACLE_SQL = None
 
 
