@@ -134,27 +134,39 @@ from figures
 def _licenses() -> str:
     listed = ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(licenses.NOTICES))
     words = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
-    pairs = "list_distinct(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end)"
+    pairs = "case when len(w) < 2 then [] else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end"
+    percent = licenses.PERCENT
     return rf"""
 with notices(notice, license, text) as (values {listed}), known as (
-  select notice, license, {pairs} as p from (select *, {words.format("text")} as w from notices)
-), units as (
-  select doc_id, unnest(list_distinct(list_concat(string_split(coalesce(text, ''), chr(10)), regexp_split_to_array(coalesce(text, ''), '\n[\x20\x09-\x0D]*\n')))) as unit
-  from documents
-), paired as (
-  select distinct doc_id, {pairs} as p from (select doc_id, {words.format("unit")} as w from units) where len(w) > 0
-), compared as (
-  select doc_id, u.p, notice, license, len(list_intersect(u.p, k.p)) as c, len(u.p) + len(k.p) as total
-  from paired u join known k on {licenses.PERCENT} * len(u.p) <= (200 - {licenses.PERCENT}) * len(k.p)
+  select notice, license, {pairs} as p, len(w) - 1 as m from (select *, {words.format("text")} as w from notices)
+), listed as (
+  select notice, m, len(list_distinct(p)) as b, unnest(list_distinct(p)) as pair from known
+), docs as (
+  select row_number() over () as row, doc_id, {words.format("coalesce(text, '')")} as w from documents
+), placed as (
+  select row, generate_subscripts(p, 1) - 1 as position, unnest(p) as pair from (select row, {pairs} as p from docs)
+), near as (
+  select row, notice from placed join listed using (pair) group by row, notice, b having count(distinct pair) * (200 - {percent}) >= {percent} * b
+), hits as (
+  select row, notice, m, b, position, pair from placed join listed using (pair) join near using (row, notice)
+), windows as (
+  select row, notice, m, b, s.position as start, count(distinct h.pair) as c, count(*) as n
+  from hits s join hits h using (row, notice, m, b) where h.position >= s.position and h.position < s.position + m group by all
 ), matches as (
-  select *, 2.0::double * c / total as dice from compared where 200 * c >= {licenses.PERCENT} * total
-), best as (
-  select doc_id, arg_max(license, struct_pack(a := dice, b := -notice)) as license, max(dice) as dice, count(distinct p) as n_notices,
-    string_agg(distinct license, ',' order by license) as licenses
-  from matches group by doc_id
+  select *, 2.0::double * c / (c + m - n + b) as dice from windows where 200 * c >= {percent} * (c + m - n + b)
+), ranked as (
+  select row_number() over (partition by row order by c desc, dice desc, notice) as place, * from (
+    select * from matches qualify row_number() over (partition by row, notice order by dice desc, c desc, start) = 1
+  ) join (select notice, license from known) using (notice)
+), kept as (
+  select * from ranked r where not exists (
+    select 1 from ranked o where o.row = r.row and o.place < r.place and o.start < r.start + r.m and r.start < o.start + o.m
+  )
+), told as (
+  select row, count(*) as n_notices, string_agg(distinct license, ',' order by license) as licenses from kept group by row
 )
-select d.doc_id, b.license, b.dice, coalesce(b.n_notices, 0)::bigint as n_notices, coalesce(b.licenses, '') as licenses
-from documents d left join best b on b.doc_id is not distinct from d.doc_id
+select d.doc_id, f.license, f.dice, f.start::bigint as first_word, coalesce(t.n_notices, 0)::bigint as n_notices, coalesce(t.licenses, '') as licenses
+from docs d left join ranked f on f.row = d.row and f.place = 1 left join told t on t.row = d.row
 """
 
 _SAID = r"\### Assistant: </turn> ok"
