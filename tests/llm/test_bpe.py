@@ -43,6 +43,20 @@ def test_equals_the_library_on_random_texts(coder, reference):
     assert coder.encode_many(texts) == [reference.encode_ordinary(t) for t in texts]
 
 
+def test_every_code_point_has_the_class_that_the_library_gives_it():
+    """A pattern of one class encodes a character or nothing."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for kind, pattern in ((bpe.LETTER, r"\p{L}"), (bpe.NUMBER, r"\p{N}"), (bpe.SPACES, r"\s")):
+        only = tiktoken.Encoding("one", pat_str=pattern, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        assert [c for c in points if only.encode_ordinary(chr(c))] == [c for c in points if bpe.classes()[c] == kind]
+
+
+def test_letters_and_numbers_of_the_newest_version(coder, reference):
+    added = [chr(c) for first, last in bpe.NEW_LETTERS + bpe.NEW_NUMBERS for c in (first, last)]
+    texts = [f"a{c}b 1{c}2 {c}{c}!{c} 's{c}" for c in added]
+    assert coder.encode_many(texts) == [reference.encode_ordinary(t) for t in texts]
+
+
 def test_query_rows(spark, coder, reference):
     rows = [(1, "It's 12 o'clock.\n", "x"), (2, None, "y"), (3, "", "z"), (1, "It's 12 o'clock.\n", "x"), (None, "a b", None), (4, "w " * 40000, "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
