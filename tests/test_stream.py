@@ -1,10 +1,13 @@
+import os
+
 import pytest
 from conftest import rows
 from fixtures import empty_warehouse, reasons, transactions
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar import schemas
-from tillstar.streaming.fact_stream import FactStream, transaction_stream
+from tillstar.streaming.fact_stream import FactStream, batch_rates, transaction_stream
 
 FIRST = [(1, 1, "A", 2, "2017-01-07"), (1, 1, "A", 2, "2017-01-07"), (2, 2, "B", 1, "2017-05-01"), (3, 77, "B", 1, "2017-05-01")]
 SECOND = [(2, 2, "B", 1, "2017-05-01"), (4, 3, "C", 1, "2018-02-01"), (5, 1, "A", 0, "2018-02-01")]
@@ -114,3 +117,32 @@ def test_a_checkpoint_of_other_facts_is_refused(spark, tmp_path):
     schemas.recreate_tables(spark, root)
     with pytest.raises(ValueError, match="belongs to other facts"):
         run(FactStream(empty_warehouse(spark, root), root), spark, folder, checkpoint)
+
+
+def test_batches_are_bounded_by_bytes_and_files_are_archived(spark, tmp_path):
+    folder, archive, sizes = tmp_path / "in", tmp_path / "done", [1, 2, 400, 3, 1000, 5, 700, 2, 300, 2000, 1, 600]
+    folder.mkdir()
+    order = 0
+    for k, size in enumerate(sizes):
+        lines = [f"{i},{order + i},{i % 3},{'ABC'[i % 3]},1,2017-01-07" for i in range(size)]
+        order += size
+        (folder / f"{k:02d}.csv").write_text("\n".join([",orderID,Customer_ID,Product_ID,quantity,date", *lines, ""]))
+        time = 1_500_000_000 + k
+        os.utime(folder / f"{k:02d}.csv", (time, time))
+    names = {f.name: f.stat().st_size for f in folder.glob("*.csv")}
+    bound = max(names.values())
+    root = str(tmp_path / "w")
+    kinds = StructType([StructField(c, StringType()) for c in ("_c0", "orderID", "Customer_ID", "Product_ID", "quantity", "date")])
+    loader = FactStream(empty_warehouse(spark, root), root)
+
+    def load():
+        query = loader.start(transaction_stream(spark, str(folder), kinds, "csv", bytes_per_batch=bound, archive=str(archive)))
+        query.awaitTermination()
+        return [r.Rows_In for r in batch_rates(spark, query).orderBy("Batch").collect()]
+
+    read = load()
+    assert sum(read) == sum(sizes) and max(read) <= 2 * max(sizes)
+    assert 1 < len(read) < len(sizes)  # large files apart, small ones together
+    assert loader.facts().count() + sum(reasons(loader.rejects()).values()) == sum(sizes)
+    assert load() == [] and list(archive.rglob("*.csv"))  # a restart reads nothing again
+    assert {f.name for f in [*archive.rglob("*.csv"), *folder.glob("*.csv")]} == set(names)

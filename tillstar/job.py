@@ -27,7 +27,7 @@ from tillstar.plans import dims, load, olap, quarters
 from tillstar.plans.star import Star, Warehouse
 from tillstar.session import cluster_settings
 from tillstar.sources import readers
-from tillstar.streaming.fact_stream import FactStream, transaction_stream
+from tillstar.streaming.fact_stream import FactStream, batch_rates, transaction_stream
 
 REPORTS: dict[str, Callable[[Star, int, tuple[int, ...]], DataFrame]] = {
     "q01": lambda s, year, years: olap.top_products_by_day_type_monthly(s, year),
@@ -56,10 +56,12 @@ REPORTS: dict[str, Callable[[Star, int, tuple[int, ...]], DataFrame]] = {
 def etl(
     spark: SparkSession, customers: str, products: str, transactions: str, root: str,
     years: tuple[int, int] = (2015, 2020), stream: bool = False, rebuild: bool = False,
+    bytes_per_batch: int | None = None, archive: str | None = None,
 ) -> Warehouse:
     """Masters, dimensions, then facts and rejects; dimensions that hold rows are left as they are.
 
-    Facts are added to those that exist; ``rebuild`` replaces all facts and rejects by this input.
+    Facts are added to those that exist; ``rebuild`` replaces all facts and rejects by this input. A stream takes 64 files
+    a batch, or ``bytes_per_batch``, and moves loaded files to ``archive``, if there is one.
     """
     warehouse = Warehouse(spark, root)
     warehouse.load_masters(
@@ -72,8 +74,10 @@ def etl(
     if stream:
         names = readers.read_csv(spark, transactions).columns
         layout = StructType([StructField(n, StringType()) for n in names])
-        rows = transaction_stream(spark, transactions, layout, "csv", files_per_batch=64)
-        FactStream(warehouse, root).start(rows).awaitTermination()
+        rows = transaction_stream(spark, transactions, layout, "csv", 64, bytes_per_batch, archive)
+        query = FactStream(warehouse, root).start(rows)
+        query.awaitTermination()
+        batch_rates(spark, query).show(truncate=False)
     else:
         warehouse.append_sales(readers.clean_transactions(readers.read_csv(spark, transactions)))
     return warehouse
@@ -149,6 +153,8 @@ def main(arguments: list[str] | None = None) -> None:
             sub.add_argument("--first-year", type=int, default=2015)
             sub.add_argument("--last-year", type=int, default=2020)
             sub.add_argument("--stream", action="store_true", help="read the transactions folder as a stream")
+            sub.add_argument("--bytes-per-batch", type=int, help="bytes of a stream's batch, instead of 64 files")
+            sub.add_argument("--archive", help="folder to which a stream moves files that it has loaded")
             sub.add_argument("--rebuild", action="store_true", help="replace all facts and rejects by this input")
         else:
             sub.add_argument("--output")
@@ -170,6 +176,7 @@ def main(arguments: list[str] | None = None) -> None:
         warehouse = etl(
             spark, given.customers, given.products, given.transactions, given.warehouse,
             (given.first_year, given.last_year), given.stream, given.rebuild,
+            given.bytes_per_batch, given.archive,
         )
         rejects = warehouse.all_rejects()
         quality.row_counts({t: warehouse.table(t) for t in schemas.STAR_TABLES}).show()

@@ -23,15 +23,36 @@ _QUERY_ID = "sql.streaming.queryId"
 
 
 def transaction_stream(
-    spark: SparkSession, path: str, layout: StructType, file_format: str = "parquet", files_per_batch: int = 4
+    spark: SparkSession, path: str, layout: StructType, file_format: str = "parquet", files_per_batch: int = 4,
+    bytes_per_batch: int | None = None, archive: str | None = None,
 ) -> DataFrame:
-    """Cleaned transactions from new files; ``layout`` names every column of the files in order."""
-    reader = spark.readStream.schema(layout).option("maxFilesPerTrigger", files_per_batch)
+    """Cleaned transactions from new files; ``layout`` names every column of the files in order.
+
+    With ``bytes_per_batch`` a batch holds files of about so many bytes, whatever their number, instead of
+    ``files_per_batch``; a larger file is a batch of its own. With ``archive``, a folder outside ``path``, files that a batch
+    has loaded are moved there when a later batch is done, so that the folder which is listed stays small.
+    """
+    reader = spark.readStream.schema(layout)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    else:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if file_format == "csv":
         reader = reader.option("header", True)
     return readers.clean_transactions(reader.format(file_format).load(path))
 
 
+def batch_rates(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Batch, rows read, seconds and rows a second of the batches that Spark keeps the progress of (100 if not set otherwise)."""
+    rates = [
+        (p.batchId, p.numInputRows, p.batchDuration / 1000, p.numInputRows * 1000 / max(p.batchDuration, 1))
+        for p in query.recentProgress if p.numInputRows
+    ]
+    return spark.createDataFrame(rates, "Batch long, Rows_In long, Seconds double, Rows_Per_Second double")
+
+
 class FactStream:
     """Loads a transaction stream into ``<root>/fact_sales`` and ``<root>/fact_rejects``.
 
