@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions import numeric
+from tillstar.operators.frequent import top_keys
 from tillstar.session import stored
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -157,7 +158,7 @@ def rows_per_year(df: DataFrame, column: str) -> DataFrame:
 
 def hot_keys(df: DataFrame, key: str, top: int = 10) -> DataFrame:
     """The most frequent keys; ties go to the smaller key."""
-    return counts_by_frequency(df, key).limit(top)
+    return top_keys(df, key, top)
 
 
 def head(df: DataFrame, keys: list[str], rows: int = 5) -> DataFrame:
