@@ -20,7 +20,7 @@ def connection():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 69
+    assert len(QUERIES) == 73
 
 
 @pytest.mark.parametrize("name", QUERIES)

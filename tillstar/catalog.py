@@ -13,7 +13,7 @@ from tillstar import schemas
 from tillstar.operators import profile, quality
 from tillstar.operators.dedupe import keep_first, repeated_keys, surplus_rows
 from tillstar.operators.keys import key_page
-from tillstar.plans import dims, load, olap, quarters
+from tillstar.plans import bucketed, dims, load, olap, quarters
 from tillstar.plans.star import FILES_PER_BATCH, Star, Warehouse, Workspace, workspace
 from tillstar.session import stored
 from tillstar.sources import binding, readers
@@ -161,6 +161,10 @@ def q20_saved_quarters(w: Workspace) -> DataFrame:
     return quarters.report(w.spark, warehouse.root, warehouse.table("dim_store"))
 
 
+def _by_customer(w: Workspace) -> Star:
+    return w.once("bucketed", lambda: bucketed.star(w.full))
+
+
 def star_recreated_counts(w: Workspace) -> DataFrame:
     """Created, loaded as a stream, created anew and loaded as a stream again: everything is there once."""
 
@@ -305,6 +309,10 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "q19_daily_spikes": lambda w: olap.daily_spikes(w.star),
     "q20_store_quarterly_sales": lambda w: olap.store_quarterly_sales(w.star),
     "q20_saved_quarters": q20_saved_quarters,
+    "bucketed_q02": lambda w: olap.demographics_share(_by_customer(w)),
+    "bucketed_q03": lambda w: olap.category_by_occupation(_by_customer(w)),
+    "bucketed_q05": lambda w: olap.top_occupations_per_category(_by_customer(w)),
+    "bucketed_q08": lambda w: olap.top_cities_per_category(_by_customer(w)),
     # cleaning and masters
     "clean_transactions": clean_transactions,
     "clean_products": lambda w: plain(w.products),

@@ -23,7 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar import schemas
 from tillstar.operators import profile, quality
-from tillstar.plans import dims, load, olap, quarters
+from tillstar.plans import bucketed, dims, load, olap, quarters
 from tillstar.plans.star import Star, Warehouse
 from tillstar.session import cluster_settings
 from tillstar.sources import readers
@@ -88,11 +88,20 @@ def create(spark: SparkSession, root: str) -> None:
     schemas.recreate_tables(spark, root)
 
 
-def maintain(spark: SparkSession, root: str) -> None:
-    """Compact the folders of many loads and bring the saved quarters up to date."""
-    Warehouse(spark, root).compact()
+def maintain(spark: SparkSession, root: str, by_customer: bool = False) -> None:
+    """Compact the folders of many loads and bring the saved quarters and, if asked for, the facts by customer up to date."""
+    warehouse = Warehouse(spark, root)
+    warehouse.compact()
     quarters.refresh(spark, root)
     quarters.clean(spark, root)
+    if by_customer:
+        bucketed.build(warehouse)
+    bucketed.clean(warehouse)
+
+
+def star_for_reports(warehouse: Warehouse) -> Star:
+    """With facts by customer, if there is a copy that is up to date."""
+    return bucketed.star(warehouse) if bucketed.current(warehouse) else warehouse.star
 
 
 def analysis(spark: SparkSession, customers: str, products: str, transactions: str) -> dict[str, DataFrame]:
@@ -144,6 +153,7 @@ def main(arguments: list[str] | None = None) -> None:
     commands = parser.add_subparsers(dest="command", required=True)
     sub = commands.add_parser("maintain", help="compact the folders of many loads, refresh the saved quarters")
     sub.add_argument("--warehouse", required=True)
+    sub.add_argument("--by-customer", action="store_true", help="store the facts once more, bucketed by customer, for reports")
     for command in ("etl", "analyse"):
         sub = commands.add_parser(command)
         for name in ("customers", "products", "transactions"):
@@ -183,11 +193,11 @@ def main(arguments: list[str] | None = None) -> None:
         rejects.groupBy("Reason").agg(F.sum("Copies").alias("Rows")).show()
         warehouse.audit().show(truncate=False)
     elif given.command == "maintain":
-        maintain(spark, given.warehouse)
+        maintain(spark, given.warehouse, given.by_customer)
     elif given.command == "create":
         create(spark, given.warehouse)
     elif given.command == "report":
-        star = Warehouse(spark, given.warehouse).star
+        star = star_for_reports(Warehouse(spark, given.warehouse))
         for name in given.names or REPORTS:
             _deliver(name, REPORTS[name](star, given.year, tuple(given.years)), given.output)
     else:

@@ -27,6 +27,8 @@ class Star:
     dim_product: DataFrame
     dim_store: DataFrame
     dim_supplier: DataFrame
+    #: Parts of all facts that hold different customers, the first one bucketed as dim_customer is (``plans.bucketed``).
+    fact_parts: tuple[DataFrame, ...] = ()
 
 
 class Warehouse:

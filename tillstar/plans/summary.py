@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,7 @@ def roll_up(
     by: list[str],
     measures: dict[str, Column],
     count_customers: bool = False,
+    customers_first: bool = False,
 ) -> DataFrame:
     """Sum ``measures`` per calendar columns ``by`` and dimension ``attributes``.
 
@@ -45,12 +49,25 @@ def roll_up(
     many rows costs one row per task, and raw facts never meet a large dimension.
     With ``count_customers`` the result has ``Unique_Customers``: sums per customer come first and
     the customers are then counted as rows.
+
+    Parts of the facts with customers of their own (``plans.bucketed``) are summed one by one, each with ``customers_first``: the
+    first sums and the join with the customers then stay where the facts lie. Sums and customers of the parts add up.
     """
+    final = [*by, *[c for columns in attributes.values() for c in columns]]
+    if star.fact_parts and sales is star.fact_sales and "dim_customer" in attributes:
+        each = [
+            roll_up(replace(star, fact_sales=p, fact_parts=()), p, attributes, by, measures, count_customers, customers_first=True)
+            for p in star.fact_parts
+        ]
+        counts = [F.sum("Unique_Customers").alias("Unique_Customers")] if count_customers else []
+        return reduce(DataFrame.unionByName, each).groupBy(*final).agg(*_sums(measures), *counts)
     lookups = {t: getattr(star, t).select(SURROGATE[t], *columns) for t, columns in attributes.items()}
     late = [t for t, lookup in lookups.items() if not fits_broadcast(lookup)]
-    if count_customers and "dim_customer" in lookups and "dim_customer" not in late:
+    if (count_customers or customers_first) and "dim_customer" in lookups and "dim_customer" not in late:
         late.append("dim_customer")
-    if "dim_customer" in late:
+    if customers_first and not count_customers:
+        late.sort(key="dim_customer".__ne__)
+    elif "dim_customer" in late:
         late.sort(key="dim_customer".__eq__)  # customers last: by then the sales are summed by the rest
     base = sales.select(
         *by, *[SURROGATE[t] for t in lookups], *(["Customer_Key"] if count_customers and "dim_customer" not in lookups else []),
@@ -58,7 +75,6 @@ def roll_up(
     )
     for table in [t for t in lookups if t not in late]:
         base = base.join(lookups[table], SURROGATE[table]).drop(SURROGATE[table])
-    final = [*by, *[c for columns in attributes.values() for c in columns]]
     for place in range(len(late)) if late else [0] * count_customers:
         held = [SURROGATE[t] for t in late[place:]]
         if count_customers and "Customer_Key" not in held:

@@ -115,7 +115,7 @@ MASTER_TABLES = {"master_customer": MASTER_CUSTOMER, "master_product": MASTER_PR
 
 
 #: What is kept beside the facts of a warehouse and made from them; ``recreate_tables`` and a rebuild drop it.
-DERIVED = ("load_audit", "quarter_parts", "saved_quarters")
+DERIVED = ("load_audit", "quarter_parts", "saved_quarters", "bucketed")
 IDENTITY = "warehouse_id"
 
 

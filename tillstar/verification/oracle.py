@@ -585,6 +585,10 @@ def _alike(selects: dict[str, str]) -> dict[str, str]:
     """Queries that have to give what another one gives, by other means."""
     return {
         "q20_saved_quarters": selects["q20_store_quarterly_sales"],
+        "bucketed_q02": selects["q02_demographics_share"],
+        "bucketed_q03": selects["q03_category_by_occupation"],
+        "bucketed_q05": selects["q05_top_occupations_per_category"],
+        "bucketed_q08": selects["q08_top_cities_per_category"],
         "fact_compacted": selects["fact_sales"],
         "star_recreated_counts": selects["star_row_counts"],
         "star_reloaded_counts": selects["star_row_counts"],
