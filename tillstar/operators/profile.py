@@ -12,7 +12,7 @@ from tillstar.operators.frequent import top_keys
 from tillstar.session import stored
 
 QUARTILES = (0.25, 0.5, 0.75)
-SKETCH_BITS = 14  # 2^14 registers: a standard error of about 0.8 %
+SKETCH_BITS = 16  # 2^16 registers: a standard error of about 0.4 %, a fifth of what sketch_check allows
 RANGES = 1024  # in which values are counted to find a quantile
 FEW = 4096  # distinct values that are looked at one by one
 
