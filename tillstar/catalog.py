@@ -55,21 +55,23 @@ def _sales(w: Workspace) -> DataFrame:
 
 
 def enrich_customer(w: Workspace) -> DataFrame:
-    return load.enrich_customer(w.transactions.select(*SALE), w.full.table("master_customer"))
+    return load.enrich_customer(w.transactions.select(*SALE), w.full_dimensions.table("master_customer"))
 
 
 def enrich_product(w: Workspace) -> DataFrame:
-    return plain(load.enrich_product(enrich_customer(w), w.full.table("master_product")))
+    return plain(load.enrich_product(enrich_customer(w), w.full_dimensions.table("master_product")))
 
 
-def etl_batch_join(w: Workspace) -> DataFrame:
-    return plain(
-        load.enriched_sales(
-            w.transactions.select(*SALE), w.full.table("master_customer"), w.full.table("master_product")
-        )
+def _enriched(transactions: DataFrame, masters: Warehouse) -> DataFrame:
+    return load.enriched_sales(
+        transactions.select(*SALE), masters.table("master_customer"), masters.table("master_product")
     )
 
 
+def etl_batch_join(w: Workspace) -> DataFrame:
+    return plain(_enriched(w.transactions, w.full_dimensions))
+
+
 def fact_sales(w: Workspace) -> DataFrame:
     return plain(w.star.fact_sales.drop(*_INTERNAL))
 
@@ -100,7 +102,7 @@ def csv_fact_load(w: Workspace) -> DataFrame:
 
 
 def fact_rejects(w: Workspace) -> DataFrame:
-    return w.faulty.rejects()
+    return w.faulty_staged.rejects()
 
 
 def _appended(w: Workspace) -> Warehouse:
@@ -187,7 +189,7 @@ def _streamed(w: Workspace) -> FactStream:
     """The fact load as a stream over the landing folder, then, as a second query, over repeated lines."""
 
     def run() -> FactStream:
-        loader = FactStream(w.full, f"{w.root}/stream")
+        loader = FactStream(w.full_dimensions, f"{w.root}/stream")
         layout = w.spark.read.parquet(w.landing).schema
         for folder in (w.landing, w.late):
             rows = transaction_stream(w.spark, folder, layout, files_per_batch=FILES_PER_BATCH)
@@ -215,7 +217,7 @@ def star_reloaded_counts(w: Workspace) -> DataFrame:
 
 
 def eda_joined_head(w: Workspace) -> DataFrame:
-    joined = load.enriched_sales(w.transactions.select(*SALE), w.full.table("master_customer"), w.full.table("master_product"))
+    joined = _enriched(w.transactions, w.full_dimensions)
     columns = [*SALE, "Gender", "Product_Category", "Total_Purchase"]
     return plain(profile.head(joined.select(*columns), columns))
 
@@ -236,11 +238,8 @@ def dq_key_uniqueness(w: Workspace) -> DataFrame:
 
 
 def dq_reconciliation(w: Workspace) -> DataFrame:
-    h = w.faulty
     rows = w.all_transactions.select(*SALE)
-    return quality.reconciliation(
-        rows, load.enriched_sales(rows, h.table("master_customer"), h.table("master_product"))
-    )
+    return quality.reconciliation(rows, _enriched(rows, w.faulty_dimensions))
 
 
 def dq_non_null_counts(w: Workspace) -> DataFrame:
@@ -261,7 +260,7 @@ def dq_fk_violations(w: Workspace) -> DataFrame:
 def dq_constraint_violations(w: Workspace) -> DataFrame:
     """The rules of the fact table on all rows before rejection, and of every stored table after it."""
     keys = ("Order_ID", "Customer_Key", "Product_Key", "Store_Key", "Supplier_Key", "Date_Key", "Quantity")
-    h, star = w.faulty, w.star
+    h, star = w.faulty_staged, w.star
     fact_rules = {**quality.positive_rule("Quantity"), **quality.not_null_rules(*keys)}
     return quality.constraint_violations({
         "staged_sales": (h.table("stage_sales"), {**fact_rules, **quality.not_null_rules("Price")}),
@@ -282,8 +281,8 @@ def eda_distinct_sketch(w: Workspace) -> DataFrame:
     return profile.sketch_check(w.transactions, daily, keys)
 
 
-def _lookups(star: Star) -> dict[str, DataFrame]:
-    return {t: dims.key_lookup(getattr(star, t), t) for t in schemas.STAR_TABLES if t != "fact_sales"}
+def _lookups(warehouse: Warehouse) -> dict[str, DataFrame]:
+    return {t: dims.key_lookup(warehouse.table(t), t) for t in schemas.STAR_TABLES if t != "fact_sales"}
 
 
 _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
@@ -316,15 +315,15 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     # cleaning and masters
     "clean_transactions": clean_transactions,
     "clean_products": lambda w: plain(w.products),
-    "master_customer": lambda w: w.full.table("master_customer"),
-    "master_product": lambda w: plain(w.full.table("master_product")),
+    "master_customer": lambda w: w.full_dimensions.table("master_customer"),
+    "master_product": lambda w: plain(w.full_dimensions.table("master_product")),
     # dimensions
     "dim_date": lambda w: dims.dim_date(dims.years_of(w.transactions, "Sale_Date")),
-    "dim_customer": lambda w: w.star.dim_customer,
-    "dim_product": lambda w: plain(w.star.dim_product),
-    "dim_store": lambda w: plain(w.star.dim_store),
-    "dim_supplier": lambda w: plain(w.star.dim_supplier),
-    "dim_lookup_counts": lambda w: quality.row_counts(_lookups(w.star)),
+    "dim_customer": lambda w: w.full_dimensions.table("dim_customer"),
+    "dim_product": lambda w: plain(w.full_dimensions.table("dim_product")),
+    "dim_store": lambda w: plain(w.full_dimensions.table("dim_store")),
+    "dim_supplier": lambda w: plain(w.full_dimensions.table("dim_supplier")),
+    "dim_lookup_counts": lambda w: quality.row_counts(_lookups(w.full_dimensions)),
     "star_row_counts": lambda w: quality.row_counts(
         {t: w.full.table(t) for t in (*schemas.STAR_TABLES, *schemas.MASTER_TABLES)}
     ),
@@ -342,10 +341,10 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     "fact_duplicates": fact_duplicates,
     "etl_batch_join": etl_batch_join,
     "master_customer_page": lambda w: key_page(
-        w.full.table("master_customer"), "Customer_ID", CUSTOMER_PAGE_START, PAGE_SIZE
+        w.full_dimensions.table("master_customer"), "Customer_ID", CUSTOMER_PAGE_START, PAGE_SIZE
     ),
     "master_product_page": lambda w: plain(
-        key_page(w.full.table("master_product"), "Product_ID", PRODUCT_PAGE_START, PAGE_SIZE)
+        key_page(w.full_dimensions.table("master_product"), "Product_ID", PRODUCT_PAGE_START, PAGE_SIZE)
     ),
     "load_audit": load_audit,
     "stream_fact_load": stream_fact_load,
@@ -353,9 +352,9 @@ _BUILDERS: dict[str, Callable[[Workspace], DataFrame]] = {
     # quality
     "dq_key_uniqueness": dq_key_uniqueness,
     "dq_orphan_customers": lambda w: quality.orphans(
-        w.all_transactions, w.faulty.table("master_customer"), "Customer_ID"
+        w.all_transactions, w.faulty_dimensions.table("master_customer"), "Customer_ID"
     ),
-    "dq_orphan_products": lambda w: quality.orphans(w.all_transactions, w.faulty.table("master_product"), "Product_ID"),
+    "dq_orphan_products": lambda w: quality.orphans(w.all_transactions, w.faulty_dimensions.table("master_product"), "Product_ID"),
     "dq_reconciliation": dq_reconciliation,
     "dq_non_null_counts": dq_non_null_counts,
     "dq_fk_violations": dq_fk_violations,

@@ -6,6 +6,8 @@ rejects' ``Copies`` is the number of input rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from tillstar import schemas
 from tillstar.functions import numeric, rules
 from tillstar.operators.dedupe import first_by_minimum, keep_first, repeated_keys, surplus_rows
 from tillstar.plans.parts import PART, part_folder, read_parts
+from tillstar.session import COMPRESSION, as_lookup, estimated_bytes, fits_broadcast, stored
 
 UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTITY, NO_PRICE, BAD_AMOUNT, DUPLICATE = (
     "unparsable",
@@ -27,6 +30,8 @@ UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTI
     "duplicate",
 )
 
+SEEN_BYTES = 8 * 2**20  # of stored keys, compressed about 10 bytes each, that a task holds in memory
+
 REJECT_COLUMNS = ["Order_ID", "Customer_ID", "Product_ID", "Quantity", "Sale_Date"]
 
 
@@ -34,11 +39,11 @@ REJECT_COLUMNS = ["Order_ID", "Customer_ID", "Product_ID", "Quantity", "Sale_Dat
 def enrich_customer(transactions: DataFrame, master_customer: DataFrame) -> DataFrame:
     """Inner join; an unmatched transaction is not emitted. No broadcast hint: Spark broadcasts the
     master while it is small and otherwise joins by shuffle, splitting skewed customers at run time."""
-    return transactions.join(master_customer, "Customer_ID")
+    return transactions.join(as_lookup(master_customer), "Customer_ID")
 
 
 def enrich_product(transactions: DataFrame, master_product: DataFrame) -> DataFrame:
-    return transactions.join(master_product, "Product_ID")
+    return transactions.join(as_lookup(master_product), "Product_ID")
 
 
 def enriched_sales(transactions: DataFrame, master_customer: DataFrame, master_product: DataFrame) -> DataFrame:
@@ -68,9 +73,9 @@ def resolve(transactions: DataFrame, customers: DataFrame, products: DataFrame,
     """Adds surrogate keys (NULL when missing) and ``Reason`` (NULL when the row is loadable)."""
     calendar = F.broadcast(dim_date.select(F.col("Full_Date").alias("Sale_Date"), "Date_Key"))  # a row per day
     keyed = (
-        transactions.join(calendar, "Sale_Date", "left")
-        .join(customers, "Customer_ID", "left")
-        .join(products, "Product_ID", "left")
+        transactions.join(as_lookup(customers), "Customer_ID", "left")
+        .join(as_lookup(products), "Product_ID", "left")
+        .join(calendar, "Sale_Date", "left")  # last, so that no shuffle carries its column
     )
     return keyed.withColumn("Reason", _first_reason())
 
@@ -96,6 +101,7 @@ def loadable(resolved: DataFrame) -> DataFrame:
 # --- facts --------------------------------------------------------------------
 _FACT_INPUTS = [
     *schemas.FACT_UNIQUE_KEY, "Arrival", "Quantity", "Customer_Key", "Store_Key", "Supplier_Key", "Price", "Sale_Date",
+    "Customer_ID", "Product_ID",  # for rejects
 ]
 
 
@@ -126,25 +132,34 @@ def fact_rows(sales: DataFrame) -> DataFrame:
         "Weekend_Flag": rules.is_weekend(day),
         "Order_Channel": F.lit(rules.STORE_CHANNEL),
         "Created_At": F.current_timestamp(),
-        "Sale_Year": F.year(day),
+        "Sale_Year": F.col("Sale_Year") if "Sale_Year" in sales.columns else F.year(day),
     }
     return sales.select(
         *[derived.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in schemas.FACT_SALES.fields]
     )
 
 
+def placed_sales(sales: DataFrame, derive: Callable[[DataFrame], DataFrame] = fact_rows) -> DataFrame:
+    year = F.floor(F.col("Date_Key") / 10000).cast("int")
+    return derive(sales.hint("rebalance", "Date_Key").withColumn("Sale_Year", year).sortWithinPartitions("Sale_Year", "Date_Key"))
+
+
 def write_facts(facts: DataFrame, path: str, mode: str = "append") -> int:
+    """``write_sales`` for rows that are facts already."""
+    return write_sales(facts, path, mode, lambda rows: rows)
+
+
+def write_sales(sales: DataFrame, path: str, mode: str = "append", derive: Callable[[DataFrame], DataFrame] = fact_rows) -> int:
     """Partitioned by year; rows of a date lie together, so row groups prune by ``Date_Key``. Returns the number of rows.
 
-    The rebalance hint sizes the output files from the shuffle statistics and splits a hot date. Rows are counted as they
+    What ``derive`` adds to a sale is computed where it is written: neither shuffled nor sorted. The rebalance hint sizes the output files from the shuffle statistics and splits a hot date. Rows are counted as they
     are written, in the last stage, which counts each of them once whatever tasks run again.
     """
     seen = Observation()
     (
-        facts.hint("rebalance", "Date_Key")
-        .sortWithinPartitions("Sale_Year", "Date_Key")
+        placed_sales(sales, derive)
         .observe(seen, F.count(F.lit(1)).alias("loaded"))
-        .write.mode(mode)
+        .write.option("compression", COMPRESSION).mode(mode)
         .partitionBy("Sale_Year")
         .parquet(path)
     )
@@ -167,7 +182,7 @@ def rejected_rows(resolved: DataFrame) -> DataFrame:
 
 def duplicate_rows(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     """Loadable rows that lost against another row with the same fact key."""
-    packed = rows.select(*_FACT_INPUTS, "Customer_ID", "Product_ID")
+    packed = rows.select(*_FACT_INPUTS)
     return (
         surplus_rows(packed, schemas.FACT_UNIQUE_KEY, "Arrival", repeated)
         .groupBy(*REJECT_COLUMNS)
@@ -190,14 +205,28 @@ def stored_keys(facts: DataFrame, rows: DataFrame) -> DataFrame:
     return facts.join(F.broadcast(dates), ["Sale_Year", "Date_Key"], "left_semi").select(*schemas.FACT_UNIQUE_KEY)
 
 
-def already_loaded(sales: DataFrame, seen: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def marked_sales(sales: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Unique sales with ``Stored``, whether their key is among those of the stored facts (each there once), and what was written for it.
+
+    Facts and rejects both read the result, so it is stored where the sales have to be shuffled for it. Neither side is sorted: the
+    stored keys are hashed, in as many partitions as their size asks for.
+    """
+    keys, named = schemas.FACT_UNIQUE_KEY, seen.withColumn("Stored", F.lit(True))
+    narrow = sales.drop("Arrival")
+    if fits_broadcast(seen):
+        return narrow.join(named, keys, "left"), []
+    partitions = -(-estimated_bytes(seen) // SEEN_BYTES)
+    found = stored(narrow.join(named.repartition(partitions, *keys).hint("shuffle_hash"), keys, "left"), "marked_sales")
+    return found, [found]
+
+
+def not_loaded(marked: DataFrame) -> DataFrame:
+    return marked.where("Stored is null").drop("Stored")
+
+
+def already_loaded(marked: DataFrame) -> DataFrame:
     """Unique sales that are stored already, as rejects (their other copies are duplicates anyway)."""
-    return (
-        sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_semi")
-        .join(customers, "Customer_Key")
-        .join(products.select("Product_ID", "Product_Key"), "Product_Key")
-        .select(*REJECT_COLUMNS, F.lit(DUPLICATE).alias("Reason"), F.lit(1).cast("bigint").alias("Copies"))
-    )
+    return marked.where("Stored").select(*REJECT_COLUMNS, F.lit(DUPLICATE).alias("Reason"), F.lit(1).cast("bigint").alias("Copies"))
 
 
 # --- audit --------------------------------------------------------------------

@@ -7,14 +7,14 @@ import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tillstar import schemas
 from tillstar.plans import dims, load, parts
-from tillstar.session import estimated_bytes, new_work_folder, remove, remove_stored, stored, write_if_empty
+from tillstar.session import COMPRESSION, estimated_bytes, new_work_folder, remove, remove_stored, stored, write_if_empty
 from tillstar.sources import binding, readers
 
-LANDING_FILE_BYTES = 256 * 2**20
+LANDING_FILE_BYTES = 256 * 2**20  # of the order lines: a task joins, and writes, as much at a time
 LANDING_MIN_FILES = 24
 FILES_PER_BATCH = 8  # of a stream: batches are of one size, whatever the table's
 
@@ -69,14 +69,20 @@ class Warehouse:
         The stage is written because facts, rejects and audit all read it and because it cuts the
         lineage: a lost executor costs a re-read, not the joins.
         """
+        self.load_staged(self.stage_sales(transactions))
+
+    def stage_sales(self, transactions: DataFrame) -> Observation:
+        """The resolved rows and the keys that occur more than once, which is all that rejects need."""
         resolved, staged = load.observed_stage(load.resolve(transactions, *self.lookups()))
-        resolved.write.mode("overwrite").parquet(f"{self.root}/stage_sales")
-        rows = load.loadable(self.table("stage_sales"))
-        load.repeated_sales(rows).write.mode("overwrite").parquet(f"{self.root}/stage_repeated")
-        sales = load.unique_sales(rows, self.table("stage_repeated"))
+        resolved.write.option("compression", COMPRESSION).mode("overwrite").parquet(f"{self.root}/stage_sales")
+        load.repeated_sales(load.loadable(self.table("stage_sales"))).write.mode("overwrite").parquet(f"{self.root}/stage_repeated")
+        return staged
+
+    def load_staged(self, staged: Observation) -> None:
+        sales = load.unique_sales(load.loadable(self.table("stage_sales")), self.table("stage_repeated"))
         for name in ("fact_sales", *schemas.DERIVED):
             remove(self.spark, f"{self.root}/{name}")
-        loaded = load.write_facts(load.fact_rows(sales), load.part_folder(f"{self.root}/fact_sales", "rebuilt"), mode="overwrite")
+        loaded = load.write_sales(sales, load.part_folder(f"{self.root}/fact_sales", "rebuilt"), mode="overwrite")
         load.write_audit(self.spark, f"{self.root}/load_audit", "rebuilt", staged, loaded)
         self.__dict__.pop("star", None)  # its file listing is out of date
 
@@ -93,14 +99,13 @@ class Warehouse:
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
         sales = load.unique_sales(rows, repeated)
         seen = stored(load.stored_keys(self.table("fact_sales"), rows), "seen_sales")
-        known = stored(load.already_loaded(sales, seen, *self.lookups()[:2]), "known_sales")
-        rejects = load.all_rejects(resolved, repeated).unionByName(known)
+        marked, written = load.marked_sales(sales, seen)
+        rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(marked))
         rejects.write.parquet(load.part_folder(f"{self.root}/fact_rejects", part))
-        new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
-        loaded = load.write_facts(new, load.part_folder(f"{self.root}/fact_sales", part))
+        loaded = load.write_sales(load.not_loaded(marked), load.part_folder(f"{self.root}/fact_sales", part))
         load.write_audit(self.spark, f"{self.root}/load_audit", part, staged, loaded)
         self.__dict__.pop("star", None)  # its file listing is out of date
-        for done in (resolved, repeated, seen, known):
+        for done in (resolved, repeated, seen, *written):
             remove_stored(done)
         return self.spark.read.schema(schemas.FACT_REJECTS).parquet(load.part_folder(f"{self.root}/fact_rejects", part))
 
@@ -122,9 +127,9 @@ class Warehouse:
         return load.all_rejects(self.table("stage_sales"), self.table("stage_repeated"))
 
 
-def land_transactions(raw: DataFrame, path: str, files: int) -> None:
-    """Write raw transactions as a folder of files, as a stream source, in one pass; a sale's copies share a file."""
-    raw.repartition(files, "date", "orderID", "Product_ID").write.mode("overwrite").parquet(path)
+def land_transactions(spark: SparkSession, sf_dir: str, path: str, files: int) -> None:
+    """Write raw transactions as a folder of files, as a stream source, behind one shuffle; an order's lines, so a sale's copies, share a file."""
+    binding.raw_transactions(spark, sf_dir, files).write.option("compression", COMPRESSION).mode("overwrite").parquet(path)
 
 
 class Workspace:
@@ -154,7 +159,7 @@ class Workspace:
             path = f"{self.root}/landing"
             size = estimated_bytes(self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet"))
             files = max(LANDING_MIN_FILES, size // LANDING_FILE_BYTES)
-            land_transactions(binding.raw_transactions(self.spark, self.sf_dir), path, files)
+            land_transactions(self.spark, self.sf_dir, path, files)
             return path
 
         return self.once("landing", build)
@@ -189,25 +194,48 @@ class Workspace:
 
     @property
     def full(self) -> Warehouse:
-        return self.once("full", lambda: self._load("full", faulty=False))
+        def build():
+            self.full_dimensions.load_sales(self.transactions)
+            return self.full_dimensions
+
+        return self.once("full", build)
 
     @property
     def faulty(self) -> Warehouse:
         """Loaded from the whole tables and added faulty rows, so that rows are rejected for every reason."""
-        return self.once("faulty", lambda: self._load("faulty", faulty=True))
+
+        def build():
+            self.faulty_staged.load_staged(self.once("faulty_stage", None))
+            return self.faulty_dimensions
+
+        return self.once("faulty", build)
+
+    @property
+    def faulty_staged(self) -> Warehouse:
+        """The same warehouse for queries that read its stage, but not its facts."""
+        self.once("faulty_stage", lambda: self.faulty_dimensions.stage_sales(self.all_transactions))
+        return self.faulty_dimensions
+
+    @property
+    def full_dimensions(self) -> Warehouse:
+        """The same warehouse for queries that read no facts, which are then not loaded for them."""
+        return self.once("full_dimensions", lambda: self._load_dimensions("full", faulty=False))
+
+    @property
+    def faulty_dimensions(self) -> Warehouse:
+        return self.once("faulty_dimensions", lambda: self._load_dimensions("faulty", faulty=True))
 
     @property
     def star(self) -> Star:
         return self.full.star
 
-    def _load(self, name: str, faulty: bool) -> Warehouse:
+    def _load_dimensions(self, name: str, faulty: bool) -> Warehouse:
         warehouse = Warehouse(self.spark, f"{self.root}/{name}")
         warehouse.load_masters(
             readers.clean_customers(binding.raw_customers(self.spark, self.sf_dir)),
             readers.clean_products(binding.raw_products(self.spark, self.sf_dir, faulty)),
         )
         warehouse.load_dimensions(dims.years_of(self.transactions, "Sale_Date"))
-        warehouse.load_sales(self.all_transactions if faulty else self.transactions)
         return warehouse
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.session import as_lookup
+
 CUSTOMER_BINDING = {
     "Customer_ID": "cast(c_custkey as bigint)",
     "Gender": "case when c_custkey % 2 = 0 then 'M' else 'F' end",
@@ -96,14 +98,20 @@ def raw_products(spark: SparkSession, sf_dir: str, faulty: bool = False) -> Data
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if partitions:
+        lines = lines.repartition(partitions, "l_orderkey")
+        orders = orders.repartition(partitions, "o_orderkey").hint("shuffle_hash")
+    else:
+        orders = as_lookup(orders)
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).selectExpr(*_select(TRANSACTION_BINDING), *TRANSACTION_ORDER)
+def raw_transactions(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """With ``partitions``, dealt by order into so many: the lines of an order lie together, behind the shuffle that joins them."""
+    return _lines(spark, sf_dir, partitions).selectExpr(*_select(TRANSACTION_BINDING), *TRANSACTION_ORDER)
 
 
 def late_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,14 +98,14 @@ class FactStream:
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
         seen = stored(load.stored_keys(self._others("fact_sales", part), rows), "seen_sales")
         sales = load.unique_sales(rows, repeated)
-        new = load.fact_rows(sales.join(seen, schemas.FACT_UNIQUE_KEY, "left_anti"))
-        rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(sales, seen, *self.lookups[:2]))
+        marked, written = load.marked_sales(sales, seen)
+        rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(marked))
         loaded, _ = together(
-            lambda: load.write_facts(new, self._folder("fact_sales", part), mode="overwrite"),
+            lambda: load.write_sales(load.not_loaded(marked), self._folder("fact_sales", part), mode="overwrite"),
             lambda: rejects.write.mode("overwrite").parquet(self._folder("fact_rejects", part)),
         )
         load.write_audit(self.spark, f"{self.root}/load_audit", part, staged, loaded)
-        for done in (seen, repeated, resolved):
+        for done in (*written, seen, repeated, resolved):
             remove_stored(done)
 
     def facts(self) -> DataFrame:
