@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tillstar.llm.html_text import Page, _keyed, extract, subtrees, templates
@@ -81,3 +83,29 @@ def test_many_pages_make_a_template_on_a_host_of_any_size(spark):
     by_id = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(by_id[i] == f"own {i}\n0 {i}" for i in range(100)) and by_id[500] == "own 500"
     assert by_id[2005] == "own 5\nsection menu"
+
+
+def test_only_subtrees_that_hold_text_are_sent_back_to_their_pages(spark):
+    body = "<nav><ul><li>menu</ul></nav><div class='ad'><p>buy</p></div><div><nav>n</nav></div><div><span>site line</span></div><script>s</script>"
+    rows = [(i, f"http://i.example/{i}", f"{body}<p>own {i}</p>") for i in range(30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = subtrees(_keyed(frame))
+    live = found.where("live").select("page", "subtree").distinct()
+    # the div and the span of the site line, the div whose menu leaves a block end, and the page's own paragraph
+    assert live.groupBy("page").count().select("count").distinct().collect() == [(4,)]
+    assert {(r.host, r.subtree) for r in templates(found).collect()} == plain_templates(rows)
+    assert templates(found).where("rows > 0").count() == 3 and templates(found).count() > 8
+    assert {r.text for r in extract(frame).collect()} == {f"own {i}" for i in range(30)}
+
+
+def test_cuts_of_what_holds_no_text_change_nothing():
+    rng = random.Random(5)
+    pieces = ["<div>", "</div>", "<span>", "</span>", "<nav>", "</nav>", "<p>", "<ul><li>", "</ul>", "<article>", "</article>", "<div class=ad>", "<table><td>", "</table>", "<br>", "a", "b ", "c"]
+    for _ in range(400):
+        source = "".join(rng.choices(pieces, k=25))
+        page = Page(source)
+        live = {value for value, _ in page.held}
+        assert live <= set(page.counted)
+        for _ in range(5):
+            cuts = frozenset(rng.sample(sorted(page.counted), k=len(page.counted) // 2))
+            assert Page(source, cuts).main_text() == Page(source, cuts & live).main_text()

@@ -9,7 +9,8 @@ Subtrees are counted per host in Spark, those with such names and those inside t
 article texts (as the names leave them) are counted instead of pages, and their share is that of the article texts of the
 host: an article that is copied to many pages is one text, so its blocks are no templates. Not counted are html, body,
 articles themselves and, inside an article, its headings, paragraphs, items, cells and inline elements: articles share
-passages, which are wanted.
+passages, which are wanted. All are counted, but only those whose removal changes the page's output (``live``: they hold
+some of it that the names leave) are looked up among the templates and sent back to their pages.
 
 The text of article or main elements is the main text; a page without any has that of its body. Blocks are the
 stretches between starts and ends of block elements; references are decoded, white space inside a block becomes one
@@ -75,10 +76,14 @@ def _signed(value: int) -> int:
 
 
 class Page:
-    """One pass over a page. ``templates`` are subtree hashes to cut; ``counted`` gets all that are counted, and if each is inside an article and a part."""
+    """One pass over a page. ``templates`` are subtree hashes to cut; ``counted`` gets all that are counted, and if each is inside an article and a part.
+
+    ``held`` lists those of them that hold some of the output in the end, with the length of the output at their start.
+    """
 
     def __init__(self, source: str, templates=frozenset()):
         self.templates, self.counted = templates, {}
+        self.held: list[tuple[int, int]] = []
         self.out: list[tuple[bool, str | None]] = []  # (inside an article, text or None for a block end)
         # open elements: tag, length of the output at the start, cut when it closes, hash, may be counted, in an article
         self.open: list[tuple] = [("", 0, False, xxhash.xxh3_64(), False, False)]
@@ -143,8 +148,12 @@ class Page:
             signed = _signed(value ^ INSIDE if inside else value)
             self.counted[signed] = inside, tag not in BLOCKS or tag in PARTS
             cut = cut or signed in self.templates
+            if len(self.out) > at:
+                self.held.append((signed, at))
         if cut:
             del self.out[at:]
+            while self.held and self.held[-1][1] >= at:
+                self.held.pop()
         if tag in BLOCKS:
             self.out.append((inside, None))
 
@@ -186,7 +195,7 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page, article, subtree, part) for every subtree that is counted.
+    """(host, page, article, subtree, part, live) for every subtree that is counted.
 
     article is a hash of the main text for subtrees inside an article, else null; subtree is null once for each page, and
     once for the articles of each page that has any.
@@ -194,26 +203,27 @@ def subtrees(pages: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for source, host, page in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 read = Page(source)
                 article = _signed(xxhash.xxh3_64_intdigest(read.main_text())) if any(flag for flag, _ in read.out) else None
-                rows = [(None, None, None), *(((None, article, None),) if article is not None else ())]
-                rows += [(value, article if inside else None, part) for value, (inside, part) in read.counted.items()]
-                for value, text, part in rows:
-                    for column, cell in zip(out, (host, page, text, value, part)):
+                live = {value for value, _ in read.held}
+                rows = [(None, None, None, None), *(((None, article, None, None),) if article is not None else ())]
+                rows += [(value, article if inside else None, part, value in live) for value, (inside, part) in read.counted.items()]
+                for value, text, part, holds in rows:
+                    for column, cell in zip(out, (host, page, text, value, part, holds)):
                         column.append(cell)
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "page", "article", "subtree", "part"])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "page", "article", "subtree", "part", "live"])
 
-    return pages.select("html", "host", "page").mapInArrow(work, "host string, page string, article bigint, subtree bigint, part boolean")
+    return pages.select("html", "host", "page").mapInArrow(work, "host string, page string, article bigint, subtree bigint, part boolean, live boolean")
 
 
 def templates(found: DataFrame) -> DataFrame:
-    """host, subtree and the number of rows of the subtrees of ``found`` that recur on enough pages or article texts of their host."""
+    """host, subtree and the number of live rows of the subtrees of ``found`` that recur on enough pages or article texts of their host."""
     inside = F.col("article").isNotNull().alias("inside")
     counts = found.groupBy("host", inside, "subtree", "part").agg(
-        F.count_distinct(F.coalesce(F.col("article").cast("string"), "page")).alias("n"), F.count(F.lit(1)).alias("rows")
+        F.count_distinct(F.coalesce("article", F.xxhash64("page"))).alias("n"), F.count_if("live").alias("rows")
     )
     totals = counts.where("subtree is null").select("host", "inside", F.col("n").alias("pages"))
     often = counts.where("subtree is not null").where(F.col("n") >= MIN_PAGES).join(totals, ["host", "inside"])
@@ -225,8 +235,8 @@ def extract(pages: DataFrame) -> DataFrame:
     small_batches(pages.sparkSession, 64)
     keyed = _keyed(pages)
     found = stored(subtrees(keyed), "subtrees")
-    recurring = stored(templates(found), "templates")
-    marked = join_repeated(found.where("subtree is not null"), recurring, ["host", "subtree"], "rows")
+    recurring = stored(templates(found).where("rows > 0"), "templates")
+    marked = join_repeated(found.where("live").select("host", "page", "subtree"), recurring, ["host", "subtree"], "rows")
     per_page = stored(marked.groupBy("host", "page").agg(F.collect_set("subtree").alias("cuts")), "cuts")  # at most the elements of a page
 
     def work(batches):
