@@ -87,6 +87,11 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def day_of_key(key: Column) -> Column:
+    """The day of a ``date_key``."""
+    return F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
+
+
 def is_weekend(day: Column) -> Column:
     return (F.weekday(day) >= 5).cast("int")
 

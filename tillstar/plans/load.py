@@ -15,7 +15,7 @@ from tillstar import schemas
 from tillstar.functions import numeric, rules
 from tillstar.operators.dedupe import first_by_minimum, keep_first, repeated_keys, surplus_rows
 from tillstar.plans.parts import PART, part_folder, read_parts
-from tillstar.session import COMPRESSION, as_lookup, estimated_bytes, fits_broadcast, stored
+from tillstar.session import COMPRESSION, as_lookup, broadcast_limit, estimated_bytes, fits_broadcast, stored
 
 UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTITY, NO_PRICE, BAD_AMOUNT, DUPLICATE = (
     "unparsable",
@@ -30,7 +30,9 @@ UNPARSABLE, NO_CUSTOMER, NO_PRODUCT, NO_STORE, NO_SUPPLIER, BAD_DATE, BAD_QUANTI
     "duplicate",
 )
 
-SEEN_BYTES = 8 * 2**20  # of stored keys, compressed about 10 bytes each, that a task holds in memory
+SEEN_BYTES = 3 * 2**20  # of stored keys, estimated at about 4 bytes each, that a task holds in memory
+SLICES, KEY_BYTES = 64, 32  # of all keys; of one key in memory
+REPEATED_BYTES = 8 * 2**20  # of hashes of lines that occur again, 8 bytes each, that are broadcast
 
 REJECT_COLUMNS = ["Order_ID", "Customer_ID", "Product_ID", "Quantity", "Sale_Date"]
 
@@ -69,6 +71,21 @@ def product_keys(
     )
 
 
+def without_idle_arrivals(transactions: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Transactions with ``Arrival`` only where lines share order, product and date, and what was written for it.
+
+    It decides between such lines alone, and is the widest part of a row, so no other row takes it through the shuffles. They
+    are found by a hash of the three, the only thing that is shuffled here; two lines of one hash by chance just keep it. With
+    too many of them to broadcast all rows keep it.
+    """
+    line = transactions.withColumn("_line", F.xxhash64("Order_ID", "Product_ID", "Sale_Date"))
+    repeated = stored(repeated_keys(line, ["_line"]).select("_line"), "repeated_lines")
+    if broadcast_limit(transactions.sparkSession) < 0 or estimated_bytes(repeated) > REPEATED_BYTES:
+        return transactions, [repeated]
+    found = line.join(F.broadcast(repeated.withColumn("_again", F.lit(True))), "_line", "left")
+    return found.withColumn("Arrival", F.when(F.col("_again"), F.col("Arrival"))).select(*transactions.columns), [repeated]
+
+
 def resolve(transactions: DataFrame, customers: DataFrame, products: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Adds surrogate keys (NULL when missing) and ``Reason`` (NULL when the row is loadable)."""
     calendar = F.broadcast(dim_date.select(F.col("Full_Date").alias("Sale_Date"), "Date_Key"))  # a row per day
@@ -106,7 +123,8 @@ _FACT_INPUTS = [
 
 
 def repeated_sales(rows: DataFrame) -> DataFrame:
-    return repeated_keys(rows, schemas.FACT_UNIQUE_KEY)
+    """Rows without ``Arrival`` are known to be alone (``without_idle_arrivals``)."""
+    return repeated_keys(rows.where("Arrival is not null"), schemas.FACT_UNIQUE_KEY)
 
 
 def unique_sales(rows: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
@@ -119,7 +137,7 @@ def unique_sales(rows: DataFrame, repeated: DataFrame | None = None) -> DataFram
 
 def fact_rows(sales: DataFrame) -> DataFrame:
     """The fact projection. ``Sales_Key`` is a hash of the unique key, so a replay gives the same value."""
-    day = F.col("Sale_Date")
+    day = rules.day_of_key(F.col("Date_Key"))  # so that no shuffle carries both
     amount = rules.purchase_amount(F.col("Quantity"), F.col("Price"))
     discount = F.lit(0).cast(schemas.AMOUNT)
     derived = {
@@ -208,25 +226,45 @@ def stored_keys(facts: DataFrame, rows: DataFrame) -> DataFrame:
 def marked_sales(sales: DataFrame, seen: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Unique sales with ``Stored``, whether their key is among those of the stored facts (each there once), and what was written for it.
 
-    Facts and rejects both read the result, so it is stored where the sales have to be shuffled for it. Neither side is sorted: the
-    stored keys are hashed, in as many partitions as their size asks for.
+    Facts and rejects both read the result. Few stored keys are broadcast. Of many, those that this load has again are found first,
+    by keys alone; if they are few, as in most loads, the sales themselves are not shuffled. Else these are joined, once, and
+    stored. Neither side is sorted: the stored keys are hashed, in as many partitions as their size asks for.
     """
-    keys, named = schemas.FACT_UNIQUE_KEY, seen.withColumn("Stored", F.lit(True))
-    narrow = sales.drop("Arrival")
+    keys, narrow = schemas.FACT_UNIQUE_KEY, sales.drop("Arrival", "Sale_Date")
     if fits_broadcast(seen):
-        return narrow.join(named, keys, "left"), []
-    partitions = -(-estimated_bytes(seen) // SEEN_BYTES)
-    found = stored(narrow.join(named.repartition(partitions, *keys).hint("shuffle_hash"), keys, "left"), "marked_sales")
+        known = stored(seen, "seen_sales")
+        return narrow.join(_named(known), keys, "left"), [known]
+    placed = seen.repartition(max(1, -(-estimated_bytes(seen) // SEEN_BYTES)), *keys)
+    if _few_again(sales, seen):
+        again = stored(sales.select(*keys).join(placed.hint("shuffle_hash"), keys, "left_semi"), "known_sales")
+        return narrow.join(_named(again), keys, "left"), [again]
+    found = stored(narrow.join(_named(placed).hint("shuffle_hash"), keys, "left"), "marked_sales")
     return found, [found]
 
 
+def _named(keys: DataFrame) -> DataFrame:
+    return keys.withColumn("Stored", F.lit(True))
+
+
+def _few_again(sales: DataFrame, seen: DataFrame) -> bool:
+    """Whether the sales that are stored already are few enough to broadcast their keys, by the count of a slice of all keys.
+
+    This chooses a plan, not rows: either plan is right whatever the count.
+    """
+    keys = schemas.FACT_UNIQUE_KEY
+    sliced = F.pmod(F.xxhash64(*keys), F.lit(SLICES)) == 0
+    again = sales.select(*keys).where(sliced).join(seen.where(sliced), keys, "left_semi").count()
+    return again * SLICES * KEY_BYTES <= broadcast_limit(sales.sparkSession)
+
+
 def not_loaded(marked: DataFrame) -> DataFrame:
     return marked.where("Stored is null").drop("Stored")
 
 
 def already_loaded(marked: DataFrame) -> DataFrame:
     """Unique sales that are stored already, as rejects (their other copies are duplicates anyway)."""
-    return marked.where("Stored").select(*REJECT_COLUMNS, F.lit(DUPLICATE).alias("Reason"), F.lit(1).cast("bigint").alias("Copies"))
+    dated = marked.where("Stored").withColumn("Sale_Date", rules.day_of_key(F.col("Date_Key")))
+    return dated.select(*REJECT_COLUMNS, F.lit(DUPLICATE).alias("Reason"), F.lit(1).cast("bigint").alias("Copies"))
 
 
 # --- audit --------------------------------------------------------------------

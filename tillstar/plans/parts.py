@@ -70,7 +70,7 @@ def read_parts(spark: SparkSession, path: str, layout: StructType, loads: list[s
             return spark.read.schema(named).parquet(path)
         loads = visible_loads(spark, path)
     if not loads:
-        return spark.createDataFrame([], named)
+        return spark.createDataFrame([], named).limit(0)  # known to be empty, so of no size
     return spark.read.schema(named).option("basePath", path).parquet(*[part_folder(path, n) for n in loads])
 
 

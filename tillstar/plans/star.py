@@ -73,9 +73,12 @@ class Warehouse:
 
     def stage_sales(self, transactions: DataFrame) -> Observation:
         """The resolved rows and the keys that occur more than once, which is all that rejects need."""
-        resolved, staged = load.observed_stage(load.resolve(transactions, *self.lookups()))
+        narrow, written = load.without_idle_arrivals(transactions)
+        resolved, staged = load.observed_stage(load.resolve(narrow, *self.lookups()))
         resolved.write.option("compression", COMPRESSION).mode("overwrite").parquet(f"{self.root}/stage_sales")
         load.repeated_sales(load.loadable(self.table("stage_sales"))).write.mode("overwrite").parquet(f"{self.root}/stage_repeated")
+        for done in written:
+            remove_stored(done)
         return staged
 
     def load_staged(self, staged: Observation) -> None:
@@ -93,19 +96,19 @@ class Warehouse:
         again after a failure half way, adds no fact. Every load writes a folder of its own.
         """
         part = f"batch-{uuid.uuid4().hex}"
-        watched, staged = load.observed_stage(load.resolve(transactions, *self.lookups()))
+        narrow, lines = load.without_idle_arrivals(transactions)
+        watched, staged = load.observed_stage(load.resolve(narrow, *self.lookups()))
         resolved = stored(watched, "stage_sales")
         rows = load.loadable(resolved)
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
         sales = load.unique_sales(rows, repeated)
-        seen = stored(load.stored_keys(self.table("fact_sales"), rows), "seen_sales")
-        marked, written = load.marked_sales(sales, seen)
+        marked, written = load.marked_sales(sales, load.stored_keys(self.table("fact_sales"), rows))
         rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(marked))
         rejects.write.parquet(load.part_folder(f"{self.root}/fact_rejects", part))
         loaded = load.write_sales(load.not_loaded(marked), load.part_folder(f"{self.root}/fact_sales", part))
         load.write_audit(self.spark, f"{self.root}/load_audit", part, staged, loaded)
         self.__dict__.pop("star", None)  # its file listing is out of date
-        for done in (resolved, repeated, seen, *written):
+        for done in (*lines, resolved, repeated, *written):
             remove_stored(done)
         return self.spark.read.schema(schemas.FACT_REJECTS).parquet(load.part_folder(f"{self.root}/fact_rejects", part))
 

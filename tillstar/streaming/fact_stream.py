@@ -92,20 +92,21 @@ class FactStream:
 
     def load_batch(self, batch: DataFrame, batch_id: int, query: str | None = None) -> None:
         part = f"{query or self.spark.sparkContext.getLocalProperty(_QUERY_ID) or 'direct'}-{batch_id}"
-        watched, staged = load.observed_stage(load.resolve(batch, *self.lookups))
+        taken = stored(batch, "stage_batch")  # read from its source once
+        narrow, lines = load.without_idle_arrivals(taken)
+        watched, staged = load.observed_stage(load.resolve(narrow, *self.lookups))
         resolved = stored(watched, "stage_sales")
         rows = load.loadable(resolved)
         repeated = stored(load.repeated_sales(rows), "stage_repeated")
-        seen = stored(load.stored_keys(self._others("fact_sales", part), rows), "seen_sales")
         sales = load.unique_sales(rows, repeated)
-        marked, written = load.marked_sales(sales, seen)
+        marked, written = load.marked_sales(sales, load.stored_keys(self._others("fact_sales", part), rows))
         rejects = load.all_rejects(resolved, repeated).unionByName(load.already_loaded(marked))
         loaded, _ = together(
             lambda: load.write_sales(load.not_loaded(marked), self._folder("fact_sales", part), mode="overwrite"),
             lambda: rejects.write.mode("overwrite").parquet(self._folder("fact_rejects", part)),
         )
         load.write_audit(self.spark, f"{self.root}/load_audit", part, staged, loaded)
-        for done in (*written, seen, repeated, resolved):
+        for done in (taken, *lines, *written, repeated, resolved):
             remove_stored(done)
 
     def facts(self) -> DataFrame:
