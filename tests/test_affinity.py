@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -68,3 +69,16 @@ def test_chunks_of_large_baskets(spark, chunk):
     lines = [(b, p) for b in range(4) for p in rng.sample(range(80), 50 - b)]
     counts = affinity._pair_counts_in_chunks(spark.createDataFrame(lines, "basket long, item long"), chunk)
     assert sorted(map(tuple, counts.collect())) == sorted(brute_force(lines, 10**6))
+
+
+@pytest.mark.parametrize("prune", [False, True])
+def test_tasks_grow_with_lines_and_pairs(spark, monkeypatch, prune):
+    monkeypatch.setattr(affinity, "LINES_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(affinity, "PAIRS_PER_TASK", 50, raising=False)
+    rng = random.Random(5)
+    lines = [(b, p) for b in range(200) for p in [1, 2, *rng.sample(range(3, 400), 3)]]
+    best = top_pairs(spark.createDataFrame(lines, "o long, p long"), "o", "p", 5, 100, prune)
+    assert [tuple(r) for r in best.collect()] == brute_force(lines, 5)
+    dealt = re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", best._jdf.queryExecution().executedPlan().toString())
+    assert dealt and all(int(n) > 4 for n in dealt)  # more than the shuffle partitions of these tests
+    assert prune or set(map(int, dealt)) == {41}  # 2000 pairs

@@ -14,6 +14,9 @@ others. Larger baskets (few by nature: at most rows / SMALL_BASKET) are never pa
 
 Before that, the pairs among the most frequent items give a first threshold:
 items that occur less often than that cannot be in a result pair and leave before any pairing.
+
+Lines are dealt by basket, and pairs by themselves, into as many partitions as their counted numbers ask for, so the memory
+of a task does not grow with the table, whatever number of shuffle partitions is set.
 """
 
 from __future__ import annotations
@@ -22,10 +25,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.operators.skew import HOT_SHARE, join_repeated
-from tillstar.session import stored
+from tillstar.session import as_lookup, stored
 
 SMALL_BASKET = 100
 CHUNK = 500
+LINES_PER_TASK = 500_000
+PAIRS_PER_TASK = 500_000
+SLOTS_PER_TASK = 32  # parts of the baskets that are dealt to a task, so that tasks are of one size
+PRUNED_SHARE = 10  # of the lines, at least a tenth has to leave: dropping rare items shuffles all lines by item
 PROBE_PAIRS = 1000
 PROBE_ITEMS = 200
 
@@ -38,16 +45,17 @@ def top_pairs(
     ``prune`` drops rare items first; without it (for tests) the result is the same.
     """
     lines = lines.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
-    if prune:
-        lines = _without_rare_items(lines, top)
-    sizes = lines.groupBy("basket").agg(F.count(F.lit(1)).alias("rows"))
-    large = sizes.where(F.col("rows") > small_basket)
-    large_baskets = large.count()
+    lines, rows = _without_rare_items(lines, top) if prune else (lines, lines.count())
+    sizes = _dealt(lines, rows // LINES_PER_TASK, "basket").groupBy("basket").agg(F.count(F.lit(1)).alias("rows"))
+    is_large, pairs = F.col("rows") > small_basket, F.expr("rows * (rows - 1) div 2")
+    large = sizes.where(is_large)
+    large_baskets, small_pair_rows = sizes.agg(F.count_if(is_large), F.sum(F.when(~is_large, pairs))).first()
+    tasks = max(rows // LINES_PER_TASK, (small_pair_rows or 0) // PAIRS_PER_TASK)
     if not large_baskets:
-        return _best(_pair_counts(_unique_by_basket(lines)), top)
+        return _best(_pair_counts(lines, tasks), top)
 
     large = stored(large, "large_baskets")
-    small_pairs = stored(_pair_counts(_unique_by_basket(_without(lines, large))), "small_pairs")
+    small_pairs = stored(_pair_counts(_without(lines, large), tasks), "small_pairs")
     in_large = join_repeated(lines, large, ["basket"], "rows").select("basket", "item").distinct()
     large_lines = stored(in_large, "large_lines")
     support = stored(large_lines.groupBy("item").agg(F.count(F.lit(1)).alias("support")), "support")
@@ -63,19 +71,41 @@ def top_pairs(
     return _best(both, top)
 
 
-def _without_rare_items(lines: DataFrame, top: int) -> DataFrame:
-    """Rows whose item occurs at least as often as the ``top``-th pair among the most frequent items."""
+def _without_rare_items(lines: DataFrame, top: int) -> tuple[DataFrame, int]:
+    """Rows whose item occurs at least as often as the ``top``-th pair among the most frequent items, and their number; all rows
+    if few would leave."""
     counts = stored(lines.groupBy("item").agg(F.count(F.lit(1)).alias("rows")), "item_counts")
-    frequent = counts.orderBy(F.desc("rows"), "item").limit(PROBE_ITEMS).select("item")
-    # at most PROBE_ITEMS items, so even the largest basket has a bounded number of pairs here
-    probed = lines.join(F.broadcast(frequent), "item", "left_semi").distinct()
-    threshold = _reached(_pair_counts(probed), top)
-    return lines.join(counts.where(F.col("rows") >= threshold).select("item"), "item", "left_semi")
+    frequent = counts.orderBy(F.desc("rows"), "item").limit(PROBE_ITEMS)
+    probed_rows = frequent.agg(F.sum("rows")).first()[0] or 0
+    # at most PROBE_ITEMS items, so even the largest basket has a bounded number of pairs here, and all have few different ones
+    probed = lines.join(F.broadcast(frequent.select("item")), "item", "left_semi")
+    threshold = _reached(_pairs(_baskets(probed, probed_rows // LINES_PER_TASK)).groupBy("First", "Second").agg(F.count(F.lit(1)).alias("Baskets")), top)
+    is_kept = F.col("rows") >= threshold
+    rows, kept = (n or 0 for n in counts.agg(F.sum("rows"), F.sum(F.when(is_kept, F.col("rows")))).first())
+    if (rows - kept) * PRUNED_SHARE <= rows:
+        return lines, rows
+    return lines.join(as_lookup(counts.where(is_kept).select("item")), "item", "left_semi"), kept
+
+
+def _dealt(rows: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """Rows placed by ``keys`` in as many partitions, one per core at least."""
+    return rows.repartition(max(tasks + 1, rows.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
-def _unique_by_basket(lines: DataFrame) -> DataFrame:
-    """Distinct rows, placed by basket so that the self-join needs no further shuffle; for small baskets."""
-    return lines.repartition("basket").distinct()
+def _baskets(lines: DataFrame, tasks: int) -> DataFrame:
+    """The different items of each basket, in order; baskets with a bounded number of them. A ``slot`` of baskets is in one task."""
+    slots = SLOTS_PER_TASK * (tasks + 1)
+    dealt = _dealt(lines.withColumn("slot", F.pmod(F.xxhash64("basket"), F.lit(slots))), tasks, "slot")
+    return dealt.groupBy("slot", "basket").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def _pairs(baskets: DataFrame) -> DataFrame:
+    rest = F.slice("items", F.col("place") + 2, F.size("items"))
+    return (
+        baskets.where(F.size("items") > 1)
+        .select("slot", "items", F.posexplode("items").alias("place", "First"))
+        .select("slot", "First", F.explode(rest).alias("Second"))
+    )
 
 
 def _best(pairs: DataFrame, top: int) -> DataFrame:
@@ -88,11 +118,11 @@ def _reached(pairs: DataFrame, top: int) -> int:
     return min(counts) if len(counts) == top else 0
 
 
-def _pair_counts(lines: DataFrame) -> DataFrame:
-    first = lines.withColumnRenamed("item", "First")
-    second = lines.withColumnRenamed("item", "Second")
-    pairs = first.join(second, "basket").where(F.col("First") < F.col("Second"))
-    return pairs.groupBy("First", "Second").agg(F.count(F.lit(1)).alias("Baskets"))
+def _pair_counts(lines: DataFrame, tasks: int) -> DataFrame:
+    """Lines of small baskets. A pair is counted in its slot first, without a shuffle, so one that very many baskets hold costs a
+    row per slot."""
+    by_slot = _pairs(_baskets(lines, tasks)).groupBy("slot", "First", "Second").agg(F.count(F.lit(1)).alias("n"))
+    return _dealt(by_slot.drop("slot"), tasks, "First", "Second").groupBy("First", "Second").agg(F.sum("n").alias("Baskets"))
 
 
 def _pair_counts_in_chunks(lines: DataFrame, chunk: int = CHUNK) -> DataFrame:
