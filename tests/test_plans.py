@@ -123,3 +123,18 @@ def test_skewed_customers_are_split_at_run_time(spark, small_workspace, tmp_path
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_seasons_are_ordered_before_their_measures_are_worked_out(spark, small_workspace):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        text = plan(olap.product_by_season(small_workspace.star))
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+    ordered = text.index("Exchange rangepartitioning")
+    assert "AS Avg_Transaction_Value" in text[:ordered] and "AS Avg_Transaction_Value" not in text[ordered:]
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text

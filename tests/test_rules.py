@@ -111,3 +111,18 @@ def test_purchase_amount_is_exact(spark):
     df = spark.createDataFrame([(3, "0.10"), (7, "19.99")], "q int, p string")
     amounts = [str(r[0]) for r in df.select(rules.purchase_amount(F.col("q"), F.col("p").cast("decimal(10,2)"))).collect()]
     assert amounts == ["0.30", "139.93"]
+
+
+@pytest.mark.parametrize("digits", [2, 6])
+def test_mean_as_double_equals_the_decimal_mean(spark, digits):
+    rng = random.Random(digits)
+    few = 2**53 // 10 ** (digits - 2)  # of cents, up to which whole numbers are used
+    cents = [0, 1, -1, few - 1, few, few + 1, -few, 10**17, *[rng.randrange(-10 ** (k % 5), 10**k) for k in range(1, 19) for _ in range(40)]]
+    rows = [(Decimal(c).scaleb(-2), n) for c in cents for n in (1, 3, 8, rng.randrange(1, 10**7))]
+    rows += [(None, 2), (Decimal("1.00"), None), (Decimal("1.00"), 0), (Decimal("-1.00"), -3), (Decimal("1.00"), 2**62)]
+    df = spark.createDataFrame(rows, "t decimal(22,2), n bigint")
+    both = df.select(
+        "t", "n", numeric.mean_as_double(F.col("t"), F.col("n"), "quick", digits),
+        numeric.as_double(numeric.mean(F.col("t"), F.col("n"), digits), "exact"),
+    )
+    assert both.where("not (quick <=> exact)").collect() == []

@@ -32,6 +32,18 @@ def mean(total: Column, count: Column, digits: int = 6) -> Column:
     return _rounded_quotient(total, count, digits)
 
 
+def mean_as_double(total: Column, count: Column, name: str, digits: int = 6) -> Column:
+    """``as_double`` of a ``mean``, in 64-bit whole numbers, which take a fraction of the time, wherever these are exact.
+
+    Totals have two decimals. With at most 2^53 units of the last digit the quotient is one exact division away from the nearest double.
+    """
+    unit, scale = 10 ** (digits - 2), 10**digits
+    cents = (total.cast("decimal(26,2)") * 100).try_cast("bigint")
+    rounded = F.call_function("div", cents * (2 * unit) + count, count * 2)
+    few = cents.between(0, 2**53 // unit) & count.between(1, 2**53)
+    return F.when(few, rounded.cast("double") / F.lit(float(scale))).otherwise(mean(total, count, digits).cast("double")).alias(name)
+
+
 def ratio(top: Column, bottom: Column, digits: int = 2) -> Column:
     return _rounded_quotient(top, bottom, digits)
 

@@ -14,6 +14,7 @@ from tillstar.functions import numeric, rules
 from tillstar.operators.affinity import top_pairs
 from tillstar.plans.star import Star
 from tillstar.plans.summary import roll_up, sales_in_year, sales_on
+from tillstar.session import as_lookup
 
 
 
@@ -30,7 +31,7 @@ def _quantity() -> Column:
 
 
 def _mean_sale(total: str, count: str, name: str) -> Column:
-    return numeric.as_double(numeric.mean(F.col(total), F.col(count)), name)
+    return numeric.mean_as_double(F.col(total), F.col(count), name)
 
 
 def _money(*names: str) -> dict[str, Column]:
@@ -293,7 +294,11 @@ def supplier_store_product(star: Star) -> DataFrame:
 
 # Q14
 def product_by_season(star: Star) -> DataFrame:
-    """Seasons of calendar years: January and December of one year share its winter row."""
+    """Seasons of calendar years: January and December of one year share its winter row.
+
+    Nearly every product has a row per season, so products are hashed, not sorted, to be joined, and rows are ordered before
+    their measures are worked out: ordering computes what comes before it twice, once to find its ranges.
+    """
     totals = (
         sales_on(star, star.dim_date, "Season", "Year")
         .groupBy("Product_Key", "Season", "Year")
@@ -303,14 +308,15 @@ def product_by_season(star: Star) -> DataFrame:
             F.count(F.lit(1)).alias("Total_Transactions"),
         )
     )
+    products = as_lookup(star.dim_product.select("Product_Key", "Product_ID", "Product_Category"))
     return (
-        _with(totals, star.dim_product, "Product_Key", "Product_ID", "Product_Category")
+        totals.join(products, "Product_Key")
+        .orderBy("Product_ID", "Year", rules.season_order(F.col("Season")))
         .select(
             "Product_ID", "Product_Category", "Season", "Year",
             numeric.as_double(F.col("Total_Sales"), "Total_Sales"), "Total_Quantity", "Total_Transactions",
             _mean_sale("Total_Sales", "Total_Transactions", "Avg_Transaction_Value"),
         )
-        .orderBy("Product_ID", "Year", rules.season_order(F.col("Season")))
     )
 
 
