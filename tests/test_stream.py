@@ -1,12 +1,13 @@
 import os
 
 import pytest
-from conftest import rows
+from conftest import SMALL, rows
 from fixtures import empty_warehouse, reasons, transactions
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tillstar import schemas
+from tillstar import catalog, schemas
+from tillstar.plans.star import Workspace
 from tillstar.streaming.fact_stream import FactStream, batch_rates, transaction_stream
 
 FIRST = [(1, 1, "A", 2, "2017-01-07"), (1, 1, "A", 2, "2017-01-07"), (2, 2, "B", 1, "2017-05-01"), (3, 77, "B", 1, "2017-05-01")]
@@ -146,3 +147,18 @@ def test_batches_are_bounded_by_bytes_and_files_are_archived(spark, tmp_path):
     assert loader.facts().count() + sum(reasons(loader.rejects()).values()) == sum(sizes)
     assert load() == [] and list(archive.rglob("*.csv"))  # a restart reads nothing again
     assert {f.name for f in [*archive.rglob("*.csv"), *folder.glob("*.csv")]} == set(names)
+
+
+def test_batches_do_not_become_more_with_shuffle_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        w = Workspace(spark, SMALL)
+        found = {r.Stage: (r.Rows_In, r.Rows_Out) for r in catalog._streamed(w).audit().collect()}
+        facts = catalog.stream_fact_load(w).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(spark.read.parquet(w.landing).inputFiles()) == 60
+    assert [len([n for n in os.listdir(f"{folder}_checkpoint/commits") if n.isdigit()]) for folder in (w.landing, w.late)] == [3, 1]
+    lines = spark.read.parquet(w.landing).count() + spark.read.parquet(w.late).count()
+    assert found["end_to_end"] == (lines, facts)

@@ -192,7 +192,7 @@ def _streamed(w: Workspace) -> FactStream:
         loader = FactStream(w.full_dimensions, f"{w.root}/stream")
         layout = w.spark.read.parquet(w.landing).schema
         for folder in (w.landing, w.late):
-            rows = transaction_stream(w.spark, folder, layout, files_per_batch=FILES_PER_BATCH)
+            rows = transaction_stream(w.spark, folder, layout, files_per_batch=w.files_per_batch)
             loader.start(rows, f"{folder}_checkpoint").awaitTermination()
         return loader
 

@@ -16,7 +16,7 @@ from tillstar.sources import binding, readers
 
 LANDING_FILE_BYTES = 256 * 2**20  # of the order lines: a task joins, and writes, as much at a time
 LANDING_MIN_FILES = 24
-FILES_PER_BATCH = 8  # of a stream: batches are of one size, whatever the table's
+FILES_PER_BATCH = 8  # of a stream, of files of that size: batches are of one size, whatever the table's
 
 
 @dataclass(frozen=True)
@@ -160,13 +160,30 @@ class Workspace:
     def landing(self) -> str:
         def build():
             path = f"{self.root}/landing"
-            size = estimated_bytes(self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet"))
-            files = max(LANDING_MIN_FILES, size // LANDING_FILE_BYTES)
-            land_transactions(self.spark, self.sf_dir, path, files)
+            land_transactions(self.spark, self.sf_dir, path, self._landing_files())
             return path
 
         return self.once("landing", build)
 
+    def _landing_files(self) -> int:
+        size = estimated_bytes(self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet"))
+        return max(LANDING_MIN_FILES, size // LANDING_FILE_BYTES)
+
+    @property
+    def files_per_batch(self) -> int:
+        """Of a stream over the landing folder: as many files as hold what ``FILES_PER_BATCH`` of the asked-for number do.
+
+        Spark writes more, smaller files than asked for if a shuffle has more partitions. The driver keeps the plans and tasks
+        of every batch, and every batch is compared with all facts before it, so that their number must not follow that setting.
+        """
+
+        def build():
+            written = len(self.spark.read.parquet(self.landing).inputFiles())
+            batches = -(-self._landing_files() // FILES_PER_BATCH)
+            return max(FILES_PER_BATCH, -(-written // batches))
+
+        return self.once("files_per_batch", build)
+
     @property
     def late(self) -> str:
         """A folder of lines that repeat some of the landing folder's."""
