@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from conftest import SMALL, rows
@@ -8,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar import catalog, schemas
 from tillstar.plans.star import Workspace
+from tillstar.session import release
 from tillstar.streaming.fact_stream import FactStream, batch_rates, transaction_stream
 
 FIRST = [(1, 1, "A", 2, "2017-01-07"), (1, 1, "A", 2, "2017-01-07"), (2, 2, "B", 1, "2017-05-01"), (3, 77, "B", 1, "2017-05-01")]
@@ -162,3 +164,16 @@ def test_batches_do_not_become_more_with_shuffle_partitions(spark):
     assert [len([n for n in os.listdir(f"{folder}_checkpoint/commits") if n.isdigit()]) for folder in (w.landing, w.late)] == [3, 1]
     lines = spark.read.parquet(w.landing).count() + spark.read.parquet(w.late).count()
     assert found["end_to_end"] == (lines, facts)
+
+
+def test_a_batch_leaves_no_shuffle_behind(spark, tmp_path):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    folder, loader = tmp_path / "in", FactStream(empty_warehouse(spark, tmp_path / "w"), str(tmp_path / "out"))
+    add_csv(spark, folder, FIRST)
+    release(spark)
+    time.sleep(2)  # the cleaner works behind the collector
+    before = tracker.shuffleStatuses().size()
+    query = run(loader, spark, folder)
+    time.sleep(2)
+    assert query.lastProgress.numInputRows == len(FIRST)
+    assert tracker.shuffleStatuses().size() <= before + 3  # those of the query's last plan

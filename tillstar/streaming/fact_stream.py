@@ -15,7 +15,7 @@ from tillstar import schemas
 from tillstar.plans import load
 from tillstar.plans.dims import together
 from tillstar.plans.star import Warehouse
-from tillstar.session import is_loaded, path_exists, remove_stored, stored
+from tillstar.session import is_loaded, path_exists, release, remove_stored, stored
 from tillstar.sources import readers
 
 #: Identifies a query across restarts, set by Spark for the thread that runs a batch.
@@ -74,7 +74,7 @@ class FactStream:
         place = checkpoint or f"{self.root}/checkpoint"
         self._claim(place)
         return (
-            transactions.writeStream.foreachBatch(self.load_batch)
+            transactions.writeStream.foreachBatch(self._load_and_release)
             .option("checkpointLocation", place)
             .trigger(availableNow=True)
             .start()
@@ -90,6 +90,10 @@ class FactStream:
         else:
             self.spark.createDataFrame([(own,)], "id string").coalesce(1).write.mode("overwrite").parquet(mark)
 
+    def _load_and_release(self, batch: DataFrame, batch_id: int) -> None:
+        self.load_batch(batch, batch_id)
+        release(self.spark)
+
     def load_batch(self, batch: DataFrame, batch_id: int, query: str | None = None) -> None:
         part = f"{query or self.spark.sparkContext.getLocalProperty(_QUERY_ID) or 'direct'}-{batch_id}"
         taken = stored(batch, "stage_batch")  # read from its source once
